@@ -99,18 +99,14 @@ def pack_stats(tokens: DataFrame, max_seq_len: int = 2048, ids_col: str = "input
 
 def packed_stats(packed: DataFrame, decode, ids_col: str = "input_ids", sample_len: int = 8) -> DataFrame:
     """Row count, token count (rows x length of the first row) and a decode
-    of the first ``sample_len`` ids of sequence 0 (one row)."""
-    counts = packed.agg(
-        F.count(F.lit(1)).cast("bigint").alias("sequences"),
-        F.min(F.struct("seq_id", F.size(ids_col).alias("len"))).alias("first"),
-    )
-    sample = packed.where(F.col("seq_id") == 0).select(
-        decode(F.slice(ids_col, 1, sample_len)).alias("sample_text")
-    )
+    of the first ``sample_len`` ids of sequence 0 (one row, one aggregation)."""
+    first = F.min(F.struct("seq_id", F.size(ids_col).alias("len"), F.slice(ids_col, 1, sample_len).alias("head")))
+    counts = packed.agg(F.count(F.lit(1)).cast("bigint").alias("sequences"), first.alias("first"))
     return counts.select(
         "sequences",
         (F.col("sequences") * F.coalesce(F.col("first.len"), F.lit(0))).cast("bigint").alias("tokens"),
-    ).join(sample, how="left")
+        decode(F.col("first.head")).alias("sample_text"),
+    )
 
 
 def clm_labels(packed: DataFrame, pad_id: int, ids_col: str = "input_ids", out_col: str = "labels") -> DataFrame:

@@ -43,20 +43,12 @@ def write_split(examples: DataFrame, path: str, split_col: str = "split", mode:
     return path
 
 
-def dataset_manifest(spark: SparkSession, **fields) -> DataFrame:
-    """A one-row manifest: parameters, counts and a completion timestamp.
-
-    Field values that are DataFrames of one row and one column (counts) are
-    joined in as columns, so the counts are computed by Spark jobs.
-    """
-    scalars = {k: v for k, v in fields.items() if not isinstance(v, DataFrame)}
-    row = spark.createDataFrame([tuple(scalars.values())], list(scalars.keys())) if scalars else None
-    out = row
-    for k, v in fields.items():
-        if isinstance(v, DataFrame):
-            one = v.select(F.col(v.columns[0]).alias(k))
-            out = one if out is None else out.join(one, how="inner")
-    return out.withColumn("completed_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+def dataset_manifest(counts: DataFrame, **params) -> DataFrame:
+    """A one-row manifest: the one-row ``counts`` (computed by Spark), the job
+    parameters as literal columns, and a completion timestamp."""
+    lits = [F.lit(v).alias(k) for k, v in params.items()]
+    ts = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("completed_at")
+    return counts.select(*lits, *counts.columns, ts)
 
 
 def write_manifest(manifest: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -64,13 +56,16 @@ def write_manifest(manifest: DataFrame, path: str, mode: str = "overwrite") -> s
     return path
 
 
-def write_text_files(df: DataFrame, root: str, relpath_col: str = "relpath", text_col: str = "text") -> DataFrame:
+def write_text_files(df: DataFrame, root: str, relpath_col: str = "relpath", text_col: str = "text",
+                     encoding_col: str | None = None) -> DataFrame:
     """Write each row's text to ``root/<relpath>`` (one file per row).
 
     A corpus directory is one file per document, which no built-in writer
     produces; each task writes its own rows through Arrow's filesystem layer
     (local, HDFS or object stores by URI). Rewriting a file on a task retry
-    gives the same bytes. Returns ``(relpath, bytes)`` per written file.
+    gives the same bytes. ``encoding_col`` names a per-row Python codec
+    (default UTF-8; unencodable characters become ``?``). Returns
+    ``(relpath, bytes)`` per written file.
     """
     root = root.rstrip("/")
 
@@ -81,19 +76,21 @@ def write_text_files(df: DataFrame, root: str, relpath_col: str = "relpath", tex
         made: set[str] = set()
         for pdf in batches:
             sizes = []
-            for rel, text in zip(pdf[relpath_col], pdf[text_col]):
+            codecs = pdf[encoding_col] if encoding_col else ["utf-8"] * len(pdf)
+            for rel, text, codec in zip(pdf[relpath_col], pdf[text_col], codecs):
                 target = f"{base}/{rel}"
                 parent = target.rsplit("/", 1)[0]
                 if parent not in made:
                     filesystem.create_dir(parent, recursive=True)
                     made.add(parent)
-                data = (text or "").encode("utf-8")
+                data = (text or "").encode(codec or "utf-8", errors="replace")
                 with filesystem.open_output_stream(target) as out:
                     out.write(data)
                 sizes.append(len(data))
             yield pd.DataFrame({relpath_col: pdf[relpath_col].values, "bytes": sizes})
 
-    return df.select(relpath_col, text_col).mapInPandas(write, f"{relpath_col} string, bytes long")
+    cols = [relpath_col, text_col] + ([encoding_col] if encoding_col else [])
+    return df.select(*cols).mapInPandas(write, f"{relpath_col} string, bytes long")
 
 
 def manifest_json(manifest_row: dict) -> str:
