@@ -2,8 +2,10 @@
 
 Two families:
 
-* code points: a JVM-only tokenizer (one id per Unicode code point) whose
-  results DuckDB can reproduce, used by the oracle-checked queries;
+* code points: one id per Unicode code point, a tokenizer whose results
+  DuckDB can reproduce, used by the oracle-checked queries. The batched form
+  encodes a whole Arrow batch to UTF-32 with numpy; a pure JVM expression
+  is kept for plans that must not leave the JVM;
 * byte-level BPE through an Arrow-batched iterator ``pandas_udf``: the
   tokenizer file is loaded once per Python worker and whole Arrow batches go
   through ``encode_batch``. No special tokens are added, nothing is
@@ -18,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,11 +30,31 @@ IDS = T.ArrayType(T.IntegerType())
 
 # -- code points ----------------------------------------------------------------
 
-def codepoint_ids(text: Column) -> Column:
-    """One id per code point (non-BMP characters are one id)."""
+def codepoint_ids_expr(text: Column) -> Column:
+    """One id per code point as a pure JVM expression (non-BMP is one id).
+
+    Interpreted per character (a string per character), so it is the slower
+    form; :func:`codepoint_ids` is the batched one.
+    """
     return F.transform(F.filter(F.split(text, "", -1), lambda c: c != ""), lambda c: F.ascii(c))
 
 
+@F.arrow_udf(IDS)
+def _codepoints_arrow(s: pa.Array) -> pa.Array:
+    values = s.to_pylist()
+    enc = [b"" if v is None else v.encode("utf-32-le") for v in values]
+    offsets = np.zeros(len(enc) + 1, dtype=np.int32)
+    np.cumsum([len(b) // 4 for b in enc], out=offsets[1:])
+    ids = np.frombuffer(b"".join(enc), dtype=np.int32)
+    mask = pa.array([v is None for v in values], type=pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids), mask=mask)
+
+
+def codepoint_ids(text: Column) -> Column:
+    """One id per code point, encoded a whole Arrow batch at a time."""
+    return _codepoints_arrow(text)
+
+
 def codepoint_text(ids: Column) -> Column:
     """Inverse of :func:`codepoint_ids` (``char`` would wrap above U+00FF)."""
     return F.array_join(

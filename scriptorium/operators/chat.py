@@ -72,8 +72,9 @@ def sft_examples(df: DataFrame, max_seq_len: int = 1024, tokenizer: str = "codep
     """
     r = render_texts(ensure_system(df, default_prompt, messages_col), template, messages_col)
     if tokenizer == "codepoints":
+        # One id per code point: the prompt length is its character count.
         r = r.withColumn("_full", K.codepoint_ids(F.col("full_text"))).withColumn(
-            "_prompt_len", F.size(K.codepoint_ids(F.col("prompt_text"))))
+            "_prompt_len", F.length("prompt_text"))
     else:
         pair = K.bpe_pair_encoder(tokenizer)(F.col("full_text"), F.col("prompt_text"))
         r = r.withColumn("_enc", pair).withColumn("_full", F.col("_enc.a")).withColumn(

@@ -11,42 +11,44 @@ the local part.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.session import materialize
 
-ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 100_000
 
 
-def bucket_count(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    return max(1, min(MAX_BUCKETS, math.ceil(n_rows / rows_per_bucket)))
+def default_buckets(spark) -> int:
+    """Range partitions for the two-level statistics: the job's shuffle
+    partition count, the knob already sized so a partition fits a task. No
+    counting pass is needed; the range bounds balance rows across them."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, min(MAX_BUCKETS, n))
 
 
 def exclusive_running_sum(df: DataFrame, order_cols: list[str], value_col: str, out_col: str,
-                          n_buckets: int | None = None) -> tuple[DataFrame, int]:
+                          n_buckets: int | None = None) -> tuple[DataFrame, int, int]:
     """``df`` (slim: order columns + value) with ``out_col`` = sum of ``value_col``
     over all rows strictly before it in ``order_cols`` order. Also returns the
-    grand total (a driver scalar)."""
+    grand total and the row count (driver scalars)."""
     slim = df.select(*order_cols, value_col)
     if n_buckets is None:
-        n_buckets = bucket_count(slim.count())
+        n_buckets = default_buckets(df.sparkSession)
     ranged = materialize(
         slim.repartitionByRange(n_buckets, *order_cols).withColumn("_bucket", F.spark_partition_id()),
         "ranged",
     )
-    totals = ranged.groupBy("_bucket").agg(F.sum(value_col).alias("_btot"))
+    totals = ranged.groupBy("_bucket").agg(F.sum(value_col).alias("_btot"), F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     # One row per range partition: bounded by n_buckets, safe to broadcast.
     offsets = totals.select(
         "_bucket", F.coalesce(F.sum("_btot").over(before), F.lit(0)).cast("bigint").alias("_boff"),
-        F.col("_btot"),
+        F.col("_btot"), F.col("_rows"),
     )
     off_rows = offsets.collect()
     grand_total = int(sum(r["_btot"] or 0 for r in off_rows))
+    n_rows = int(sum(r["_rows"] for r in off_rows))
     offsets_df = df.sparkSession.createDataFrame(
         [(r["_bucket"], r["_boff"]) for r in off_rows], "_bucket int, _boff bigint"
     )
@@ -56,7 +58,7 @@ def exclusive_running_sum(df: DataFrame, order_cols: list[str], value_col: str,
         .join(F.broadcast(offsets_df), "_bucket")
         .select(*order_cols, value_col, (F.col("_boff") + F.col("_local")).cast("bigint").alias(out_col))
     )
-    return out, grand_total
+    return out, grand_total, n_rows
 
 
 def global_row_index(df: DataFrame, order_cols: list[str], out_col: str = "row_index",
@@ -69,7 +71,7 @@ def global_row_index(df: DataFrame, order_cols: list[str], out_col: str = "row_i
     (broadcast) turns it into a global one. One shuffle, no window.
     """
     if n_buckets is None:
-        n_buckets = bucket_count(df.count())
+        n_buckets = default_buckets(df.sparkSession)
     ranged = materialize(
         df.repartitionByRange(n_buckets, *order_cols)
         .sortWithinPartitions(*order_cols)

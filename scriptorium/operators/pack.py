@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.operators.ordering import exclusive_running_sum
+from scriptorium.session import materialize
 
 # Offsets tables up to this many rows are broadcast to the token side; larger
 # ones are joined with a shuffle.
@@ -25,9 +26,12 @@ BROADCAST_OFFSET_ROWS = 4_000_000
 
 
 def token_offsets(tokens: DataFrame, order_col: str = "ord", ids_col: str = "input_ids",
-                  n_buckets: int | None = None) -> tuple[DataFrame, int]:
-    """``(order_col, n, start)`` per document and the total token count."""
-    lens = tokens.select(order_col, F.size(ids_col).cast("bigint").alias("n"))
+                  n_buckets: int | None = None, len_col: str | None = None) -> tuple[DataFrame, int, int]:
+    """``(order_col, n, start)`` per document, the total token count and the
+    document count. ``len_col`` names a stored length column, so the ids
+    themselves are not read."""
+    n = F.col(len_col) if len_col else F.size(ids_col)
+    lens = tokens.select(order_col, n.cast("bigint").alias("n"))
     return exclusive_running_sum(lens, [order_col], "n", "start", n_buckets)
 
 
@@ -54,24 +58,29 @@ def _pieces(df: DataFrame, ids_col: str, L: int, n_seqs: int) -> DataFrame:
 
 def pack_sequences(tokens: DataFrame, max_seq_len: int = 2048, order_col: str = "ord",
                    ids_col: str = "input_ids", n_buckets: int | None = None,
-                   broadcast_rows: int = BROADCAST_OFFSET_ROWS) -> DataFrame:
+                   broadcast_rows: int = BROADCAST_OFFSET_ROWS, materialize_input: bool = True) -> DataFrame:
     """``seq_id, input_ids, labels``; every row exactly ``max_seq_len`` long.
 
-    ``tokens`` should be materialised (Parquet) when its ids come from a
-    Python tokenizer: lengths and slices read it twice.
+    The input is written once (``order, n, ids``) to the checkpoint folder:
+    lengths and slices both read it, a Python tokenizer upstream runs once,
+    and the lineage is cut before the two shuffles. Lengths are then read
+    from their own column without touching the ids.
     """
     L = int(max_seq_len)
     if L <= 0:
         raise ValueError("max_seq_len must be positive")
-    offsets, total = token_offsets(tokens, order_col, ids_col, n_buckets)
+    src = tokens.select(order_col, ids_col, F.size(ids_col).cast("bigint").alias("_n"))
+    if materialize_input:
+        src = materialize(src, "tokens")
+    offsets, total, n_docs = token_offsets(src, order_col, ids_col, n_buckets, len_col="_n")
     n_seqs = total // L
     spark = tokens.sparkSession
     if n_seqs == 0:
         return spark.createDataFrame([], "seq_id bigint, input_ids array<int>, labels array<int>")
     offsets = offsets.select(order_col, "n", "start")
-    n_docs = offsets.count()
+    # The offsets table has one row per document; broadcast only below the cap.
     side = F.broadcast(offsets) if n_docs <= broadcast_rows else offsets
-    joined = tokens.select(order_col, ids_col).join(side, order_col)
+    joined = src.select(order_col, ids_col).join(side, order_col)
     grouped = (
         _pieces(joined, ids_col, L, n_seqs)
         .groupBy("seq_id")

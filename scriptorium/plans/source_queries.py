@@ -1,9 +1,9 @@
 """Source and sink queries.
 
 The corpus queries run on a directory that Spark writes from ``documents``
-(one ``.txt`` per document under the checkpoint folder):
-``<source>/<lang>/<doc_id>/<first 12 hex of md5(text)>.txt``. Documents
-with equal text share a book name, so the duplicate-name rule applies;
+(one ``.txt`` per distinct text and folder, under the checkpoint folder):
+``<source>/<lang>/<first 12 hex of md5(text)>.txt``. Equal texts in
+different folders share a book name, so the duplicate-name rule applies;
 documents of ``src0`` are written in Latin-1, so those with non-ASCII
 characters are undecodable and land in the audit table.
 """
@@ -36,8 +36,7 @@ def _fresh_dir(spark, name):
 
 
 def _rel_col():
-    return F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"),
-                       F.concat(F.substring(F.md5("text"), 1, 12), F.lit(".txt")))
+    return F.concat_ws("/", "source", "lang", F.concat(F.substring(F.md5("text"), 1, 12), F.lit(".txt")))
 
 
 def write_corpus(spark, data_dir):
@@ -45,7 +44,8 @@ def write_corpus(spark, data_dir):
     root = _fresh_dir(spark, "corpus")
     d = table(spark, data_dir, "documents")
     rows = d.select(_rel_col().alias("relpath"), "text",
-                    F.when(F.col("source") == LATIN1_SOURCE, "latin-1").otherwise("utf-8").alias("encoding"))
+                    F.when(F.col("source") == LATIN1_SOURCE, "latin-1").otherwise("utf-8").alias("encoding")
+                    ).dropDuplicates(["relpath"])
     sinks.write_text_files(rows, root, encoding_col="encoding").agg(F.count(F.lit(1))).collect()
     return root
 
@@ -56,7 +56,7 @@ def _rel(path_col, root):
 
 
 _FILES = f"""
-files AS (SELECT source || '/' || lang || '/' || doc_id::VARCHAR || '/' || left(md5(text), 12) || '.txt' AS rel,
+files AS (SELECT DISTINCT source || '/' || lang || '/' || left(md5(text), 12) || '.txt' AS rel,
                  left(md5(text), 12) AS name, text,
                  NOT (source = '{LATIN1_SOURCE}' AND regexp_matches(text, '[^\\x{{00}}-\\x{{7f}}]')) AS ok,
                  CASE WHEN source = '{LATIN1_SOURCE}' THEN length(text) ELSE strlen(text) END AS n_bytes

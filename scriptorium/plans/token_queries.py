@@ -10,7 +10,6 @@ from scriptorium.operators import pack as P
 from scriptorium.plans import fixtures
 from scriptorium.plans import oracle as O
 from scriptorium.plans.registry import query
-from scriptorium.session import materialize
 from scriptorium.sources import sinks
 from scriptorium.sources.tables import table
 
@@ -92,7 +91,7 @@ SELECT doc_id, length(text)::BIGINT AS n,
 FROM documents
 """)
 def token_offsets(spark, data_dir):
-    offsets, _ = P.token_offsets(_doc_tokens(spark, data_dir))
+    offsets, _, _ = P.token_offsets(_doc_tokens(spark, data_dir))
     return offsets.select(F.col("ord").alias("doc_id"), "n", "start")
 
 
@@ -188,7 +187,7 @@ def cpt_packed_bpe(spark, data_dir):
     d = fixtures.framed_documents(table(spark, data_dir, "documents"))
     c = C.clean_corpus(d)
     enc = K.bpe_encoder()
-    toks = materialize(c.select(F.col("doc_id").alias("ord"), enc(F.col("clean")).alias("input_ids")), "bpe_tokens")
+    toks = c.select(F.col("doc_id").alias("ord"), enc(F.col("clean")).alias("input_ids"))
     return _packed_out(P.pack_sequences(toks, SEQ_LEN))
 
 

@@ -71,3 +71,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster when it arrives in fewer
+    partitions than there are cores (a single large file, one row group).
+
+    Wide inputs (many files) pass through untouched, so at scale this adds
+    no shuffle; it only keeps a narrow input from serialising the per-row
+    work on one core.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

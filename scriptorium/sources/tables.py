@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from scriptorium.session import spread
+
 
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    """The table, spread over the cores when its files give fewer partitions."""
+    return spread(spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet"))

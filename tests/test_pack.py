@@ -75,13 +75,13 @@ def test_exact_multiple_and_spanning(spark):
 def test_running_sum_and_row_index(spark):
     rows = [(k, k % 5) for k in random.Random(3).sample(range(10_000), 500)]
     df = spark.createDataFrame(rows, "k long, v long")
-    out, total = exclusive_running_sum(df, ["k"], "v", "start", n_buckets=7)
+    out, total, nrows = exclusive_running_sum(df, ["k"], "v", "start", n_buckets=7)
     got = {r.k: r.start for r in out.collect()}
     acc = 0
     for k, v in sorted(rows):
         assert got[k] == acc
         acc += v
-    assert total == acc
+    assert total == acc and nrows == len(rows)
     idx = {r.k: r.row_index for r in global_row_index(df, ["k"], n_buckets=6).collect()}
     assert [idx[k] for k, _ in sorted(rows)] == list(range(len(rows)))
 
