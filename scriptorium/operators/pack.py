@@ -87,7 +87,8 @@ def pack_sequences(tokens: DataFrame, max_seq_len: int = 2048, order_col: str =
         .agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("ps"))
     )
     ids = F.flatten(F.transform("ps", lambda p: p["piece"]))
-    return grouped.select("seq_id", ids.alias("input_ids"), ids.alias("labels"))
+    # labels reference the computed ids (Catalyst keeps the flatten single).
+    return grouped.select("seq_id", ids.alias("input_ids")).withColumn("labels", F.col("input_ids"))
 
 
 def pack_stats(tokens: DataFrame, max_seq_len: int = 2048, ids_col: str = "input_ids") -> DataFrame:

@@ -60,15 +60,16 @@ def frame_column(doc_id: Column, text: Column) -> Column:
     return expr
 
 
-def framed_documents(documents: DataFrame) -> DataFrame:
-    return documents.select("doc_id", frame_column(F.col("doc_id"), F.col("text")).alias("text"))
+def framed_documents(documents: DataFrame, *extra: str) -> DataFrame:
+    return documents.select(*extra, "doc_id", frame_column(F.col("doc_id"), F.col("text")).alias("text"))
 
 
-def framed_sql(table: str = "documents") -> str:
-    """DuckDB: ``SELECT doc_id, text`` with the same frames."""
+def framed_sql(table: str = "documents", extra: str = "") -> str:
+    """DuckDB: ``SELECT doc_id, text`` (plus ``extra`` columns) with the same frames."""
     whens = []
     for i, parts in enumerate(FRAMES):
         vals = ["text" if p is TEXT else S.lit(p) for p in parts]
         value = vals[0] if len(vals) == 1 else "concat_ws(chr(10), " + ", ".join(vals) + ")"
         whens.append(f"WHEN {i} THEN {value}")
-    return f"SELECT doc_id, CASE doc_id % {len(FRAMES)} {' '.join(whens)} END AS text FROM {table}"
+    cols = f"{extra}, " if extra else ""
+    return f"SELECT {cols}doc_id, CASE doc_id % {len(FRAMES)} {' '.join(whens)} END AS text FROM {table}"

@@ -62,11 +62,15 @@ def marker_ctes(src: str = "framed") -> str:
     )
 
 
+def collapsed_body_sql() -> str:
+    """The cleaned body lines joined, blank runs collapsed (before the strip)."""
+    joined = f"array_to_string({line_clean('body')}, chr(10))"
+    return f"regexp_replace({joined}, {S.regex(chr(92) + 'n{3,}')}, chr(10) || chr(10), 'g')"
+
+
 def cleaned_ctes() -> str:
     """``framed``, markers, ``cleaned(doc_id, text, clean)``."""
-    joined = f"array_to_string({line_clean('body')}, chr(10))"
-    collapsed = f"regexp_replace({joined}, {S.regex(chr(92) + 'n{3,}')}, chr(10) || chr(10), 'g')"
     return (
         f"{framed_cte()}, {marker_ctes()}, "
-        f"cleaned AS (SELECT doc_id, text, {strip_ws(collapsed)} AS clean FROM body)"
+        f"cleaned AS (SELECT doc_id, text, {strip_ws(collapsed_body_sql())} AS clean FROM body)"
     )

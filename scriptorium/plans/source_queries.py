@@ -19,6 +19,7 @@ from scriptorium.functions import tokens as K
 from scriptorium.operators import clean as C
 from scriptorium.operators import chat as M
 from scriptorium.operators import pack as P
+from scriptorium.plans import fixtures
 from scriptorium.plans import oracle as O
 from scriptorium.plans.registry import query
 from scriptorium.plans.token_queries import SEQ_LEN
@@ -166,7 +167,6 @@ SELECT 'documents' AS input, {SEQ_LEN}::BIGINT AS max_seq_len, 'codepoints' AS t
 FROM t
 """)
 def dataset_manifest(spark, data_dir):
-    from scriptorium.plans import fixtures
     d = fixtures.framed_documents(table(spark, data_dir, "documents"))
     c = C.clean_corpus(d).select(F.col("doc_id").alias("ord"), F.col("clean").alias("text"))
     toks = c.select("ord", K.codepoint_ids(F.col("text")).alias("input_ids"))
@@ -179,3 +179,33 @@ def dataset_manifest(spark, data_dir):
     sinks.write_manifest(man, _fresh_dir(spark, "manifest"))
     return man.select("input", F.col("max_seq_len").cast("bigint").alias("max_seq_len"), "tokenizer",
                       "books", "total_chars", "total_tokens", "sequences")
+
+
+# -- streaming ------------------------------------------------------------------------------
+
+_STREAM_FILES = (
+    "framed AS (SELECT DISTINCT source || '/' || lang || '/' || left(md5(text), 12) || '.txt' AS doc_id, text "
+    f"FROM ({fixtures.framed_sql('documents', 'source, lang')}))"
+)
+
+
+@query("stream_clean_corpus", f"""
+WITH {_STREAM_FILES}, {O.marker_ctes()},
+cleaned AS (SELECT doc_id, {O.strip_ws(O.collapsed_body_sql())} AS clean FROM body)
+SELECT doc_id AS rel, length(clean)::BIGINT AS clean_chars, md5(clean) AS clean_md5 FROM cleaned
+""")
+def stream_clean_corpus(spark, data_dir):
+    """Framed documents land as ``.txt`` files; a Structured Streaming query
+    (availableNow) cleans and tokenises them into Parquet, which is read back."""
+    from scriptorium.streaming.corpus_stream import start_corpus_stream
+    root = _fresh_dir(spark, "stream-in")
+    d = fixtures.framed_documents(table(spark, data_dir, "documents"), "source", "lang")
+    rows = d.select(_rel_col().alias("relpath"), "text").dropDuplicates(["relpath"])
+    sinks.write_text_files(rows, root).agg(F.count(F.lit(1))).collect()
+    out = _fresh_dir(spark, "stream-out")
+    queries = start_corpus_stream(spark, root, out, checkpoint_location=_fresh_dir(spark, "stream-ckpt"))
+    for q in queries:
+        q.awaitTermination()
+    got = spark.read.parquet(f"{out}/cleaned")
+    return got.select(_rel(F.col("path"), root).alias("rel"), F.length("clean").cast("bigint").alias("clean_chars"),
+                      F.md5("clean").alias("clean_md5"))
