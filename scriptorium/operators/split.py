@@ -60,16 +60,28 @@ def _threshold(df: DataFrame, h: str, key: str, k: int):
     return row[0], row[1]
 
 
-def train_eval_split(df: DataFrame, key_col: str, fraction: float | int = 0.05, seed: int = 42,
-                     out_col: str = "split") -> DataFrame:
-    """Adds ``split`` = ``"eval"`` / ``"train"``; ``key_col`` must be unique."""
+def eval_threshold(df: DataFrame, key_col: str, fraction: float | int = 0.05, seed: int = 42):
+    """``(digest, key)`` of the last eval row, or ``None`` when eval is empty."""
     h = split_hash(F.col(key_col), seed)
     # Slim (digest, key) pairs, written once: the search reads them a few times.
     keyed = materialize(df.select(h.alias("_h"), F.col(key_col)), "split_keys")
-    n = keyed.count()
-    k = eval_size(n, fraction)
+    k = eval_size(keyed.count(), fraction)
     if k == 0:
-        return df.withColumn(out_col, F.lit("train"))
-    th, tk = _threshold(keyed, "_h", key_col, k)
-    is_eval = (h < F.lit(th)) | ((h == F.lit(th)) & (F.col(key_col) <= F.lit(tk)))
-    return df.withColumn(out_col, F.when(is_eval, "eval").otherwise("train"))
+        return None
+    return _threshold(keyed, "_h", key_col, k)
+
+
+def is_eval(key_col: str, seed: int, threshold) -> Column:
+    """The split label as one comparison against the threshold."""
+    if threshold is None:
+        return F.lit(False)
+    th, tk = threshold
+    h = split_hash(F.col(key_col), seed)
+    return (h < F.lit(th)) | ((h == F.lit(th)) & (F.col(key_col) <= F.lit(tk)))
+
+
+def train_eval_split(df: DataFrame, key_col: str, fraction: float | int = 0.05, seed: int = 42,
+                     out_col: str = "split") -> DataFrame:
+    """Adds ``split`` = ``"eval"`` / ``"train"``; ``key_col`` must be unique."""
+    threshold = eval_threshold(df, key_col, fraction, seed)
+    return df.withColumn(out_col, F.when(is_eval(key_col, seed, threshold), "eval").otherwise("train"))
