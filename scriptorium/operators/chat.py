@@ -108,3 +108,59 @@ def inference_prompts(df: DataFrame, prompt_col: str = "prompt", system: Column
 def completion_slice(ids: Column, prompt_len: Column) -> Column:
     """Generated ids after the first ``prompt_len`` (empty when none)."""
     return F.slice(ids, (prompt_len + 1).cast("int"), F.greatest(F.size(ids) - prompt_len, F.lit(0)).cast("int"))
+
+
+def sft_examples_from_turns(turns: DataFrame, max_seq_len: int = 1024, template: CH.ChatTemplate = CH.CHATML,
+                            default_prompt: str = DEFAULT_SYSTEM_PROMPT, conv_col: str = "conv_id",
+                            turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
+                            broadcast_rows: int = 4_000_000) -> DataFrame:
+    """Code-point SFT examples straight from turn rows, with bounded groups.
+
+    Equal to ``sft_examples(assemble_messages(turns), tokenizer="codepoints")``
+    but no conversation is ever collected whole: each message is rendered
+    as its own piece, piece offsets inside the conversation come from the
+    two-level running sum, the prompt length is a sum, and only pieces that
+    start inside the first ``max_seq_len`` characters are regrouped, so a
+    group holds at most ``max_seq_len`` ids even for a conversation holding
+    a third of all rows. Per-conversation facts (last turn, has a system
+    message, first offset) are one-row-per-conversation aggregates joined
+    back (broadcast below ``broadcast_rows``, else a shuffle join whose hot
+    keys AQE splits).
+    """
+    from scriptorium.operators.ordering import exclusive_running_sum
+
+    L = int(max_seq_len)
+    t = turns.select(F.col(conv_col).alias("_c"), F.lit(1).alias("_src"), F.col(turn_col).alias("_t"),
+                     F.col(role_col).alias("role"), F.col(text_col).alias("content"))
+    info = t.groupBy("_c").agg(F.max("_t").alias("_last"),
+                               F.max((F.col("role") == "system").cast("int")).alias("_has_sys"))
+    injected = info.where(F.col("_has_sys") == 0).select(
+        "_c", F.lit(0).alias("_src"), F.lit(0).cast(t.schema["_t"].dataType).alias("_t"),
+        F.lit("system").alias("role"), F.lit(default_prompt).alias("content"))
+    msgs = t.unionByName(injected)
+    piece = F.concat(F.lit(template.prefix), F.col("role"), F.lit(template.role_sep), F.col("content"),
+                     F.lit(template.suffix))
+    pieces = msgs.select("_c", "_src", "_t", piece.alias("_p"), F.length(piece).cast("bigint").alias("_n"))
+    offs, _, n_rows = exclusive_running_sum(pieces.select("_c", "_src", "_t", "_n"), ["_c", "_src", "_t"], "_n", "_g")
+    conv = offs.groupBy("_c").agg(F.min("_g").alias("_g0")).join(
+        info.select("_c", "_last"), "_c")
+    n_conv = info.count()
+    conv = F.broadcast(conv) if n_conv <= broadcast_rows else conv
+    located = offs.join(conv, "_c").select(
+        "_c", "_src", "_t", "_n", (F.col("_g") - F.col("_g0")).alias("_start"),
+        ((F.col("_src") == 1) & (F.col("_t") == F.col("_last"))).alias("_is_last"))
+    side = F.broadcast(located) if n_rows <= broadcast_rows else located
+    full = pieces.select("_c", "_src", "_t", "_p").join(side, ["_c", "_src", "_t"])
+    prompt_len = full.groupBy("_c").agg(
+        (F.sum(F.when(~F.col("_is_last"), F.col("_n")).otherwise(0))
+         + F.lit(len(template.generation_header))).cast("bigint").alias("prompt_len"))
+    head = full.where(F.col("_start") < L).select(
+        "_c", F.struct("_start", F.substring("_p", 1, L).alias("_s")).alias("_x"))
+    text = head.groupBy("_c").agg(F.array_sort(F.collect_list("_x")).alias("_xs")).select(
+        "_c", F.substring(F.array_join(F.transform("_xs", lambda x: x["_s"]), ""), 1, L).alias("_head"))
+    ex = text.join(prompt_len, "_c").withColumn("input_ids", K.codepoint_ids(F.col("_head")))
+    return ex.select(
+        F.col("_c").alias(conv_col), "input_ids",
+        F.array_repeat(F.lit(1), F.size("input_ids")).alias("attention_mask"),
+        mask_prompt(F.col("input_ids"), F.col("prompt_len")).alias("labels"),
+        "prompt_len")

@@ -265,3 +265,10 @@ def completion_slice(spark, data_dir):
     r = r.select("conv_id", comp.alias("completion"))
     return r.select("conv_id", F.length("completion").cast("bigint").alias("n_completion"),
                     F.md5("completion").alias("completion_md5"))
+
+
+@query("sft_examples_turns", f"WITH {_EX_CTES} {_EX_SELECT}")
+def sft_examples_turns(spark, data_dir):
+    """``sft_examples`` built from turn rows without collecting conversations."""
+    e = M.sft_examples_from_turns(table(spark, data_dir, "conversations"), SFT_LEN)
+    return _ex_out(e.withColumnRenamed("conv_id", "example_id"))

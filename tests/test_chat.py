@@ -115,3 +115,16 @@ def test_batches_and_padding(spark):
 def test_template_is_parameter():
     t = CH.ChatTemplate(prefix="[", role_sep=":", suffix="]\n", assistant_role="bot")
     assert t.generation_header == "[bot:"
+
+
+def test_turn_level_builder_equals_record_level_with_hot_conversation(spark):
+    rows = [(0, i, "user" if i % 2 == 0 else "assistant", f"m{i} " * (i % 5)) for i in range(300)]
+    rows += [(1, 0, "system", "S"), (1, 1, "user", "hi"), (2, 0, "user", "only")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for L in (7, 64, 100_000):
+        a = {r.conv_id: r for r in M.sft_examples_from_turns(turns, L).collect()}
+        b = {r.conv_id: r for r in M.sft_examples(M.assemble_messages(turns), L, keep=("conv_id",)).collect()}
+        assert a.keys() == b.keys() == {0, 1, 2}
+        for k in a:
+            assert (a[k].input_ids, a[k].labels, a[k].attention_mask, a[k].prompt_len) == \
+                   (b[k].input_ids, b[k].labels, b[k].attention_mask, b[k].prompt_len)
