@@ -196,3 +196,14 @@ def packed_roundtrip(spark, data_dir):
     packed = P.pack_sequences(_doc_tokens(spark, data_dir), SEQ_LEN)
     back = sinks.read_packed(spark, sinks.write_packed(packed))
     return _packed_out(back)
+
+
+@query("bpe_roundtrip", """
+SELECT doc_id, md5(text) AS decoded_md5, length(text)::BIGINT AS decoded_chars FROM documents
+""")
+def bpe_roundtrip(spark, data_dir):
+    """Byte-level BPE is lossless: decoding the encoded ids gives the text back."""
+    d = table(spark, data_dir, "documents")
+    enc, dec = K.bpe_encoder(), K.bpe_decoder(skip_special_tokens=False)
+    back = dec(enc(F.col("text")))
+    return d.select("doc_id", F.md5(back).alias("decoded_md5"), F.length(back).cast("bigint").alias("decoded_chars"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Iterator
 
@@ -92,6 +91,3 @@ def write_text_files(df: DataFrame, root: str, relpath_col: str = "relpath", tex
     cols = [relpath_col, text_col] + ([encoding_col] if encoding_col else [])
     return df.select(*cols).mapInPandas(write, f"{relpath_col} string, bytes long")
 
-
-def manifest_json(manifest_row: dict) -> str:
-    return json.dumps(manifest_row, sort_keys=True)
