@@ -92,7 +92,7 @@ def prepare_cpt(spark: SparkSession, corpus_dir: str, output_dir: str, params: C
         (F.col("sequences") * params.max_seq_len).cast("bigint").alias("tokens"),
     )
     plan = P.training_plan(packed, params.batch_size, params.grad_accum, params.num_epochs,
-                           P.steps_per_second_for(params.num_gpus, params.use_ddp))
+                           P.steps_per_second_for(params.use_ddp))
     man = sinks.dataset_manifest(counts, corpus_dir=corpus_dir, method="cpt", **_flat(params))
     sinks.write_manifest(man, f"{out}/manifest")
     return {

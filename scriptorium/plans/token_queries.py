@@ -207,3 +207,17 @@ def bpe_roundtrip(spark, data_dir):
     enc, dec = K.bpe_encoder(), K.bpe_decoder(skip_special_tokens=False)
     back = dec(enc(F.col("text")))
     return d.select("doc_id", F.md5(back).alias("decoded_md5"), F.length(back).cast("bigint").alias("decoded_chars"))
+
+
+@query("cpt_train_eval_split", pack_sql(_DOC_SRC) + """
+SELECT seq_id::BIGINT AS seq_id,
+       CASE WHEN row_number() OVER (ORDER BY md5('42:' || seq_id::VARCHAR), seq_id)
+                 <= ceil(0.05::DOUBLE * count(*) OVER ()) THEN 'eval' ELSE 'train' END AS split
+FROM seqs
+""")
+def cpt_train_eval_split(spark, data_dir):
+    """Packed sequences split into train / eval (fraction 0.05, seed 42)."""
+    from scriptorium.operators import split as SP
+    packed = P.pack_sequences(_doc_tokens(spark, data_dir), SEQ_LEN)
+    return SP.train_eval_split(packed.select("seq_id"), "seq_id", 0.05, 42).select(
+        F.col("seq_id").cast("bigint").alias("seq_id"), "split")
