@@ -113,7 +113,7 @@ def completion_slice(ids: Column, prompt_len: Column) -> Column:
 def sft_examples_from_turns(turns: DataFrame, max_seq_len: int = 1024, template: CH.ChatTemplate = CH.CHATML,
                             default_prompt: str = DEFAULT_SYSTEM_PROMPT, conv_col: str = "conv_id",
                             turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
-                            broadcast_rows: int = 4_000_000) -> DataFrame:
+                            broadcast_rows: int = 500_000) -> DataFrame:
     """Code-point SFT examples straight from turn rows, with bounded groups.
 
     Equal to ``sft_examples(assemble_messages(turns), tokenizer="codepoints")``

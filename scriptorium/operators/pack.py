@@ -22,7 +22,7 @@ from scriptorium.session import materialize
 
 # Offsets tables up to this many rows are broadcast to the token side; larger
 # ones are joined with a shuffle.
-BROADCAST_OFFSET_ROWS = 4_000_000
+BROADCAST_OFFSET_ROWS = 500_000  # about 12 MB of (order, n, start)
 
 
 def token_offsets(tokens: DataFrame, order_col: str = "ord", ids_col: str = "input_ids",
