@@ -23,6 +23,7 @@ from scriptorium.operators import pack as P
 from scriptorium.operators import split as SP
 from scriptorium.sources import corpus as CO
 from scriptorium.sources import jsonl as J
+from scriptorium.session import ship_package
 from scriptorium.sources import sinks
 
 
@@ -72,6 +73,7 @@ def _encoder(tokenizer: str):
 
 
 def prepare_cpt(spark: SparkSession, corpus_dir: str, output_dir: str, params: CPTParams = CPTParams()) -> dict:
+    ship_package(spark)
     out = output_dir.rstrip("/")
     books, audit = CO.load_books(spark, corpus_dir)
     # Book counts are observed while the tokens are written, not recounted.
@@ -120,6 +122,7 @@ def build_sft(messages: DataFrame, params: SFTParams = SFTParams(), template: CH
 
 
 def prepare_sft(spark: SparkSession, jsonl_path: str, output_dir: str, params: SFTParams = SFTParams()) -> dict:
+    ship_package(spark)
     out = output_dir.rstrip("/")
     msgs = J.read_chat_jsonl(spark, jsonl_path, strict=params.strict_jsonl)
     ex, rejects = build_sft(msgs, params)

@@ -7,10 +7,13 @@ Both sides alias every computed column to the same name.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from scriptorium.session import ship_package
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -21,7 +24,13 @@ def query(name: str, sql: str | None = None):
     def register(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, data_dir: str) -> DataFrame:
+            ship_package(spark)  # the Arrow UDFs import this package in the workers
+            return fn(spark, data_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

@@ -33,6 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
@@ -85,3 +86,47 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``scriptorium`` importable in the Python workers.
+
+    The Arrow UDFs reference functions of this package; workers resolve them
+    by import. The package is zipped once per application and added with
+    ``addPyFile`` (workers put it on ``sys.path`` for every task, also when
+    already running). A deployment that passes ``--py-files`` or installs the
+    package on the executors gets the same result.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import io
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, base))
+    if sc.master.startswith("local"):
+        target = os.path.join(tempfile.mkdtemp(prefix="scriptorium-pyfiles-"), "scriptorium.zip")
+        with open(target, "wb") as out:
+            out.write(buf.getvalue())
+    else:  # a shared folder the executors can fetch from
+        from pyarrow import fs as pafs
+
+        target = f"{checkpoint_root(spark).rstrip('/')}/{app}/pyfiles/scriptorium.zip"
+        filesystem, path = pafs.FileSystem.from_uri(target)
+        filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+        with filesystem.open_output_stream(path) as out:
+            out.write(buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(app)

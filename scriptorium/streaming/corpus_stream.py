@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from scriptorium.functions import text as T
 from scriptorium.functions import tokens as K
 from scriptorium.operators import clean as C
-from scriptorium.session import checkpoint_root
+from scriptorium.session import checkpoint_root, ship_package
 from scriptorium.sources.corpus import book_name
 
 
@@ -59,6 +59,7 @@ def start_corpus_stream(spark: SparkSession, corpus_dir: str, output_dir: str,
     ``checkpoint_location`` defaults to a folder under ``spark.checkpoint.dir``.
     With ``available_now`` the streams process what is there and stop.
     """
+    ship_package(spark)
     ckpt = (checkpoint_location or f"{checkpoint_root(spark).rstrip('/')}/streams").rstrip("/")
     files = read_corpus_stream(spark, corpus_dir)
 
