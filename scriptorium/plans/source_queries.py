@@ -18,7 +18,6 @@ from scriptorium.functions import text as T
 from scriptorium.functions import tokens as K
 from scriptorium.operators import clean as C
 from scriptorium.operators import chat as M
-from scriptorium.operators import pack as P
 from scriptorium.plans import fixtures
 from scriptorium.plans import oracle as O
 from scriptorium.plans.registry import query
