@@ -25,35 +25,41 @@ _START, _END = 1, 2
 
 
 def _marker_codes(lines: Column) -> Column:
+    # Both markers begin with a literal "***": lines without it skip the
+    # two case-folding regexes (an exact prefilter; most lines take it).
     return F.transform(
         lines,
-        lambda l: F.when(T.is_start_marker(l), F.lit(_START))
+        lambda l: F.when(~l.contains("***"), F.lit(0))
+        .when(T.is_start_marker(l), F.lit(_START))
         .when(T.is_end_marker(l), F.lit(_END))
         .otherwise(F.lit(0)),
     )
 
 
 def with_lines(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Add ``_lines`` (split on ``\\n``) and ``_mk`` (marker code per line)."""
-    return df.withColumn("_lines", T.split_lines(F.col(text_col))).withColumn(
-        "_mk", _marker_codes(F.col("_lines"))
+    """Add ``_lines`` (split on ``\\n``), ``_mk`` (marker code per line) and
+    ``_s`` / ``_e``: 1-based positions of the first START and first END line
+    (0 when absent), computed once per row, not once per line."""
+    return (
+        df.withColumn("_lines", T.split_lines(F.col(text_col)))
+        .withColumn("_mk", _marker_codes(F.col("_lines")))
+        .withColumn("_s", F.array_position("_mk", _START))
+        .withColumn("_e", F.array_position("_mk", _END))
     )
 
 
 def marker_positions(df: DataFrame, text_col: str = "text") -> DataFrame:
     """First START line and first END line (0-based, NULL when absent)."""
     w = with_lines(df, text_col)
-    s = F.array_position("_mk", _START)
-    e = F.array_position("_mk", _END)
+    s, e = F.col("_s"), F.col("_e")
     return w.withColumn("start_line", F.when(s > 0, s - 1).cast("bigint")).withColumn(
         "end_line", F.when(e > 0, e - 1).cast("bigint")
-    ).drop("_lines", "_mk")
+    ).drop("_lines", "_mk", "_s", "_e")
 
 
 def _body_filter(missing_start: str):
     """Predicate over (line, 0-based index) for the closed-form state machine."""
-    s = F.array_position("_mk", _START)  # 1-based, 0 when absent
-    e = F.array_position("_mk", _END)
+    s, e = F.col("_s"), F.col("_e")  # 1-based, 0 when absent
 
     def keep(line: Column, i: Column) -> Column:
         pos = i + 1
@@ -73,7 +79,7 @@ def body_lines(df: DataFrame, text_col: str = "text", missing_start: str = "empt
     if missing_start not in ("empty", "keep"):
         raise ValueError("missing_start must be 'empty' or 'keep'")
     keep = _body_filter(missing_start)
-    return with_lines(df, text_col).withColumn("_body", F.filter("_lines", keep)).drop("_lines", "_mk")
+    return with_lines(df, text_col).withColumn("_body", F.filter("_lines", keep)).drop("_lines", "_mk", "_s", "_e")
 
 
 def strip_boilerplate(df: DataFrame, text_col: str = "text", out_col: str = "body",

@@ -121,3 +121,16 @@ def test_missing_start_keep(spark):
     df = spark.createDataFrame([(0, "a\nb\n*** END OF THE PROJECT GUTENBERG\nlicence")], "doc_id long, text string")
     assert C.clean_corpus(df).first().clean == ""
     assert C.clean_corpus(df, missing_start="keep").first().clean == "a\nb"
+
+
+def test_long_book_is_linear_in_lines(spark):
+    import time
+    lines = ["*** START OF THE PROJECT GUTENBERG EBOOK BIG ***"]
+    lines += [f"line {i} -- “quoted”" if i % 97 else "XII." for i in range(150_000)]
+    lines += ["*** END OF THE PROJECT GUTENBERG EBOOK BIG ***", "licence"]
+    text = "\n".join(lines)
+    df = spark.createDataFrame([(0, text)], "doc_id long, text string")
+    t0 = time.time()
+    out = C.clean_corpus(df).first().clean
+    assert time.time() - t0 < 60
+    assert out == model_clean(text)
