@@ -35,13 +35,23 @@ def assemble_messages(turns: DataFrame, conv_col: str = "conv_id", turn_col: str
         .alias("messages"))
 
 
-def split_rejects(df: DataFrame, messages_col: str = "messages") -> tuple[DataFrame, DataFrame]:
-    """Valid rows, and rejects (NULL or empty messages, a NULL role or content)."""
+def split_rejects(df: DataFrame, messages_col: str = "messages",
+                  require_assistant_last: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Valid rows, and rejects (NULL or empty messages, a NULL role or content).
+
+    The last message is the training target whatever its role (faithful
+    default); ``require_assistant_last`` also rejects conversations that do
+    not end on an assistant message.
+    """
     m = F.col(messages_col)
     bad = (m.isNull() | (F.size(m) == 0)
            | F.exists(m, lambda x: x["role"].isNull() | x["content"].isNull()))
     reason = (F.when(m.isNull(), "messages missing").when(F.size(m) == 0, "messages empty")
               .otherwise("null role or content"))
+    if require_assistant_last:
+        not_assistant = F.coalesce(F.element_at(m, -1)["role"] != "assistant", F.lit(True))
+        reason = F.when(bad, reason).otherwise("last message not assistant")
+        bad = bad | not_assistant
     return df.where(~bad), df.where(bad).withColumn("reject_reason", reason)
 
 

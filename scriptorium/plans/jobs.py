@@ -58,6 +58,7 @@ class SFTParams:
     default_system_prompt: str = M.DEFAULT_SYSTEM_PROMPT
     tokenizer: str = "bpe"
     strict_jsonl: bool = True
+    require_assistant_last: bool = False  # True drops conversations ending on another role
 
     def __post_init__(self):
         if self.max_seq_len <= 0 or self.batch_size <= 0 or self.grad_accum <= 0 or self.num_epochs <= 0:
@@ -110,7 +111,7 @@ def prepare_cpt(spark: SparkSession, corpus_dir: str, output_dir: str, params: C
 def build_sft(messages: DataFrame, params: SFTParams = SFTParams(), template: CH.ChatTemplate = CH.CHATML,
               key_col: str = "example_id") -> tuple[DataFrame, DataFrame]:
     """(examples with ``split``, rejects) from ``key_col, messages`` rows."""
-    good, rejects = M.split_rejects(messages)
+    good, rejects = M.split_rejects(messages, require_assistant_last=params.require_assistant_last)
     tok = "codepoints" if params.tokenizer == "codepoints" else (
         K.default_tokenizer_file() if params.tokenizer == "bpe" else params.tokenizer)
     ex = M.sft_examples(good, params.max_seq_len, tok, template, params.default_system_prompt, keep=(key_col,))

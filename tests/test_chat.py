@@ -128,3 +128,12 @@ def test_turn_level_builder_equals_record_level_with_hot_conversation(spark):
         for k in a:
             assert (a[k].input_ids, a[k].labels, a[k].attention_mask, a[k].prompt_len) == \
                    (b[k].input_ids, b[k].labels, b[k].attention_mask, b[k].prompt_len)
+
+
+def test_require_assistant_last_option(spark):
+    df = _msgs(spark, [(0, [("user", "u"), ("assistant", "a")]), (1, [("assistant", "a"), ("user", "u")])])
+    good, bad = M.split_rejects(df)
+    assert good.count() == 2 and bad.count() == 0
+    good, bad = M.split_rejects(df, require_assistant_last=True)
+    assert [r.conv_id for r in good.collect()] == [0]
+    assert [r.reject_reason for r in bad.collect()] == ["last message not assistant"]
