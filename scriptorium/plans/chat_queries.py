@@ -272,3 +272,25 @@ def sft_examples_turns(spark, data_dir):
     """``sft_examples`` built from turn rows without collecting conversations."""
     e = M.sft_examples_from_turns(table(spark, data_dir, "conversations"), SFT_LEN)
     return _ex_out(e.withColumnRenamed("conv_id", "example_id"))
+
+
+@query("stream_sft_examples", f"WITH {_EX_CTES} {_EX_SELECT}")
+def stream_sft_examples(spark, data_dir):
+    """Conversations land as JSONL files; a Structured Streaming query
+    (availableNow) builds the SFT examples into Parquet, read back here."""
+    import uuid
+
+    from pyspark.sql import types as TY
+
+    from scriptorium.session import checkpoint_root
+    from scriptorium.sources import jsonl as J
+    from scriptorium.streaming.chat_stream import start_sft_stream
+
+    base = f"{checkpoint_root(spark).rstrip('/')}/{spark.sparkContext.applicationId}/sft-{uuid.uuid4().hex}"
+    msgs = M.assemble_messages(table(spark, data_dir, "conversations"))
+    J.to_jsonl_lines(msgs, extra=(F.col("conv_id").alias("id"),)).write.text(f"{base}/in")
+    extra = TY.StructType([TY.StructField("id", TY.LongType())])
+    for q in start_sft_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", SFT_LEN, extra=extra):
+        q.awaitTermination()
+    got = spark.read.parquet(f"{base}/out/examples").withColumnRenamed("id", "example_id")
+    return _ex_out(got)

@@ -40,15 +40,12 @@ def _single_json_value(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(ok)
 
 
-def read_chat_jsonl(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """``example_id, messages`` (``example_id`` = position in file order)."""
-    lines = spark.read.text(path).select(
-        T.strip_ws(F.col("value")).alias("line"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_pos"),
-    ).where(F.col("line") != "")
-    parsed = lines.withColumn("_j", F.from_json("line", SCHEMA, {"mode": "FAILFAST"}))
+def parse_chat_lines(lines: DataFrame, strict: bool = True, extra: TY.StructType | None = None) -> DataFrame:
+    """Raw ``value`` lines -> ``messages`` (+ ``extra`` fields), blank lines
+    skipped, bad lines failing the job. Row-local, so it also runs on a stream."""
+    schema = SCHEMA if extra is None else TY.StructType(SCHEMA.fields + extra.fields)
+    kept = lines.withColumn("line", T.strip_ws(F.col("value"))).where(F.col("line") != "")
+    parsed = kept.withColumn("_j", F.from_json("line", schema, {"mode": "FAILFAST"}))
     m = F.col("_j.messages")
     checks = [
         F.assert_true(m.isNotNull(), F.lit("JSONL line without 'messages'")),
@@ -59,9 +56,23 @@ def read_chat_jsonl(spark: SparkSession, path: str, strict: bool = True) -> Data
     # Each assert is NULL when it holds, so the coalesce yields the messages
     # and the checks run wherever the column is computed.
     guarded = F.coalesce(*[c.cast(CH.MESSAGES) for c in checks], m.cast(CH.MESSAGES))
-    checked = parsed.select("_file", "_block", "_pos", guarded.alias("messages"))
+    extras = [F.col(f"_j.{f.name}").alias(f.name) for f in (extra.fields if extra else [])]
+    keep = [c for c in lines.columns if c != "value"]
+    return parsed.select(*keep, guarded.alias("messages"), *extras)
+
+
+def read_chat_jsonl(spark: SparkSession, path: str, strict: bool = True,
+                    extra: TY.StructType | None = None) -> DataFrame:
+    """``example_id, messages`` (``example_id`` = position in file order)."""
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_pos"),
+    )
+    checked = parse_chat_lines(lines, strict, extra)
     indexed = global_row_index(checked, ["_file", "_block", "_pos"], "example_id")
-    return indexed.select("example_id", "messages")
+    return indexed.select("example_id", "messages", *[f.name for f in (extra.fields if extra else [])])
 
 
 def to_jsonl_lines(df: DataFrame, messages_col: str = "messages", extra: tuple[str, ...] = ()) -> DataFrame:

@@ -34,3 +34,22 @@ def test_stream_matches_batch_and_is_incremental(spark):
     assert names == ["one", "two"]
     ids = spark.read.parquet(f"{out}/cleaned").where("name = 'one'").first().input_ids
     assert ids == [ord(c) for c in expect]
+
+
+def test_sft_stream_routes_rejects_and_is_incremental(spark):
+    import json
+
+    from scriptorium.streaming.chat_stream import start_sft_stream
+
+    src, out, ckpt = (tempfile.mkdtemp(prefix=f"scriptorium-sft-{n}-") for n in ("in", "out", "ckpt"))
+    ok = json.dumps({"messages": [{"role": "user", "content": "hi"}, {"role": "assistant", "content": "yo"}]})
+    _write(src, "a.jsonl", (ok + "\n\n" + json.dumps({"messages": []}) + "\n").encode())
+    for q in start_sft_stream(spark, src, out, ckpt, max_seq_len=512):
+        q.awaitTermination()
+    ex = spark.read.parquet(f"{out}/examples").collect()
+    assert len(ex) == 1 and ex[0].labels[: ex[0].prompt_len] == [-100] * ex[0].prompt_len
+    assert spark.read.parquet(f"{out}/rejected").first().reject_reason == "messages empty"
+    _write(src, "b.jsonl", (ok.replace("yo", "hey") + "\n").encode())
+    for q in start_sft_stream(spark, src, out, ckpt, max_seq_len=512):
+        q.awaitTermination()
+    assert spark.read.parquet(f"{out}/examples").count() == 2
