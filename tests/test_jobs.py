@@ -53,3 +53,14 @@ def test_prepare_sft(spark):
         assert len(row.input_ids) == len(row.labels) == len(row.attention_mask) <= 64
         assert row.labels[: row.prompt_len] == [-100] * min(row.prompt_len, len(row.labels))
     assert spark.read.json(f"{out}/rejected").count() == 1
+
+
+def test_cli_cpt(spark, capsys):
+    from scriptorium.__main__ import main
+    root = _tree({"a.txt": BOOK.format(n="a", body="word " * 50).encode()})
+    out = tempfile.mkdtemp(prefix="scriptorium-cli-")
+    main(["cpt", "--corpus", root, "--out", out, "--max-seq-len", "32", "--tokenizer", "codepoints",
+          "--use-ddp", "false"])
+    printed = json.loads(capsys.readouterr().out)
+    assert printed["plan"]["sequences"] == len(("word " * 50).strip()) // 32
+    assert os.path.isdir(printed["packed"])
