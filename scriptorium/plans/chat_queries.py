@@ -278,15 +278,13 @@ def sft_examples_turns(spark, data_dir):
 def stream_sft_examples(spark, data_dir):
     """Conversations land as JSONL files; a Structured Streaming query
     (availableNow) builds the SFT examples into Parquet, read back here."""
-    import uuid
-
     from pyspark.sql import types as TY
 
-    from scriptorium.session import checkpoint_root
+    from scriptorium.session import scratch_path
     from scriptorium.sources import jsonl as J
     from scriptorium.streaming.chat_stream import start_sft_stream
 
-    base = f"{checkpoint_root(spark).rstrip('/')}/{spark.sparkContext.applicationId}/sft-{uuid.uuid4().hex}"
+    base = scratch_path(spark, "sft-stream")
     msgs = M.assemble_messages(table(spark, data_dir, "conversations"))
     J.to_jsonl_lines(msgs, extra=(F.col("conv_id").alias("id"),)).write.text(f"{base}/in")
     extra = TY.StructType([TY.StructField("id", TY.LongType())])

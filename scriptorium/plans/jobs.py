@@ -23,7 +23,7 @@ from scriptorium.operators import pack as P
 from scriptorium.operators import split as SP
 from scriptorium.sources import corpus as CO
 from scriptorium.sources import jsonl as J
-from scriptorium.session import ship_package
+from scriptorium.session import release_intermediates, ship_package
 from scriptorium.sources import sinks
 
 
@@ -98,7 +98,7 @@ def prepare_cpt(spark: SparkSession, corpus_dir: str, output_dir: str, params: C
                            P.steps_per_second_for(params.use_ddp))
     man = sinks.dataset_manifest(counts, corpus_dir=corpus_dir, method="cpt", **_flat(params))
     sinks.write_manifest(man, f"{out}/manifest")
-    return {
+    result = {
         "packed": packed_path,
         "split": f"{out}/split",
         "manifest": f"{out}/manifest",
@@ -106,6 +106,8 @@ def prepare_cpt(spark: SparkSession, corpus_dir: str, output_dir: str, params: C
         "stats": obs.get,
         "plan": plan.first().asDict(),
     }
+    release_intermediates(spark)  # every output above is written or collected
+    return result
 
 
 def build_sft(messages: DataFrame, params: SFTParams = SFTParams(), template: CH.ChatTemplate = CH.CHATML,
@@ -137,7 +139,9 @@ def prepare_sft(spark: SparkSession, jsonl_path: str, output_dir: str, params: S
     )
     man = sinks.dataset_manifest(counts, dataset=jsonl_path, method="sft", **_flat(params))
     sinks.write_manifest(man, f"{out}/manifest")
-    return {"examples": f"{out}/examples", "manifest": f"{out}/manifest", "counts": counts.first().asDict()}
+    result = {"examples": f"{out}/examples", "manifest": f"{out}/manifest", "counts": counts.first().asDict()}
+    release_intermediates(spark)
+    return result
 
 
 def _flat(params) -> dict:

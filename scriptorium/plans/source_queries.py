@@ -10,8 +10,6 @@ characters are undecodable and land in the audit table.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from scriptorium.functions import text as T
@@ -22,7 +20,7 @@ from scriptorium.plans import fixtures
 from scriptorium.plans import oracle as O
 from scriptorium.plans.registry import query
 from scriptorium.plans.token_queries import SEQ_LEN
-from scriptorium.session import checkpoint_root
+from scriptorium.session import scratch_path
 from scriptorium.sources import corpus as CO
 from scriptorium.sources import jsonl as J
 from scriptorium.sources import sinks
@@ -32,7 +30,7 @@ LATIN1_SOURCE = "src0"
 
 
 def _fresh_dir(spark, name):
-    return f"{checkpoint_root(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return scratch_path(spark, name)
 
 
 def _rel_col():

@@ -68,12 +68,42 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     so the result is the same after executor loss.
     """
     spark = df.sparkSession
-    root = checkpoint_root(spark)
-    path = f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+_INTERMEDIATES: dict[str, list[str]] = {}
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name under the checkpoint folder, released by
+    :func:`release_intermediates`."""
+    app = spark.sparkContext.applicationId
+    path = f"{checkpoint_root(spark).rstrip('/')}/{app}/{name}-{uuid.uuid4().hex}"
+    _INTERMEDIATES.setdefault(app, []).append(path)
+    return path
+
+
+def release_intermediates(spark: SparkSession) -> int:
+    """Delete the folders :func:`materialize` and :func:`scratch_path` handed
+    out in this application.
+
+    Call it once every DataFrame derived from them has been written or
+    collected (the jobs in :mod:`scriptorium.plans.jobs` do so at their end).
+    Returns the number of folders removed.
+    """
+    from pyarrow import fs as pafs
+
+    paths = _INTERMEDIATES.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        uri = path if "://" in path else "file://" + path
+        filesystem, local = pafs.FileSystem.from_uri(uri)
+        if filesystem.get_file_info(local).type != pafs.FileType.NotFound:
+            filesystem.delete_dir(local)
+    return len(paths)
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over the cluster when it arrives in fewer
     partitions than there are cores (a single large file, one row group).

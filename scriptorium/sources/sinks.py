@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.session import checkpoint_root
+from scriptorium.session import scratch_path
 
 PACKED_SCHEMA = "seq_id bigint, input_ids array<int>, labels array<int>"
 
 
 def _default_path(spark: SparkSession, name: str) -> str:
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return scratch_path(spark, name)
 
 
 def write_packed(packed: DataFrame, path: str | None = None, mode: str = "overwrite") -> str:
