@@ -93,3 +93,10 @@ def test_jsonl_reject_table_cases(spark):
     p = _jsonl('{"messages": []}\n{"messages": [{"role": "user", "content": null}]}\n' + GOOD + "\n")
     good, bad = M.split_rejects(J.read_chat_jsonl(spark, p))
     assert good.count() == 1 and bad.count() == 2
+
+
+def test_jsonl_duplicate_key_last_wins(spark):
+    line = ('{"messages": [{"role": "user", "content": "first"}], '
+            '"messages": [{"role": "user", "content": "second"}]}')
+    rows = J.read_chat_jsonl(spark, _jsonl(line + "\n")).collect()
+    assert [m.content for m in rows[0].messages] == ["second"]
