@@ -33,3 +33,23 @@ def test_sft_bpe_mask(spark):
     e = M.sft_examples(df, 1024, tokenizer=K.default_tokenizer_file()).first()
     assert e.prompt_len > 0 and e.labels[:e.prompt_len] == [-100] * e.prompt_len
     assert e.labels[e.prompt_len:] == e.input_ids[e.prompt_len:]
+
+
+def test_bpe_packing_equals_python_brute_force(spark):
+    import pyarrow.parquet as pq
+    from tokenizers import Tokenizer
+
+    from scriptorium.operators import pack as P
+
+    L = 512
+    t = pq.read_table(DOCS, columns=["doc_id", "text"]).to_pylist()
+    tok = Tokenizer.from_file(K.default_tokenizer_file())
+    stream = []
+    for row in sorted(t, key=lambda r: r["doc_id"]):
+        stream += tok.encode(row["text"], add_special_tokens=False).ids
+    n = len(stream) // L
+    d = spark.read.parquet(DOCS)
+    toks = d.select(F.col("doc_id").alias("ord"), K.bpe_encoder()(F.col("text")).alias("input_ids"))
+    got = [list(r.input_ids) for r in P.pack_sequences(toks, L, n_buckets=4).orderBy("seq_id").collect()]
+    assert len(got) == n and all(len(g) == L for g in got)
+    assert [x for g in got for x in g] == stream[: n * L]
