@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from scriptorium.functions import text as T
 from scriptorium.operators.ordering import global_row_index
@@ -66,7 +67,10 @@ def load_books(spark: SparkSession, corpus_dir: str, with_ord: bool = True) -> t
     Raises ``FileNotFoundError`` when no ``.txt`` file exists at all; a
     corpus whose files all fail to decode yields an empty book table.
     """
-    files = scan_corpus(spark, corpus_dir)
+    try:
+        files = scan_corpus(spark, corpus_dir)
+    except AnalysisException as exc:  # the folder itself does not exist
+        raise FileNotFoundError(f"No .txt files found under {corpus_dir}") from exc
     if files.select("path").isEmpty():
         raise FileNotFoundError(f"No .txt files found under {corpus_dir}")
     decoded, audit = decode_files(files)

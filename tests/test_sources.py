@@ -23,6 +23,8 @@ def test_no_txt_is_an_error(spark):
     root = _tree({"a/readme.md": b"x"})
     with pytest.raises(FileNotFoundError):
         CO.load_books(spark, root)
+    with pytest.raises(FileNotFoundError):
+        CO.load_books(spark, os.path.join(root, "missing"))
 
 
 def test_undecodable_only_gives_empty_and_audit(spark):
