@@ -104,18 +104,20 @@ def release_intermediates(spark: SparkSession) -> int:
     return len(paths)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster when it arrives in fewer
-    partitions than there are cores (a single large file, one row group).
+def spread(df: DataFrame, min_partitions: int | None = None, key: list[str] | None = None) -> DataFrame:
+    """Spread ``df`` over the cluster when it arrives in fewer partitions
+    than there are cores (a single large file, one row group).
 
     Wide inputs (many files) pass through untouched, so at scale this adds
     no shuffle; it only keeps a narrow input from serialising the per-row
-    work on one core.
+    work on one core. With a unique row ``key`` the rows are hash-partitioned
+    on it (balanced, and deterministic under task retries without the local
+    sort a round-robin repartition needs); without one, round-robin.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return df.repartition(target, *key) if key else df.repartition(target)
 
 
 _SHIPPED: set[str] = set()
