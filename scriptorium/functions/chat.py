@@ -11,6 +11,8 @@ MESSAGE = "struct<role:string,content:string>"
 MESSAGES = f"array<{MESSAGE}>"
 
 
+# Fixed values (ChatML): "<|im_start|>" + role + "\n" + content + "<|im_end|>\n";
+# generation header "<|im_start|>assistant\n".
 @dataclass(frozen=True)
 class ChatTemplate:
     """A template that renders each message as

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from scriptorium.functions import chat as CH
 from scriptorium.functions import tokens as K
 
+# The loss-ignore label and the default system prompt.
 IGNORE = -100
 DEFAULT_SYSTEM_PROMPT = "You are Plato."
 
