@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -121,6 +122,7 @@ def spread(df: DataFrame, min_partitions: int | None = None, key: list[str] | No
 
 
 _SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -136,6 +138,13 @@ def ship_package(spark: SparkSession) -> None:
     app = sc.applicationId
     if app in _SHIPPED:
         return
+    with _SHIP_LOCK:
+        if app not in _SHIPPED:
+            _ship(sc, spark, app)
+            _SHIPPED.add(app)
+
+
+def _ship(sc, spark: SparkSession, app: str) -> None:
     import io
     import zipfile
 
@@ -149,7 +158,9 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, base))
     if sc.master.startswith("local"):
-        target = os.path.join(tempfile.mkdtemp(prefix="scriptorium-pyfiles-"), "scriptorium.zip")
+        folder = os.path.join(tempfile.gettempdir(), f"scriptorium-pyfiles-{app}")
+        os.makedirs(folder, exist_ok=True)
+        target = os.path.join(folder, "scriptorium.zip")
         with open(target, "wb") as out:
             out.write(buf.getvalue())
     else:  # a shared folder the executors can fetch from
@@ -160,5 +171,8 @@ def ship_package(spark: SparkSession) -> None:
         filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
         with filesystem.open_output_stream(path) as out:
             out.write(buf.getvalue())
-    sc.addPyFile(target)
-    _SHIPPED.add(app)
+    try:
+        sc.addPyFile(target)
+    except Exception as exc:  # same application, shipped before a module reload
+        if "already" not in str(exc).lower():
+            raise
