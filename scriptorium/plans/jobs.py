@@ -76,13 +76,14 @@ def _encoder(tokenizer: str):
 def prepare_cpt(spark: SparkSession, corpus_dir: str, output_dir: str, params: CPTParams = CPTParams()) -> dict:
     ship_package(spark)
     out = output_dir.rstrip("/")
-    books, audit = CO.load_books(spark, corpus_dir)
+    # Book order is sorted first path; packing orders by it directly.
+    books, audit = CO.load_books(spark, corpus_dir, with_ord=False)
     # Book counts are observed while the tokens are written, not recounted.
     obs = Observation("cleaned")
     cleaned = C.clean_corpus(books, "text", "clean", params.missing_start).observe(
         obs, F.count(F.lit(1)).alias("books"), F.coalesce(F.sum(F.length("clean")), F.lit(0)).alias("clean_chars"))
-    tokens = cleaned.select("ord", _encoder(params.tokenizer)(F.col("clean")).alias("input_ids"))
-    packed = P.pack_sequences(tokens, params.max_seq_len)
+    tokens = cleaned.select("first_path", _encoder(params.tokenizer)(F.col("clean")).alias("input_ids"))
+    packed = P.pack_sequences(tokens, params.max_seq_len, order_col="first_path")
     packed_path = sinks.write_packed(packed, f"{out}/packed")
     packed = sinks.read_packed(spark, packed_path)
     split = SP.train_eval_split(packed, "seq_id", params.eval_split, params.seed)

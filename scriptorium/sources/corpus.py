@@ -64,8 +64,11 @@ def resolve_names(decoded: DataFrame) -> DataFrame:
 def load_books(spark: SparkSession, corpus_dir: str, with_ord: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(books, audit)``; books are ``ord, name, text`` in load order.
 
-    Raises ``FileNotFoundError`` when no ``.txt`` file exists at all; a
-    corpus whose files all fail to decode yields an empty book table.
+    ``ord`` is a dense 0-based position (one range shuffle of the books);
+    with ``with_ord=False`` the books are ``first_path, name, text`` and
+    ``first_path`` itself is the order key (what packing needs), saving
+    that shuffle. Raises ``FileNotFoundError`` when no ``.txt`` file exists
+    at all; a corpus whose files all fail to decode yields an empty table.
     """
     try:
         files = scan_corpus(spark, corpus_dir)
