@@ -114,6 +114,10 @@ def spread(df: DataFrame, min_partitions: int | None = None, key: list[str] | No
     work on one core. With a unique row ``key`` the rows are hash-partitioned
     on it (balanced, and deterministic under task retries without the local
     sort a round-robin repartition needs); without one, round-robin.
+
+    The test is the scan's partition count, which assumes the default split
+    sizing: a lowered ``spark.sql.files.openCostInBytes`` can cut one
+    row group into several splits of which only one holds rows.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
