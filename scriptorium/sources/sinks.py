@@ -17,16 +17,21 @@ def _default_path(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
 
-def write_packed(packed: DataFrame, path: str | None = None, mode: str = "overwrite") -> str:
-    """Write packed sequences as Parquet, with the order key stored.
-
-    Rows are range-partitioned on ``seq_id`` so each file holds a contiguous
-    block of sequences (readers that stream files in order see the order).
+def write_packed(packed: DataFrame, path: str | None = None, mode: str = "overwrite",
+                 ordered: bool = False) -> str:
+    """Write packed sequences as Parquet, with the order key ``seq_id`` stored.
+
+    By default each file is sorted by ``seq_id`` without another shuffle;
+    ``ordered=True`` range-partitions first so every file holds one
+    contiguous block (a full extra shuffle of the tokens, only worth it for
+    readers that stream files in order).
     """
     path = path or _default_path(packed.sparkSession, "packed")
-    n = max(1, packed.sparkSession.sparkContext.defaultParallelism)
-    (packed.repartitionByRange(n, "seq_id").sortWithinPartitions("seq_id")
-     .write.mode(mode).parquet(path))
+    out = packed
+    if ordered:
+        n = max(1, packed.sparkSession.sparkContext.defaultParallelism)
+        out = out.repartitionByRange(n, "seq_id")
+    out.sortWithinPartitions("seq_id").write.mode(mode).parquet(path)
     return path
 
 
