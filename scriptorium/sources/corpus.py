@@ -15,7 +15,7 @@ Known difference: Spark's file index skips names starting with ``_`` or
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
@@ -61,7 +61,8 @@ def resolve_names(decoded: DataFrame) -> DataFrame:
     )
 
 
-def load_books(spark: SparkSession, corpus_dir: str, with_ord: bool = True) -> tuple[DataFrame, DataFrame]:
+def load_books(spark: SparkSession, corpus_dir: str, with_ord: bool = True,
+               observation: Observation | None = None) -> tuple[DataFrame, DataFrame]:
     """``(books, audit)``; books are ``ord, name, text`` in load order.
 
     ``ord`` is a dense 0-based position (one range shuffle of the books);
@@ -69,6 +70,9 @@ def load_books(spark: SparkSession, corpus_dir: str, with_ord: bool = True) -> t
     ``first_path`` itself is the order key (what packing needs), saving
     that shuffle. Raises ``FileNotFoundError`` when no ``.txt`` file exists
     at all; a corpus whose files all fail to decode yields an empty table.
+    ``observation`` (optional) receives ``files`` and ``undecodable`` counts
+    from the first pass over the files, so callers can skip the audit scan
+    when nothing failed.
     """
     try:
         files = scan_corpus(spark, corpus_dir)
@@ -76,6 +80,10 @@ def load_books(spark: SparkSession, corpus_dir: str, with_ord: bool = True) -> t
         raise FileNotFoundError(f"No .txt files found under {corpus_dir}") from exc
     if files.select("path").isEmpty():
         raise FileNotFoundError(f"No .txt files found under {corpus_dir}")
+    if observation is not None:
+        bad = (~F.is_valid_utf8(F.col("content").cast("string"))).cast("int")
+        files = files.observe(observation, F.count(F.lit(1)).alias("files"),
+                              F.coalesce(F.sum(bad), F.lit(0)).alias("undecodable"))
     decoded, audit = decode_files(files)
     books = resolve_names(decoded)
     if with_ord:

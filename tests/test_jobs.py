@@ -32,6 +32,7 @@ def test_prepare_cpt(spark):
     assert "".join(chr(x) for row in rows for x in row.input_ids) == stream[: n * 16]
     assert r["counts"]["eval"] == -(-n // 4) and sum(r["counts"].values()) == n
     assert r["stats"]["books"] == 3
+    assert r["stats"]["files"] == 4 and r["stats"]["undecodable"] == 1
     assert spark.read.json(f"{out}/rejected").count() == 1
     man = spark.read.json(r["manifest"]).first()
     assert man.sequences == n and man.method == "cpt" and man.max_seq_len == 16
