@@ -1 +1 @@
-
+"""Column-level building blocks: text rules, tokenizers, chat templates."""

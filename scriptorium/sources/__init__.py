@@ -1 +1 @@
-
+"""Corpus folders, chat JSONL, tables and dataset sinks."""
