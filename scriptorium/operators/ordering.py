@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from scriptorium.session import materialize
 
 MAX_BUCKETS = 100_000
+# At most this many slim rows take the one-window path (about 8 MB of
+# (order, value) pairs, the same bound the offsets broadcast uses).
+SMALL_ROWS = 500_000
 
 
 def default_buckets(spark) -> int:
@@ -28,11 +31,24 @@ def default_buckets(spark) -> int:
 
 
 def exclusive_running_sum(df: DataFrame, order_cols: list[str], value_col: str, out_col: str,
-                          n_buckets: int | None = None) -> tuple[DataFrame, int, int]:
+                          n_buckets: int | None = None, small_rows: int = SMALL_ROWS) -> tuple[DataFrame, int, int]:
     """``df`` (slim: order columns + value) with ``out_col`` = sum of ``value_col``
     over all rows strictly before it in ``order_cols`` order. Also returns the
-    grand total and the row count (driver scalars)."""
+    grand total and the row count (driver scalars).
+
+    Up to ``small_rows`` rows (checked by one aggregation) a single ordered
+    window computes it; above, the two-level form (range partitions fixed by
+    a write, broadcast per-partition totals, a window inside each). An
+    explicit ``n_buckets`` always takes the two-level form.
+    """
     slim = df.select(*order_cols, value_col)
+    if n_buckets is None:
+        st = slim.agg(F.count(F.lit(1)).alias("n"), F.sum(value_col).alias("t")).first()
+        if st["n"] <= small_rows:
+            # Bounded by the check above: one task orders at most small_rows slim rows.
+            w = Window.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+            out = slim.withColumn(out_col, F.coalesce(F.sum(value_col).over(w), F.lit(0)).cast("bigint"))
+            return out, int(st["t"] or 0), int(st["n"])
     if n_buckets is None:
         n_buckets = default_buckets(df.sparkSession)
     ranged = materialize(
