@@ -78,15 +78,24 @@ def exclusive_running_sum(df: DataFrame, order_cols: list[str], value_col: str,
 
 
 def global_row_index(df: DataFrame, order_cols: list[str], out_col: str = "row_index",
-                     n_buckets: int | None = None) -> DataFrame:
-    """0-based position of each row in ``order_cols`` order (keys unique).
+                     n_buckets: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
+    """0-based position of each row in ``order_cols`` order (keys unique, non-null).
 
     Range partitioning plus ``sortWithinPartitions`` gives each partition a
     consecutive key range in order, so ``monotonically_increasing_id`` is a
     local position; the write fixes it; a one-row-per-partition count table
     (broadcast) turns it into a global one. One shuffle, no window.
+
+    Up to ``small_rows`` rows (checked by a count) only the key columns are
+    numbered, in one ordered window, and the numbering is broadcast-joined
+    back; the wide rows never sit in one task.
     """
     if n_buckets is None:
+        if df.count() <= small_rows:
+            keys = df.select(*order_cols)
+            w = Window.orderBy(*order_cols)
+            numbered = keys.withColumn(out_col, (F.row_number().over(w) - 1).cast("bigint"))
+            return df.join(F.broadcast(numbered), order_cols)
         n_buckets = default_buckets(df.sparkSession)
     ranged = materialize(
         df.repartitionByRange(n_buckets, *order_cols)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from scriptorium.functions import text as T
-from scriptorium.operators.ordering import global_row_index
+from scriptorium.operators.ordering import default_buckets, global_row_index
 
 
 def scan_corpus(spark: SparkSession, corpus_dir: str) -> DataFrame:
@@ -87,7 +87,10 @@ def load_books(spark: SparkSession, corpus_dir: str, with_ord: bool = True,
     decoded, audit = decode_files(files)
     books = resolve_names(decoded)
     if with_ord:
-        books = global_row_index(books, ["first_path"], "ord").select("ord", "name", "text")
+        # The two-level form writes the resolved books once; the key-only
+        # form would read every file again for the count and the keys.
+        books = global_row_index(books, ["first_path"], "ord", n_buckets=default_buckets(spark)).select(
+            "ord", "name", "text")
     return books, audit
 
 
