@@ -24,10 +24,13 @@ SMALL_ROWS = 500_000
 
 def default_buckets(spark) -> int:
     """Range partitions for the two-level statistics: the job's shuffle
-    partition count, the knob already sized so a partition fits a task. No
+    partition count, the knob already sized so a partition fits a task,
+    capped at four per core (explicit counts are not coalesced by AQE, so an
+    unsized default of 200 on a small machine would only add tasks). No
     counting pass is needed; the range bounds balance rows across them."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(MAX_BUCKETS, n))
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, min(MAX_BUCKETS, n, 4 * cores))
 
 
 def exclusive_running_sum(df: DataFrame, order_cols: list[str], value_col: str, out_col: str,
