@@ -18,10 +18,21 @@ IGNORE = -100
 
 
 def assign_batches(df: DataFrame, order_cols: list[str], batch_size: int = 2, grad_accum: int = 8,
-                   n_buckets: int | None = None) -> DataFrame:
+                   n_buckets: int | None = None, by_length: str | None = None) -> DataFrame:
+    """``row_index``, ``batch_id``, ``step_id`` over the ``order_cols`` order.
+
+    ``by_length`` names an array column: rows are then ordered by its size
+    first (ties in ``order_cols`` order), so each batch holds rows of similar
+    length and dynamic padding shrinks. Off by default (the plain order).
+    """
     if batch_size <= 0 or grad_accum <= 0:
         raise ValueError("batch_size and grad_accum must be positive")
+    if by_length:
+        df = df.withColumn("_len", F.size(by_length))
+        order_cols = ["_len", *order_cols]
     idx = global_row_index(df, order_cols, "row_index", n_buckets)
+    if by_length:
+        idx = idx.drop("_len")
     return idx.withColumn("batch_id", F.expr(f"row_index div {int(batch_size)}")).withColumn(
         "step_id", F.expr(f"row_index div {int(batch_size) * int(grad_accum)}"))
 

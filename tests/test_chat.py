@@ -137,3 +137,19 @@ def test_require_assistant_last_option(spark):
     good, bad = M.split_rejects(df, require_assistant_last=True)
     assert [r.conv_id for r in good.collect()] == [0]
     assert [r.reject_reason for r in bad.collect()] == ["last message not assistant"]
+
+
+def test_length_sorted_batches_reduce_padding(spark):
+    import random
+    rnd = random.Random(1)
+    rows = [(i, [1] * rnd.randint(1, 50)) for i in range(64)]
+    df = spark.createDataFrame(rows, "example_id long, input_ids array<int>").withColumn(
+        "attention_mask", F.transform("input_ids", lambda x: F.lit(1))).withColumn("labels", F.col("input_ids"))
+
+    def padded_total(b):
+        return sum(len(r.input_ids) for r in B.collate_pad(b, pad_id=0).collect())
+
+    plain = B.assign_batches(df, ["example_id"], batch_size=4, grad_accum=1)
+    sorted_ = B.assign_batches(df, ["example_id"], batch_size=4, grad_accum=1, by_length="input_ids")
+    assert sorted_.count() == 64 and sorted(r.row_index for r in sorted_.collect()) == list(range(64))
+    assert padded_total(sorted_) < padded_total(plain)
