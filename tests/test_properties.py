@@ -34,3 +34,19 @@ def test_cleaner_equals_model(spark, docs):
     df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
     got = {r.doc_id: r.clean for r in C.clean_corpus(df).collect()}
     assert all(got[i] == model_clean(d) for i, d in enumerate(docs))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.too_slow, HealthCheck.function_scoped_fixture])
+@given(keys=st.sets(st.integers(-10**12, 10**12), min_size=1, max_size=400),
+       fraction=st.floats(0.0, 0.9), seed=st.integers(0, 1000))
+def test_split_equals_brute_force(spark, monkeypatch, keys, fraction, seed):
+    import hashlib
+    import math
+
+    from scriptorium.operators import split as SP
+
+    monkeypatch.setattr(SP, "SMALL_BUCKET", 3)  # force the multi-level digest search
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    got = {r.k for r in SP.train_eval_split(df, "k", fraction, seed).where("split = 'eval'").collect()}
+    order = sorted(keys, key=lambda k: (hashlib.md5(f"{seed}:{k}".encode()).hexdigest(), k))
+    assert got == set(order[: math.ceil(fraction * len(keys))])
