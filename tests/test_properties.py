@@ -50,3 +50,27 @@ def test_split_equals_brute_force(spark, monkeypatch, keys, fraction, seed):
     got = {r.k for r in SP.train_eval_split(df, "k", fraction, seed).where("split = 'eval'").collect()}
     order = sorted(keys, key=lambda k: (hashlib.md5(f"{seed}:{k}".encode()).hexdigest(), k))
     assert got == set(order[: math.ceil(fraction * len(keys))])
+
+
+_content = st.text(st.characters(blacklist_categories=("Cs",)), max_size=30)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(convs=st.lists(st.lists(st.tuples(st.sampled_from(["system", "user", "assistant"]), _content),
+                               min_size=1, max_size=4), min_size=1, max_size=15),
+       ascii_only=st.booleans())
+def test_jsonl_reader_equals_python_json(spark, convs, ascii_only):
+    import json
+    import os
+    import tempfile
+
+    from scriptorium.sources import jsonl as J
+
+    root = tempfile.mkdtemp(prefix="scriptorium-prop-jsonl-")
+    path = os.path.join(root, "x.jsonl")
+    with open(path, "w", encoding="utf-8") as f:
+        for c in convs:
+            f.write(json.dumps({"messages": [{"role": r, "content": t} for r, t in c]}, ensure_ascii=ascii_only))
+            f.write("\n")
+    rows = J.read_chat_jsonl(spark, path).orderBy("example_id").collect()
+    assert [[(m.role, m.content) for m in r.messages] for r in rows] == [list(c) for c in convs]
