@@ -74,3 +74,19 @@ def test_jsonl_reader_equals_python_json(spark, convs, ascii_only):
             f.write("\n")
     rows = J.read_chat_jsonl(spark, path).orderBy("example_id").collect()
     assert [[(m.role, m.content) for m in r.messages] for r in rows] == [list(c) for c in convs]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(convs=st.lists(st.lists(st.tuples(st.sampled_from(["system", "user", "assistant"]),
+                                         st.text(alphabet="ab é\n", max_size=12)), min_size=1, max_size=6),
+                      min_size=1, max_size=12),
+       L=st.integers(1, 120))
+def test_turn_level_sft_equals_record_level(spark, convs, L):
+    from scriptorium.operators import chat as M
+
+    rows = [(c, t, role, text) for c, conv in enumerate(convs) for t, (role, text) in enumerate(conv)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    a = {r.conv_id: (r.input_ids, r.labels, r.prompt_len) for r in M.sft_examples_from_turns(turns, L).collect()}
+    b = {r.conv_id: (r.input_ids, r.labels, r.prompt_len)
+         for r in M.sft_examples(M.assemble_messages(turns), L, keep=("conv_id",)).collect()}
+    assert a == b
