@@ -2,6 +2,7 @@
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from scriptorium.operators import clean as C
 from scriptorium.operators import pack as P
@@ -90,3 +91,22 @@ def test_turn_level_sft_equals_record_level(spark, convs, L):
     b = {r.conv_id: (r.input_ids, r.labels, r.prompt_len)
          for r in M.sft_examples(M.assemble_messages(turns), L, keep=("conv_id",)).collect()}
     assert a == b
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(n=st.integers(0, 5000), bs=st.integers(1, 8), acc=st.integers(1, 16), ep=st.integers(1, 5),
+       ddp=st.booleans())
+def test_training_plan_formula(spark, n, bs, acc, ep, ddp):
+    import math
+
+    from scriptorium.operators import pack as P
+
+    rate = P.steps_per_second_for(ddp)
+    packed = spark.range(n).select(F.col("id").alias("seq_id"))
+    r = P.training_plan(packed, bs, acc, ep, rate).first()
+    spe = max(1, math.ceil(n / (bs * acc)))
+    secs = spe * ep / rate
+    m, s = divmod(int(secs), 60)
+    h, m = divmod(m, 60)
+    assert (r.steps_per_epoch, r.total_steps, r.hours, r.minutes, r.seconds) == (spe, spe * ep, h, m, s)
+    assert (r.epoch_hours, r.epoch_minutes) == (h // ep, m // ep) and r.total_seconds == round(secs, 6)
