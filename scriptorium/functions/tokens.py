@@ -55,13 +55,30 @@ def codepoint_ids(text: Column) -> Column:
     return _codepoints_arrow(text)
 
 
-def codepoint_text(ids: Column) -> Column:
-    """Inverse of :func:`codepoint_ids` (``char`` would wrap above U+00FF)."""
+def codepoint_text_expr(ids: Column) -> Column:
+    """Inverse of :func:`codepoint_ids` as a JVM expression, one id at a time
+    (``char`` would wrap above U+00FF, so each id goes through UTF-32)."""
     return F.array_join(
         F.transform(ids, lambda x: F.decode(F.unhex(F.lpad(F.hex(x), 8, "0")), "UTF-32")), ""
     )
 
 
+@F.arrow_udf(T.StringType())
+def _codepoint_text_arrow(a: pa.Array) -> pa.Array:
+    values = a.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False)
+    offsets = a.offsets.to_numpy()
+    valid = a.is_valid().to_numpy(zero_copy_only=False)
+    raw = values.tobytes()
+    out = [raw[4 * offsets[i]:4 * offsets[i + 1]].decode("utf-32-le") if valid[i] else None
+           for i in range(len(a))]
+    return pa.array(out, type=pa.string())
+
+
+def codepoint_text(ids: Column) -> Column:
+    """Inverse of :func:`codepoint_ids`, decoded a whole Arrow batch at a time."""
+    return _codepoint_text_arrow(ids)
+
+
 # -- byte-level BPE ----------------------------------------------------------------
 
 def default_tokenizer_file() -> str:

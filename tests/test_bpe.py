@@ -53,3 +53,13 @@ def test_bpe_packing_equals_python_brute_force(spark):
     got = [list(r.input_ids) for r in P.pack_sequences(toks, L, n_buckets=4).orderBy("seq_id").collect()]
     assert len(got) == n and all(len(g) == L for g in got)
     assert [x for g in got for x in g] == stream[: n * L]
+
+
+def test_codepoint_round_trip_edges(spark):
+    texts = ["aé𝄞\n", "", None, "\u0000x "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    ids = K.codepoint_ids(F.col("t"))
+    rows = df.select(ids.alias("i"), K.codepoint_text(ids).alias("a"), K.codepoint_text_expr(ids).alias("j")).collect()
+    assert [r.a for r in rows] == texts
+    assert [r.j for r in rows if r.i is not None] == [t for t in texts if t is not None]
+    assert rows[0].i == [97, 233, 119070, 10] and rows[2].i is None
