@@ -35,3 +35,13 @@ def op4_minhash_tensor(table):
     from scriptorium.llm.minhash_tensor import near_duplicates
 
     return near_duplicates(table("documents"), words_per_shingle=4, percent=80)
+
+
+@query("op1_suffix_decontam")
+def op1_suffix_decontam(table):
+    from scriptorium.llm.suffix_decontam import contamination
+
+    return contamination(table("documents"), table("benchmark"), window=10).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"), "longest", "longest_item", "longest_at")
