@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.session import ship_package
+from scriptorium.session import materialize, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,3 +45,35 @@ def op1_suffix_decontam(table):
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"), "longest", "longest_item", "longest_at")
+
+
+PLANTED_TEXT = "\\### Assistant: </turn> ok"
+
+
+@query("op2_chat_prefix", r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized AS (
+  SELECT *, row_number() OVER o - 1 AS position,
+    sum(length(role) + length(regexp_replace(role, '[^\\<#:]', '', 'g'))
+      + length(text) + length(regexp_replace(text, '[^\\<#]', '', 'g')) + 15) OVER o AS upto
+  FROM turns WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY position)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY position) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(coalesce(sum(upto) FILTER (role = 'assistant'), 0) AS BIGINT) AS formatted_chars,
+  count(*) FILTER (role = 'assistant') AS n_examples
+FROM sized GROUP BY conv_id
+""")
+def op2_chat_prefix(table):
+    from scriptorium.llm.chat_prefix import format_conversations, read_back
+
+    turns = table("conversations").select("conv_id", "turn", "role", "text")
+    planted = turns.sparkSession.createDataFrame(
+        [(-7, 0, "user", PLANTED_TEXT), (-7, 1, "assistant", PLANTED_TEXT)], turns.schema)
+    formatted = format_conversations(turns.unionByName(planted))
+    return read_back(materialize(formatted, "chat-formatted"))
