@@ -77,3 +77,32 @@ def op2_chat_prefix(table):
         [(-7, 0, "user", PLANTED_TEXT), (-7, 1, "assistant", PLANTED_TEXT)], turns.schema)
     formatted = format_conversations(turns.unionByName(planted))
     return read_back(materialize(formatted, "chat-formatted"))
+
+
+@query("op5_id_store")
+def op5_id_store(table):
+    import public_tokenizers
+
+    from scriptorium.llm.id_store import read_ids, write_ids
+
+    files, dictionary = write_ids(table("documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read_ids(files, dictionary)
+
+
+@query("op6_warc_bundle", """
+WITH hashed AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h,
+    coalesce(html, '') AS html FROM pages
+), groups AS (SELECT html AS same, min(page_id) AS first FROM hashed GROUP BY html)
+SELECT page_id, payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + (('0x' || substr(h, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) % 32, 1)
+    FOR i IN range(32)], '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM hashed JOIN groups ON html = same
+""")
+def op6_warc_bundle(table):
+    from scriptorium.llm.warc_bundle import read_bundles, write_bundles
+
+    return read_bundles(write_bundles(table("pages"), min_revisit_bytes=0))
