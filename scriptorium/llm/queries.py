@@ -106,3 +106,23 @@ def op6_warc_bundle(table):
     from scriptorium.llm.warc_bundle import read_bundles, write_bundles
 
     return read_bundles(write_bundles(table("pages"), min_revisit_bytes=0))
+
+
+@query("op8_vector_search", """
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS r,
+    list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+""")
+def op8_vector_search(table):
+    from scriptorium.llm.vector_search import top_k
+
+    return top_k(table("embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
