@@ -126,3 +126,19 @@ def op8_vector_search(table):
     from scriptorium.llm.vector_search import top_k
 
     return top_k(table("embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+def training_labels(labels: DataFrame) -> DataFrame:
+    """Rows that a model may learn from."""
+    return labels.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+
+
+@query("op9_toxicity")
+def op9_toxicity(table):
+    from scriptorium.llm import toxicity
+
+    docs = table("documents")
+    model = toxicity.train(docs, training_labels(table("labels")))
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"),
+        "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
