@@ -142,3 +142,12 @@ def op9_toxicity(table):
     return toxicity.score(docs, model).select(
         "doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"),
         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op7_quality")
+def op7_quality(table):
+    from scriptorium.llm import quality
+
+    docs = table("documents")
+    model = quality.train(docs, training_labels(table("labels")))
+    return quality.score(docs, model, grade=1).withColumn("kept", F.col("p_at_least") >= 0.5)
