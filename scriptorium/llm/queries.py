@@ -151,3 +151,38 @@ def op7_quality(table):
     docs = table("documents")
     model = quality.train(docs, training_labels(table("labels")))
     return quality.score(docs, model, grade=1).withColumn("kept", F.col("p_at_least") >= 0.5)
+
+
+def token_count(docs: DataFrame) -> DataFrame:
+    """Token counts under a public tokenizer, stored in the shared folder."""
+    import public_tokenizers
+
+    from scriptorium.llm.length_buckets import token_lengths
+    from scriptorium.llm.shared import qualified, write_bytes
+    from scriptorium.session import scratch_path
+
+    spark = docs.sparkSession
+    with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as f:
+        tokenizer = write_bytes(f"{qualified(spark, scratch_path(spark, 'tokenizer'))}/tokenizer.json", f.read())
+    return token_lengths(docs, tokenizer, end_id=1)
+
+
+TOKEN_BUDGET, LENGTH_BUCKETS = 32_768, 16
+
+
+@query("op3_length_buckets")
+def op3_length_buckets(table):
+    from scriptorium.llm.length_buckets import pack
+
+    return pack(token_count(table("documents")), TOKEN_BUDGET, LENGTH_BUCKETS)
+
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+             ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@query("op10_url_filter")
+def op10_url_filter(table):
+    from scriptorium.llm.url_filter import judge
+
+    return judge(table("pages"), URL_RULES)
