@@ -199,6 +199,8 @@ def scan_shard(words, number_of, b: Block) -> tuple[np.ndarray, list[np.ndarray]
     order = sort_suffixes(packed, places, b.per, int(b.window_words.max()))
     lo, hi = _search(packed, order, b, False), _search(packed, order, b, True)
     found = np.flatnonzero(hi > lo)
+    if not len(found):
+        return np.zeros(len(number), bool), items, longest, found
     n = (hi - lo)[found]
     at = order[np.repeat(lo[found] - np.cumsum(n) + n, n) + np.arange(n.sum())]
     window = np.repeat(found, n)
