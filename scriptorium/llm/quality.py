@@ -150,7 +150,8 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col:
         rated.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(SAMPLE_DOCS)
     )
-    rows = texts.join(some, "doc_id").select("text", "grade") \
+    # at most SAMPLE_DOCS short rows: the texts stay where they are
+    rows = texts.join(F.broadcast(some), "doc_id").select("text", "grade") \
         .mapInArrow(_sample, "grade double, feature array<smallint>, value array<float>").toArrow()
     grade = rows["grade"].to_numpy()
     lists = [pa.chunked_array([c.flatten() for c in rows[name].chunks], kind) if rows.num_rows else pa.array([], kind)

@@ -9,8 +9,8 @@ the language model picks the restored word.
 
 Restored texts are scored by a logistic model over the words and word
 beginnings they hold. Features are hashed; those that tell the two labels
-apart best (a likelihood-ratio test over all labelled texts) enter the model,
-which is fitted on a bounded sample of the labelled texts.
+apart best (a likelihood-ratio test) enter the model. Features are chosen and
+weights fitted on a bounded sample of the labelled texts.
 """
 
 from __future__ import annotations
@@ -34,7 +34,9 @@ from scriptorium.session import materialize, scratch_path
 BUCKETS = 1 << 18
 PREFIXES = (3, 4, 5, 6, 7, 8)
 FEATURES = 1024
-# the logistic model is fitted on this many labelled texts
+# a feature needs this log likelihood ratio: a chance of 1e-4 without any tie to the label
+LEAST_GAIN = 7.57
+# the classifier is fitted on this many labelled texts
 SAMPLE_DOCS = 50_000
 STEPS, RATE, DECAY = 500, 0.5, 1e-5
 CACHE_TOKENS = 100_000
@@ -248,8 +250,8 @@ def _count_features(trigrams: str):
 
 
 def telling_features(counts: DataFrame) -> list[int]:
-    """The ``FEATURES`` features whose presence tells the labels apart best,
-    by the likelihood-ratio statistic; the total is feature ``BUCKETS``."""
+    """Up to ``FEATURES`` features whose presence tells the labels apart best,
+    by the likelihood ratio; the total is feature ``BUCKETS``."""
     total = counts.where(F.col("feature") == BUCKETS).agg(
         F.coalesce(F.sum("clean"), F.lit(0)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     n = float(sum(total))
@@ -263,7 +265,7 @@ def telling_features(counts: DataFrame) -> list[int]:
             + part(no_c, F.lit(float(total[0])), no_c + no_t) + part(no_t, F.lit(float(total[1])), no_c + no_t))
     rows = (
         counts.where(F.col("feature") < BUCKETS).groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .withColumn("gain", gain).orderBy(F.desc("gain"), "feature").limit(FEATURES).collect()
+        .withColumn("gain", gain).where(F.col("gain") >= LEAST_GAIN).orderBy(F.desc("gain"), "feature").limit(FEATURES).collect()
     )
     return [r["feature"] for r in rows]
 
@@ -315,9 +317,9 @@ def fit_logistic(label: np.ndarray, doc: np.ndarray, feature: np.ndarray, width:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> str:
     """Fit a model and store it in the shared folder; returns its path.
 
-    The character model is counted over all of ``docs``, features over all
-    labelled texts; the weights are fitted on ``SAMPLE_DOCS`` labelled texts,
-    chosen by a hash of the id. Rows of ``labels`` with a null id or label take
+    The character model is counted over all of ``docs``; features are chosen
+    and weights fitted on ``SAMPLE_DOCS`` labelled texts, chosen by a hash of
+    the id. Rows of ``labels`` with a null id or label take
     no part. Without labels every text has the score 0.5.
     """
     spark = docs.sparkSession
@@ -329,16 +331,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .where("doc_id is not null and label is not null").distinct()
     )
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    some = materialize(
+        known.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(SAMPLE_DOCS), "toxicity-sample")
+    # at most SAMPLE_DOCS short rows: the texts stay where they are
+    labelled = texts.join(F.broadcast(some), "doc_id").select("text", "label")
     counts = materialize(
-        texts.join(known, "doc_id").select("text", "label")
-        .mapInArrow(_count_features(channel), "feature long, clean long, toxic long"), "toxicity-counts")
+        labelled.mapInArrow(_count_features(channel), "feature long, clean long, toxic long"), "toxicity-counts")
     chosen = telling_features(counts)
     slot = np.full(BUCKETS, -1, np.int64)
     slot[chosen] = np.arange(len(chosen))
     selection = write_bytes(f"{folder}/features", pickle.dumps((trigrams, slot)))
-    some = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(SAMPLE_DOCS)
-    sample = texts.join(some, "doc_id").select("text", "label") \
-        .mapInArrow(_vectors(selection), "label byte, features array<smallint>").toArrow().combine_chunks()
+    sample = labelled.mapInArrow(_vectors(selection), "label byte, features array<smallint>").toArrow().combine_chunks()
     label = sample["label"].to_numpy().astype(float)
     features = sample["features"].combine_chunks()
     if isinstance(features, pa.ChunkedArray):
