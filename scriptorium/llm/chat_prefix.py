@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scriptorium.llm.shared import freeing
+
 HEAD, HEAD_END, TURN_END = "### ", ":\n", "\n</turn>\n"
 _TURN = re.compile(r"### ((?:\\.|[^\\:])*):\n(.*)\n</turn>\n", re.S)
 _ESCAPED = re.compile(r"\\(.)", re.S)
@@ -95,7 +97,7 @@ def flat_examples(formatted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         conv, text = None, ""
-        for batch in batches:
+        for batch in freeing(batches):
             for row in batch.to_pylist():
                 if row["position"] == 0 or row["conv_id"] != conv:
                     conv, text = row["conv_id"], ""
@@ -116,7 +118,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def closed() -> dict:
         return now | {"turns_sha256": now["turns_sha256"].hexdigest(), "loss_sha256": now["loss_sha256"].hexdigest()}
 
-    for batch in batches:
+    for batch in freeing(batches):
         for row in batch.to_pylist():
             if row["position"] == 0 or now is None:
                 if now is not None:

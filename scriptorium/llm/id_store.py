@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptorium.llm.shared import Writer, _open, qualified, read_bytes, write_bytes
+from scriptorium.llm.shared import Writer, _open, freeing, qualified, read_bytes, write_bytes
 from scriptorium.llm.textbytes import slices, utf8
 from scriptorium.session import materialize, scratch_path
 
@@ -131,7 +131,7 @@ def _ids_of(batch: pa.RecordBatch, encoder: WordEncoder, end_id: int, dtype) ->
 
 def _samples(tokenizer: str, end_id: int, dtype: str):
     def run(batches):
-        for batch in batches:
+        for batch in freeing(batches):
             for _, docs in _ids_of(batch, _encoder(tokenizer), end_id, dtype):
                 yield pa.RecordBatch.from_arrays([pa.array([d.tobytes()[:SAMPLE_BYTES] for d in docs], pa.binary())], names=["ids"])
 
@@ -150,7 +150,7 @@ def _frames(tokenizer: str, dictionary: str, end_id: int, dtype: str):
     def run(batches):
         raw = read_bytes(dictionary)
         packer = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(raw) if raw else None)
-        for batch in batches:
+        for batch in freeing(batches):
             ids = batch.column(0).cast(pa.int64())
             for lo, docs in _ids_of(batch, _encoder(tokenizer), end_id, dtype):
                 yield pa.RecordBatch.from_arrays([
@@ -167,7 +167,7 @@ def _write_files(folder: str, digest: bytes, id_bytes: int):
         from pyspark import TaskContext
 
         out, index, first = None, [], None
-        for batch in batches:
+        for batch in freeing(batches):
             if not batch.num_rows:
                 continue
             if out is None:
@@ -282,7 +282,7 @@ def read_ids(files: DataFrame, dictionary: str) -> DataFrame:
 
     def run(batches):
         raw = read_bytes(dictionary)
-        for batch in batches:
+        for batch in freeing(batches):
             for row in batch.to_pylist():
                 start, out = row["start"], []
                 for doc_id, ids in IdFile(row["file"], raw).documents():

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scriptorium.llm.shared import freeing
 from scriptorium.session import materialize
 
 # the histogram has at most this many steps; lengths are exact up to it
@@ -155,7 +156,7 @@ def token_lengths(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "d
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from scriptorium.llm.id_store import _encoder, _ids_of
 
-        for batch in batches_:
+        for batch in freeing(batches_):
             for lo, ids in _ids_of(batch, _encoder(tokenizer), end_id, np.uint32):
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, len(ids)), pa.array([len(x) for x in ids], pa.int64())], names=["doc_id", "n_tokens"])

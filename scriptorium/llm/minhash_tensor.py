@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.llm.components import connected_components
+from scriptorium.llm.shared import freeing
 from scriptorium.llm.textbytes import byte_class, combine, mix, slices, span_hashes, split_words, utf8
 from scriptorium.session import materialize
 
@@ -69,7 +70,7 @@ def shingle_sets(column: pa.Array, words_per_shingle: int) -> Iterator[tuple[int
 
 def _signatures(words_per_shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freeing(batches):
             for lo, hi, joined, first in shingle_sets(batch.column(1), words_per_shingle):
                 n = np.diff(first)
                 held = np.flatnonzero(n)
@@ -97,7 +98,7 @@ def _signatures(words_per_shingle: int):
 def _sets(words_per_shingle: int, bitmap):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.frombuffer(bitmap.value, np.uint8)
-        for batch in batches:
+        for batch in freeing(batches):
             bit = batch.column(0).to_numpy(zero_copy_only=False) % BITMAP_BITS
             rows = np.flatnonzero(wanted[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
             if not len(rows):
@@ -129,7 +130,7 @@ def _confirm(percent: int):
     """Rows (u, v, a, b) whose sets ``a`` and ``b`` are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freeing(batches):
             sides = []
             for c in (2, 3):
                 column = batch.column(c)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.llm.features import buckets, sigmoid
-from scriptorium.llm.shared import qualified, read_bytes, write_bytes
+from scriptorium.llm.shared import freeing, qualified, read_bytes, write_bytes
 from scriptorium.llm.textbytes import byte_class, slices, span_hashes, split_words, utf8
 from scriptorium.session import scratch_path
 
@@ -119,7 +119,7 @@ def fit(grade: np.ndarray, doc: np.ndarray, feature: np.ndarray, value: np.ndarr
 
 
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in freeing(batches):
         for lo, hi, doc, feature, value in features(batch.column(0)):
             first = pa.array(np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays([
@@ -187,7 +187,7 @@ def score(docs: DataFrame, model: str, grade: float, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _model(model)
-        for batch in batches:
+        for batch in freeing(batches):
             s = _linear(batch.column(1), m)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(m.expected(s)), pa.array(_tail(m, s, grade))],
@@ -204,7 +204,7 @@ def select_good(docs: DataFrame, model: str, grade: float, threshold: float = 0.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _model(model)
-        for batch in batches:
+        for batch in freeing(batches):
             yield batch.filter(pa.array(_tail(m, _linear(batch.column(text_at), m), grade) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import SparkSession
 
@@ -52,3 +56,19 @@ def write_bytes(uri: str, data: bytes) -> str:
     out = Writer(uri)
     out.write(data)
     return out.close()
+
+
+@functools.lru_cache(maxsize=1)
+def _trim():
+    """glibc's ``malloc_trim``; other C libraries have none."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def freeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches``; what a batch has used goes back to the system before the
+    next, as Python workers live on through many tasks."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+        _trim()(0)

@@ -1,6 +1,6 @@
 """Benchmark decontamination with suffix arrays over the training texts.
 
-Every task cuts its documents into shards (whole documents, a few megabytes),
+Every task cuts its documents into shards (whole documents, about two megabytes),
 numbers their words by the vocabulary of the benchmark (all other words are 0,
 which no match can cross) and sorts the suffixes that are long enough to hold
 a match. Every benchmark suffix is then binary-searched in the shard: the
@@ -25,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.shared import qualified, read_bytes, write_bytes
+from scriptorium.llm.shared import freeing, qualified, read_bytes, write_bytes
 from scriptorium.llm.textbytes import byte_class, slices, span_hashes, split_words, utf8
 from scriptorium.session import scratch_path
 
 WORD_BYTES = byte_class(bytes(b for b in range(128) if not chr(b).isalnum()))
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 BLOCK_BYTES = 16 << 20
 REPORT = ("doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>, "
           "longest long, longest_item string, longest_at long")
@@ -269,7 +269,7 @@ def _reports(column: pa.Array, uris: list[str]) -> Iterator[tuple]:
 
 def _report(uris: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freeing(batches):
             rows = list(_reports(batch.column(1), uris))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).cast(pa.int64()),
@@ -286,7 +286,7 @@ def _report(uris: list[str]):
 
 def _clean(uris: list[str], text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freeing(batches):
             yield batch.filter(pa.array([not r[1] for r in _reports(batch.column(text_at), uris)], pa.bool_()))
 
     return run

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.llm.features import prefix_buckets, sigmoid
-from scriptorium.llm.shared import qualified, read_bytes, write_bytes
+from scriptorium.llm.shared import freeing, qualified, read_bytes, write_bytes
 from scriptorium.llm.textbytes import Words, byte_class, slices, split_words, utf8
 from scriptorium.session import materialize, scratch_path
 
@@ -186,7 +186,7 @@ def restored_slices(column: pa.Array, channel: Channel) -> Iterator[tuple[int, i
 
 def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(SYMBOLS ** 3, np.int64)
-    for batch in batches:
+    for batch in freeing(batches):
         buf, off = utf8(batch.column(0))
         for lo, hi in slices(off):
             c = _CLASS[np.insert(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], 0)]
@@ -233,7 +233,7 @@ def _model(uri: str) -> tuple[Model, Channel]:
 def _count_features(trigrams: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((2, BUCKETS + 1), np.int64)
-        for batch in batches:
+        for batch in freeing(batches):
             label = (batch.column(1).to_numpy(zero_copy_only=False) > 0).astype(np.int64)
             for lo, hi, words in restored_slices(batch.column(0), _channel(trigrams)):
                 doc, feature = prefix_buckets(words, PREFIXES, BUCKETS)
@@ -274,7 +274,7 @@ def _vectors(slot_uri: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trigrams, slot = pickle.loads(read_bytes(slot_uri))
         channel = Channel(trigrams)
-        for batch in batches:
+        for batch in freeing(batches):
             label = (batch.column(1).to_numpy(zero_copy_only=False) > 0).astype(np.int8)
             for lo, hi, words in restored_slices(batch.column(0), channel):
                 doc, at = _present(words, slot)
@@ -365,7 +365,7 @@ def _scores(column: pa.Array, model_uri: str) -> np.ndarray:
 
 def _append_score(model_uri: str, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freeing(batches):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(_scores(batch.column(text_at), model_uri))], names=["doc_id", "score"])
 
@@ -386,7 +386,7 @@ def remove_toxic(docs: DataFrame, model: str, threshold: float = 0.5, text_col:
     text_at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freeing(batches):
             yield batch.filter(pa.array(_scores(batch.column(text_at), model) < threshold))
 
     return docs.mapInArrow(run, docs.schema)

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.llm.shared import freeing
 from scriptorium.session import materialize
 
 LONGEST_WORD = 20
@@ -89,7 +90,7 @@ def _cut_names(total: int):
     unknown = -math.log(total + 10)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freeing(batches):
             rows = [
                 (r["name"], [r["name"]] if r["name"].startswith("#") else
                  cut(r["name"], {(p["start"], p["length"]): math.log(p["n"]) + unknown for p in r["pieces"]}, unknown))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptorium.llm.shared import Writer, qualified, read_bytes
+from scriptorium.llm.shared import Writer, freeing, qualified, read_bytes
 from scriptorium.session import materialize, scratch_path
 
 BLOCK_ROWS, QUERY_ROWS, PLANE = 4096, 512, 8
@@ -121,7 +121,7 @@ def _store_queries(folder: str, scale: int):
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in freeing(batches):
             for lo in range(0, batch.num_rows, QUERY_ROWS):
                 piece = batch.slice(lo, QUERY_ROWS)
                 block = make_block(scale, *(piece.column(c) for c in ("vec_id", "row", "vector", "floor")))
@@ -136,7 +136,7 @@ def _store_queries(folder: str, scale: int):
 def _blocks(batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[Block]:
     """Candidate blocks of up to ``BLOCK_ROWS`` rows."""
     held, n = [], 0
-    for batch in batches:
+    for batch in freeing(batches):
         for lo in range(0, batch.num_rows, BLOCK_ROWS):
             piece = batch.slice(lo, BLOCK_ROWS)
             if n and n + piece.num_rows > BLOCK_ROWS:

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.shared import Writer, _open, qualified
+from scriptorium.llm.shared import Writer, _open, freeing, qualified
 from scriptorium.session import materialize, scratch_path
 
 FRAME_BYTES = 1 << 18
@@ -148,7 +148,7 @@ def _write(folder: str, date: str):
         from pyspark import TaskContext
 
         bundle, last, seen, copy = None, object(), {}, 0
-        for batch in batches:
+        for batch in freeing(batches):
             rows = []
             for page_id, url, html, first in zip(*(c.to_pylist() for c in batch.columns)):
                 if bundle is None:
@@ -217,7 +217,7 @@ def _page_of(name: str) -> int | None:
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in freeing(batches):
         for uri in batch.column(0).to_pylist():
             bundle = Bundle(uri)
             for number in range(len(bundle.frames)):
