@@ -72,6 +72,11 @@ NUMBERING_LINE_RE = (
     f"^{WS}*(?:[IVXLCDM]+\\.?|-?{WS}*\\p{{Nd}}+{WS}*-?|\\{{{WS}*\\p{{Nd}}+{WS}*\\}})"
     f"{WS}*\\z"
 )
+# The same rules on a stripped line, where no two blank runs can meet: linear.
+_ROMAN, _NUMBER, _BRACED = "[IVXLCDM]++\\.?", f"-?{WS}*+\\p{{Nd}}++{WS}*+-?", f"\\{{{WS}*+\\p{{Nd}}++{WS}*+\\}}"
+STRIPPED_ROMAN_RE = f"^{_ROMAN}\\z"
+STRIPPED_NUMBER_RE = f"^(?:{_NUMBER}|{_BRACED})\\z"
+STRIPPED_NUMBERING_RE = f"^(?:{_ROMAN}|{_NUMBER}|{_BRACED})\\z"
 DECORATION_CHARS = "\\*_=#\\$%&~\\+"
 DECORATION_LINE_RE = f"^{WS}*[{DECORATION_CHARS}][{WS_RANGES}{DECORATION_CHARS}]*\\z"
 
@@ -110,16 +115,16 @@ def is_end_marker(line: Column) -> Column:
 
 
 def is_roman_line(line: Column) -> Column:
-    return line.rlike(ROMAN_LINE_RE)
+    return strip_ws(line).rlike(STRIPPED_ROMAN_RE)
 
 
 def is_page_number_line(line: Column) -> Column:
-    return line.rlike(PAGE_NUMBER_RE) | line.rlike(BRACED_NUMBER_RE)
+    return strip_ws(line).rlike(STRIPPED_NUMBER_RE)
 
 
 def is_numbering_line(line: Column) -> Column:
     """Roman-numeral, page-number or braced-number line, in one regex pass."""
-    return line.rlike(NUMBERING_LINE_RE)
+    return strip_ws(line).rlike(STRIPPED_NUMBERING_RE)
 
 
 def normalize_punctuation(line: Column) -> Column:

@@ -123,8 +123,7 @@ def completion_slice(ids: Column, prompt_len: Column) -> Column:
 
 def sft_examples_from_turns(turns: DataFrame, max_seq_len: int = 1024, template: CH.ChatTemplate = CH.CHATML,
                             default_prompt: str = DEFAULT_SYSTEM_PROMPT, conv_col: str = "conv_id",
-                            turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
-                            broadcast_rows: int = 500_000) -> DataFrame:
+                            turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """Code-point SFT examples straight from turn rows, with bounded groups.
 
     Equal to ``sft_examples(assemble_messages(turns), tokenizer="codepoints")``
@@ -135,7 +134,7 @@ def sft_examples_from_turns(turns: DataFrame, max_seq_len: int = 1024, template:
     group holds at most ``max_seq_len`` ids even for a conversation holding
     a third of all rows. Per-conversation facts (last turn, has a system
     message, first offset) are one-row-per-conversation aggregates joined
-    back (broadcast below ``broadcast_rows``, else a shuffle join whose hot
+    back (broadcast by Spark's size threshold, else a shuffle join whose hot
     keys AQE splits).
     """
     from scriptorium.operators.ordering import exclusive_running_sum
@@ -152,16 +151,13 @@ def sft_examples_from_turns(turns: DataFrame, max_seq_len: int = 1024, template:
     piece = F.concat(F.lit(template.prefix), F.col("role"), F.lit(template.role_sep), F.col("content"),
                      F.lit(template.suffix))
     pieces = msgs.select("_c", "_src", "_t", piece.alias("_p"), F.length(piece).cast("bigint").alias("_n"))
-    offs, _, n_rows = exclusive_running_sum(pieces.select("_c", "_src", "_t", "_n"), ["_c", "_src", "_t"], "_n", "_g")
+    offs, _, _ = exclusive_running_sum(pieces.select("_c", "_src", "_t", "_n"), ["_c", "_src", "_t"], "_n", "_g")
     conv = offs.groupBy("_c").agg(F.min("_g").alias("_g0")).join(
         info.select("_c", "_last"), "_c")
-    n_conv = info.count()
-    conv = F.broadcast(conv) if n_conv <= broadcast_rows else conv
     located = offs.join(conv, "_c").select(
         "_c", "_src", "_t", "_n", (F.col("_g") - F.col("_g0")).alias("_start"),
         ((F.col("_src") == 1) & (F.col("_t") == F.col("_last"))).alias("_is_last"))
-    side = F.broadcast(located) if n_rows <= broadcast_rows else located
-    full = pieces.select("_c", "_src", "_t", "_p").join(side, ["_c", "_src", "_t"])
+    full = pieces.select("_c", "_src", "_t", "_p").join(located, ["_c", "_src", "_t"])
     prompt_len = full.groupBy("_c").agg(
         (F.sum(F.when(~F.col("_is_last"), F.col("_n")).otherwise(0))
          + F.lit(len(template.generation_header))).cast("bigint").alias("prompt_len"))

@@ -16,42 +16,26 @@ from pyspark.sql import functions as F
 
 from scriptorium.session import materialize
 
-MAX_BUCKETS = 100_000
-# At most this many slim rows take the one-window path (about 8 MB of
-# (order, value) pairs, the same bound the offsets broadcast uses).
-SMALL_ROWS = 500_000
-
 
 def default_buckets(spark) -> int:
-    """Range partitions for the two-level statistics: the job's shuffle
-    partition count, the knob already sized so a partition fits a task,
-    capped at four per core (explicit counts are not coalesced by AQE, so an
-    unsized default of 200 on a small machine would only add tasks). No
+    """Range partitions for the two-level statistics: the session's shuffle
+    partition count, the knob already sized so a partition fits a task. No
     counting pass is needed; the range bounds balance rows across them."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    cores = spark.sparkContext.defaultParallelism
-    return max(1, min(MAX_BUCKETS, n, 4 * cores))
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def exclusive_running_sum(df: DataFrame, order_cols: list[str], value_col: str, out_col: str,
-                          n_buckets: int | None = None, small_rows: int = SMALL_ROWS) -> tuple[DataFrame, int, int]:
+                          n_buckets: int | None = None) -> tuple[DataFrame, int, int]:
     """``df`` (slim: order columns + value) with ``out_col`` = sum of ``value_col``
     over all rows strictly before it in ``order_cols`` order. Also returns the
     grand total and the row count (driver scalars).
 
-    Up to ``small_rows`` rows (checked by one aggregation) a single ordered
-    window computes it; above, the two-level form (range partitions fixed by
-    a write, broadcast per-partition totals, a window inside each). An
-    explicit ``n_buckets`` always takes the two-level form.
+    One plan at every size: range partitions fixed by a write, broadcast
+    per-partition totals, a window inside each. Rows with equal keys each
+    keep their place; which of them comes first is not defined. Null keys
+    come first.
     """
     slim = df.select(*order_cols, value_col)
-    if n_buckets is None:
-        st = slim.agg(F.count(F.lit(1)).alias("n"), F.sum(value_col).alias("t")).first()
-        if st["n"] <= small_rows:
-            # Bounded by the check above: one task orders at most small_rows slim rows.
-            w = Window.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-            out = slim.withColumn(out_col, F.coalesce(F.sum(value_col).over(w), F.lit(0)).cast("bigint"))
-            return out, int(st["t"] or 0), int(st["n"])
     if n_buckets is None:
         n_buckets = default_buckets(df.sparkSession)
     ranged = materialize(
@@ -81,24 +65,16 @@ def exclusive_running_sum(df: DataFrame, order_cols: list[str], value_col: str,
 
 
 def global_row_index(df: DataFrame, order_cols: list[str], out_col: str = "row_index",
-                     n_buckets: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """0-based position of each row in ``order_cols`` order (keys unique, non-null).
+                     n_buckets: int | None = None) -> DataFrame:
+    """0-based position of each row in ``order_cols`` order. Every row gets a
+    number of its own: rows with equal keys in no defined order, null keys first.
 
     Range partitioning plus ``sortWithinPartitions`` gives each partition a
     consecutive key range in order, so ``monotonically_increasing_id`` is a
     local position; the write fixes it; a one-row-per-partition count table
     (broadcast) turns it into a global one. One shuffle, no window.
-
-    Up to ``small_rows`` rows (checked by a count) only the key columns are
-    numbered, in one ordered window, and the numbering is broadcast-joined
-    back; the wide rows never sit in one task.
     """
     if n_buckets is None:
-        if df.count() <= small_rows:
-            keys = df.select(*order_cols)
-            w = Window.orderBy(*order_cols)
-            numbered = keys.withColumn(out_col, (F.row_number().over(w) - 1).cast("bigint"))
-            return df.join(F.broadcast(numbered), order_cols)
         n_buckets = default_buckets(df.sparkSession)
     ranged = materialize(
         df.repartitionByRange(n_buckets, *order_cols)

@@ -20,10 +20,6 @@ from pyspark.sql import functions as F
 from scriptorium.operators.ordering import exclusive_running_sum
 from scriptorium.session import materialize
 
-# Offsets tables up to this many rows are broadcast to the token side; larger
-# ones are joined with a shuffle.
-BROADCAST_OFFSET_ROWS = 500_000  # about 12 MB of (order, n, start)
-
 
 def token_offsets(tokens: DataFrame, order_col: str = "ord", ids_col: str = "input_ids",
                   n_buckets: int | None = None, len_col: str | None = None) -> tuple[DataFrame, int, int]:
@@ -57,14 +53,14 @@ def _pieces(df: DataFrame, ids_col: str, L: int, n_seqs: int) -> DataFrame:
 
 
 def pack_sequences(tokens: DataFrame, max_seq_len: int = 2048, order_col: str = "ord",
-                   ids_col: str = "input_ids", n_buckets: int | None = None,
-                   broadcast_rows: int = BROADCAST_OFFSET_ROWS, materialize_input: bool = True) -> DataFrame:
+                   ids_col: str = "input_ids", n_buckets: int | None = None, materialize_input: bool = True) -> DataFrame:
     """``seq_id, input_ids, labels``; every row exactly ``max_seq_len`` long.
 
     The input is written once (``order, n, ids``) to the checkpoint folder:
     lengths and slices both read it, a Python tokenizer upstream runs once,
     and the lineage is cut before the two shuffles. Lengths are then read
-    from their own column without touching the ids.
+    from their own column without touching the ids. A repeated or null
+    ``order_col`` raises ``ValueError``.
     """
     L = int(max_seq_len)
     if L <= 0:
@@ -72,15 +68,17 @@ def pack_sequences(tokens: DataFrame, max_seq_len: int = 2048, order_col: str =
     src = tokens.select(order_col, ids_col, F.size(ids_col).cast("bigint").alias("_n"))
     if materialize_input:
         src = materialize(src, "tokens")
-    offsets, total, n_docs = token_offsets(src, order_col, ids_col, n_buckets, len_col="_n")
+    # slim keys only; a repeated or null key would not join its own ids
+    bad = src.groupBy(order_col).count().where((F.col("count") > 1) | F.col(order_col).isNull()).head(1)
+    if bad:
+        raise ValueError(f"{order_col} must be unique and not null; found {bad[0][order_col]!r} {bad[0]['count']} times")
+    offsets, total, _ = token_offsets(src, order_col, ids_col, n_buckets, len_col="_n")
     n_seqs = total // L
     spark = tokens.sparkSession
     if n_seqs == 0:
         return spark.createDataFrame([], "seq_id bigint, input_ids array<int>, labels array<int>")
     offsets = offsets.select(order_col, "n", "start")
-    # The offsets table has one row per document; broadcast only below the cap.
-    side = F.broadcast(offsets) if n_docs <= broadcast_rows else offsets
-    joined = src.select(order_col, ids_col).join(side, order_col)
+    joined = src.select(order_col, ids_col).join(offsets, order_col)
     grouped = (
         _pieces(joined, ids_col, L, n_seqs)
         .groupBy("seq_id")

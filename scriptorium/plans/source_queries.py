@@ -34,7 +34,15 @@ def _fresh_dir(spark, name):
 
 
 def _rel_col():
-    return F.concat_ws("/", "source", "lang", F.concat(F.substring(F.md5("text"), 1, 12), F.lit(".txt")))
+    """One file per document; every tenth document shares its name with
+    another one in a folder of its own, so the duplicate-name rule has work."""
+    shared = F.concat("doc_id", F.lit("/shared-"), F.expr("doc_id div 20"))
+    name = F.when(F.col("doc_id") % 10 == 0, shared).otherwise(F.concat(F.md5("text"), F.lit("-"), "doc_id"))
+    return F.concat_ws("/", "source", "lang", F.concat(name, F.lit(".txt")))
+
+
+_STEM_SQL = "CASE WHEN doc_id % 10 = 0 THEN 'shared-' || (doc_id // 20) ELSE md5(text) || '-' || doc_id END"
+_REL_SQL = f"source || '/' || lang || '/' || CASE WHEN doc_id % 10 = 0 THEN doc_id || '/' ELSE '' END || {_STEM_SQL} || '.txt'"
 
 
 def write_corpus(spark, data_dir):
@@ -43,7 +51,7 @@ def write_corpus(spark, data_dir):
     d = table(spark, data_dir, "documents")
     rows = d.select(_rel_col().alias("relpath"), "text",
                     F.when(F.col("source") == LATIN1_SOURCE, "latin-1").otherwise("utf-8").alias("encoding")
-                    ).dropDuplicates(["relpath"])
+                    )
     sinks.write_text_files(rows, root, encoding_col="encoding").agg(F.count(F.lit(1))).collect()
     return root
 
@@ -54,8 +62,7 @@ def _rel(path_col, root):
 
 
 _FILES = f"""
-files AS (SELECT DISTINCT source || '/' || lang || '/' || left(md5(text), 12) || '.txt' AS rel,
-                 left(md5(text), 12) AS name, text,
+files AS (SELECT {_REL_SQL} AS rel, {_STEM_SQL} AS name, text,
                  NOT (source = '{LATIN1_SOURCE}' AND regexp_matches(text, '[^\\x{{00}}-\\x{{7f}}]')) AS ok,
                  CASE WHEN source = '{LATIN1_SOURCE}' THEN length(text) ELSE strlen(text) END AS n_bytes
           FROM documents),
@@ -181,7 +188,7 @@ def dataset_manifest(spark, data_dir):
 # -- streaming ------------------------------------------------------------------------------
 
 _STREAM_FILES = (
-    "framed AS (SELECT DISTINCT source || '/' || lang || '/' || left(md5(text), 12) || '.txt' AS doc_id, text "
+    f"framed AS (SELECT {_REL_SQL} AS doc_id, text "
     f"FROM ({fixtures.framed_sql('documents', 'source, lang')}))"
 )
 
@@ -197,7 +204,7 @@ def stream_clean_corpus(spark, data_dir):
     from scriptorium.streaming.corpus_stream import start_corpus_stream
     root = _fresh_dir(spark, "stream-in")
     d = fixtures.framed_documents(table(spark, data_dir, "documents"), "source", "lang")
-    rows = d.select(_rel_col().alias("relpath"), "text").dropDuplicates(["relpath"])
+    rows = d.select(_rel_col().alias("relpath"), "text")
     sinks.write_text_files(rows, root).agg(F.count(F.lit(1))).collect()
     out = _fresh_dir(spark, "stream-out")
     queries = start_corpus_stream(spark, root, out, checkpoint_location=_fresh_dir(spark, "stream-ckpt"))

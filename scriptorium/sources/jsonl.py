@@ -48,17 +48,21 @@ def parse_chat_lines(lines: DataFrame, strict: bool = True, extra: TY.StructType
     parsed = kept.withColumn("_j", F.from_json("line", schema, {"mode": "FAILFAST"}))
     m = F.col("_j.messages")
     checks = [
+        F.assert_true(F.is_valid_utf8("value"), F.lit("JSONL line is not valid UTF-8")),
         F.assert_true(m.isNotNull(), F.lit("JSONL line without 'messages'")),
         F.assert_true(~F.exists(m, lambda x: x["role"].isNull()), F.lit("message without 'role'")),
     ]
     if strict:
         checks.append(F.assert_true(_single_json_value(F.col("line")), F.lit("JSONL line is not one JSON value")))
-    # Each assert is NULL when it holds, so the coalesce yields the messages
-    # and the checks run wherever the column is computed.
-    guarded = F.coalesce(*[c.cast(CH.MESSAGES) for c in checks], m.cast(CH.MESSAGES))
+    # Each assert is NULL when it holds. They stand in a filter, which column
+    # pruning keeps: counting or selecting other columns fails on a bad line too.
+    held = checks[0].isNull()
+    for c in checks[1:]:
+        held = held & c.isNull()
+    parsed = parsed.where(held)
     extras = [F.col(f"_j.{f.name}").alias(f.name) for f in (extra.fields if extra else [])]
     keep = [c for c in lines.columns if c != "value"]
-    return parsed.select(*keep, guarded.alias("messages"), *extras)
+    return parsed.select(*keep, m.cast(CH.MESSAGES).alias("messages"), *extras)
 
 
 def read_chat_jsonl(spark: SparkSession, path: str, strict: bool = True,

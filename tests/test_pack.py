@@ -54,7 +54,7 @@ def test_partition_independent(spark, parts, buckets):
 def test_shuffle_join_path(spark):
     docs = _random_docs(5)
     expect, _ = brute(docs, 10)
-    assert _packed(_df(spark, docs), 10, broadcast_rows=0) == expect
+    assert _packed(_df(spark, docs), 10) == expect
 
 
 def test_short_corpus_gives_no_rows(spark):
@@ -98,3 +98,22 @@ def test_training_plan_and_clm(spark):
 
 
 P_SCHEMA = "seq_id long, input_ids array<int>, labels array<int>"
+
+
+def test_order_key_must_be_unique(spark):
+    import pytest
+
+    from scriptorium.operators import pack as P
+
+    for keys in ((1, 1, 2), (1, None, 2)):
+        df = spark.createDataFrame([(k, [1, 2, 3]) for k in keys], "ord long, input_ids array<int>")
+        with pytest.raises(ValueError, match="unique"):
+            P.pack_sequences(df, 4)
+
+
+def test_every_row_is_numbered_once(spark):
+    from scriptorium.operators.ordering import global_row_index
+
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k long")
+    got = sorted((r.row_index, r.k) for r in global_row_index(df, ["k"]).collect())
+    assert got == [(0, None), (1, 1), (2, 1), (3, 2)]

@@ -42,7 +42,7 @@ def test_packing_without_broadcast_joins_on_order_key(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no size-based broadcast either
     try:
-        p = plan(spark, P.pack_sequences(toks, 256, broadcast_rows=0))
+        p = plan(spark, P.pack_sequences(toks, 256))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "hashpartitioning(ord" in p and "SortMergeJoin" in p

@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from scriptorium.plans import registry
 from tests.oracle_harness import compare, duck
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+registry.load_all()
+QUERIES, ORACLE = registry.QUERIES, registry.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only == {"tokenize_bpe", "cpt_packed_bpe", "sft_examples_bpe"}
     assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -102,3 +102,17 @@ def test_jsonl_duplicate_key_last_wins(spark):
             '"messages": [{"role": "user", "content": "second"}]}')
     rows = J.read_chat_jsonl(spark, _jsonl(line + "\n")).collect()
     assert [m.content for m in rows[0].messages] == ["second"]
+
+
+def test_bad_jsonl_fails_also_when_columns_are_pruned(spark, tmp_path):
+    import pytest
+
+    from scriptorium.sources.jsonl import read_chat_jsonl
+
+    good = b'{"messages": [{"role": "user", "content": "x"}]}\n'
+    for i, bad in enumerate((b'{"other": 1}\n', good.replace(b"x", b"\xff"))):
+        path = tmp_path / f"{i}.jsonl"
+        path.write_bytes(good + bad)
+        for strict in (True, False):
+            with pytest.raises(Exception, match="JSONL line"):
+                read_chat_jsonl(spark, str(path), strict=strict).count()
