@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
+import json
 import os
 import re
 import zlib
@@ -43,56 +45,73 @@ class WordEncoder:
     """A tokenizer that drops white space, applied to distinct words.
 
     Such a tokenizer treats the text between white space on its own, so ids of
-    a text are the ids of its words in order. A word is looked up; a new one of
-    plain Latin letters, digits and punctuation is cut into the pieces its
-    pre-tokenizer would make, any other goes through the tokenizer whole. The
-    tables are emptied when they hold ``CACHE_WORDS`` words.
+    a text are the ids of its words in order. A word is looked up. New words of
+    plain Latin letters, digits and punctuation are encoded many to a text and
+    told apart by the ids that end a piece, as the pieces that the
+    pre-tokenizer makes of each are known; any other word is encoded alone, and
+    so are all where the vocabulary does not mark ends. The table is emptied
+    when it holds ``CACHE_WORDS`` words.
     """
 
     _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
     _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\\[-`{-~]+")
+    _TOGETHER = 256
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        mark = json.loads(tokenizer_json)["model"].get("end_of_word_suffix")
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        if mark:
+            self.ends[[i for token, i in vocab.items() if token.endswith(mark)]] = True
         self._clear()
 
     def _clear(self) -> None:
         self.slot: dict[bytes, int] = {}
-        self.pieces: dict[str, list[int]] = {}
-        self.start = np.zeros(1 << 12, np.int64)
-        self.count = np.zeros(1 << 12, np.int64)
-        self.ids = np.zeros(1 << 14, np.uint32)
-        self.used = 0
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.start = np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, joined, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(counts.sum())), counts
+
+    def _pieces(self, word: str) -> int:
+        """The pieces of a plain word; 0 for any other."""
+        if word.isascii() and word.isalpha():
+            return 1
+        return len(self._PIECE.findall(word.lower())) if self._PLAIN.fullmatch(word) and "<|" not in word else 0
+
+    def _together(self, words: list[str], pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`_encode` of plain words of so many pieces each."""
+        step = self._TOGETHER
+        ids, sizes = self._encode([" ".join(words[i:i + step]) for i in range(0, len(words), step)])
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) == pieces.sum():
+            upto = ends[np.cumsum(pieces) - 1]
+            if np.array_equal(np.append(upto[step - 1:-1:step], upto[-1:]), np.cumsum(sizes)):
+                return ids, np.diff(upto, prepend=0)
+        return self._encode(words)
 
     def _learn(self, words: list[bytes]) -> None:
-        cut: list[tuple[bytes, list[str]]] = []
-        for word in words:
-            text = word.decode()
-            plain = self._PLAIN.fullmatch(text) and "<|" not in text
-            cut.append((word, self._PIECE.findall(text.lower()) if plain else [text]))
-        new = list({p for _, pieces in cut for p in pieces if p not in self.pieces})
-        self.pieces.update(zip(new, self._encode(new)))
-        flat: list[int] = []
-        first = len(self.slot)
-        need = first + len(cut)
-        while need > len(self.start):
-            self.start, self.count = np.resize(self.start, 2 * len(self.start)), np.resize(self.count, 2 * len(self.count))
-        for k, (word, pieces) in enumerate(cut, first):
-            before = len(flat)
-            for p in pieces:
-                flat.extend(self.pieces[p])
-            self.slot[word] = k
-            self.start[k], self.count[k] = self.used + before, len(flat) - before
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.ids[self.used:self.used + len(flat)] = flat
-        self.used += len(flat)
+        texts = b" ".join(words).decode().split(" ")
+        pieces = np.fromiter(map(self._pieces, texts), np.int64, len(texts))
+        plain, other = np.flatnonzero(pieces), np.flatnonzero(pieces == 0)
+        at, used = len(self.slot), len(self.ids)
+        for rows, (ids, counts) in (
+            (plain, self._together([texts[i] for i in plain.tolist()], pieces[plain])),
+            (other, self._encode([texts[i] for i in other.tolist()])),
+        ):
+            self.slot.update(zip([words[i] for i in rows.tolist()], range(at, at + len(rows))))
+            self.start = np.append(self.start, used + np.cumsum(counts) - counts)
+            self.count = np.append(self.count, counts)
+            self.ids = np.append(self.ids, ids)
+            at, used = at + len(rows), used + len(ids)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of UTF-8 texts."""
@@ -101,7 +120,7 @@ class WordEncoder:
         words = [t.split() for t in texts]
         new = set().union(*words) - self.slot.keys()
         if new:
-            self._learn(sorted(new))
+            self._learn(list(new))
         out = []
         for row in words:
             slots = np.fromiter(map(self.slot.__getitem__, row), np.int64, len(row))
