@@ -201,12 +201,13 @@ def write_bundles(
         .where("n > 1").drop("n")
     )
     firsts = slim.join(shared, ["digest", "bytes"]).groupBy("page_id", "digest").agg(F.min("first").alias("first"))
-    linked = (
-        rows.withColumn("digest", F.sha2("html", 256)).join(firsts, ["page_id", "digest"], "left")
-        .select("page_id", "url", "html", "first")
-    )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = linked.repartition(parts, "page_id").sortWithinPartitions("page_id", "html", "url")
+    # payloads are dealt out once, by page: equality of digests, as long as each
+    # other, is put so that it does not become a key of the join
+    dealt = rows.repartition(parts, "page_id").withColumn("digest", F.sha2("html", 256)).alias("r")
+    same = (F.col("r.page_id") == F.col("f.page_id")) & F.contains("r.digest", "f.digest")
+    linked = dealt.join(firsts.alias("f"), same, "left").select("r.page_id", "r.url", "r.html", "f.first")
+    placed = linked.sortWithinPartitions("page_id", "html", "url")
     return materialize(placed.mapInArrow(
         _write(folder, date), "record_id string, bundle string, frame long, offset long, length long"), "warc-index")
 
@@ -238,5 +239,5 @@ def read_bundles(index: DataFrame) -> DataFrame:
     every record in the bundles of an index; payloads are checked."""
     bundles = index.select("bundle").distinct()
     parts = max(1, bundles.count())
-    return bundles.repartition(parts, "bundle").mapInArrow(
+    return bundles.repartitionByRange(parts, "bundle").mapInArrow(
         _read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
