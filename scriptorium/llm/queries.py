@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.session import materialize, ship_package
+from scriptorium.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -76,7 +76,7 @@ def op2_chat_prefix(table):
     planted = turns.sparkSession.createDataFrame(
         [(-7, 0, "user", PLANTED_TEXT), (-7, 1, "assistant", PLANTED_TEXT)], turns.schema)
     formatted = format_conversations(turns.unionByName(planted))
-    return read_back(materialize(formatted, "chat-formatted"))
+    return read_back(formatted)
 
 
 @query("op5_id_store")

@@ -1,6 +1,10 @@
 import hashlib
 
-from scriptorium.llm.chat_prefix import flat_examples, format_conversations, parse_turn, read_back, unescape
+import pytest
+from pyspark.sql import functions as F
+
+from scriptorium.llm.chat_prefix import (
+    flat_examples, format_conversations, parse_turn, read_back, read_examples, unescape, write_examples)
 from tests.llm.helpers import frame
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -39,3 +43,20 @@ def test_flat_examples(spark):
         assert whole[e.conv_id].startswith(e.text) and e.text.endswith("\n</turn>\n")
         assert unescape(e.text[e.loss_start:e.loss_end]) in {t or "" for _, _, r, t in turns() if r == "assistant"}
     assert read_back(format_conversations(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_written_examples_are_what_is_read(spark):
+    long = [(5, i, "assistant" if i % 2 else "user", f"turn {i}") for i in range(201)]
+    written = write_examples(format_conversations(spark.createDataFrame(turns() + long, SCHEMA)))
+    rows = written.where("conv_id = 5").withColumn("part", F.input_file_name()).collect()
+    replies = sorted((r for r in rows if r.example is not None), key=lambda r: r.example)
+    assert [r.example for r in replies] == list(range(100)) and len({r.part for r in replies}) > 1
+    for k, r in enumerate(replies):
+        assert r.text == "".join(f"### {role}:\n{text}\n</turn>\n" for _, _, role, text in long[:2 * k + 2])
+    assert [parse_turn(r.text) for r in rows if r.example is None] == [("user", "turn 200")]
+    digest = read_examples(written).where("conv_id = 5").first()
+    assert digest.formatted_chars == sum(len(r.text) for r in replies) and digest.n_turns == 201
+    # a turn that only one example's context has wrong is found
+    other = F.when((F.col("conv_id") == 5) & (F.col("example") == 50), F.regexp_replace("text", "turn 4\n", "turn 9\n"))
+    with pytest.raises(Exception, match="context of example 50 of conversation 5"):
+        read_examples(written.withColumn("text", F.coalesce(other, "text"))).collect()
