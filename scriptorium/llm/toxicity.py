@@ -2,10 +2,11 @@
 
 A character language model (trigrams over the letters a-z, word ends and one
 class of other letters) is counted over all texts. A suspicious token (digits
-or signs among letters, a letter three times or more, letters set apart) is a
-lattice: every character may stand for itself, for the letters it imitates,
-for a repetition of the letter before, or for nothing. Viterbi decoding under
-the language model picks the restored word.
+or signs beside letters, a letter three times or more) or run of characters
+set apart is a lattice: every character may stand for itself, for the letters
+it imitates, for a repetition of the letter before, or for nothing; a gap
+between characters set apart may stand for nothing or for the end of a word.
+Viterbi decoding under the language model picks the restored words.
 
 Restored texts are scored by a logistic model over the words and word
 beginnings they hold. Features are hashed; those that tell the two labels
@@ -54,15 +55,28 @@ IMITATES = {
 }
 # costs of the noisy channel, in nats
 IMITATED, REPEATED, DROPPED, KEPT_SIGN = 1.0, 0.7, 1.0, 5.0
-
-_SIGN = re.compile(r"[0-9@$!|+(<€£](?=[^\W\d_])|[^\W\d_](?=[0-9])|([^\W\d_])\1\1")
-_APART = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .\-_*]){3,}[^\W\d_](?![^\W_])")
-_CORE = re.compile(r"([^\w@$!|+(<€£]*)(.*?)(\W*)", re.S)
+# signs that are no punctuation rarely stand for nothing; a gap wider than others rarely joins letters;
+# a letter twice is mostly meant where none is there three times; a narrow gap rarely ends a word
+DROPPED_FIRM, JOINED_WIDE, REPEATED_ONCE, ENDED = 5.0, 1.5, 3.0, 4.0
+FIRM = "@$+€£"
+
+_L, _S, _D = r"[^\W\d_]", r"[0-9@$!|+(<€£]", r"[@$!|+(<€£]"
+_SIGN = re.compile(rf"{_S}(?={_L})|{_L}(?={_S})|{_D}(?={_S})|{_S}(?={_D})|({_L})\1\1")
+# a gap is of ASCII, Latin-1 or general punctuation, as _suspicious knows it
+_GAP = r"(?:[^\w@$!|+(<€£\u00c0-\u1fff\u2070-\U0010ffff]|_)+"
+_APART = re.compile(rf"(?<![^\W_])(?:{_L}|{_S})(?![^\W_])(?:{_GAP}(?:{_L}|{_S})(?![^\W_])){{2,}}")
+_GAPS = re.compile(_GAP)
+_LETTER = re.compile(_L)
+_STRETCHED = re.compile(r"(.)\1\1", re.S)
+_CORE = re.compile(r"([^\w@$!|+(<€£]*)(.*?)([^\w@$!|+(<€£]*)", re.S)
+_NUMBER = re.compile(r"[^\w@]*\d{2,}(?:[.,:/\-]\d+)*[^\w@]*")
 _TOKENS = re.compile(r"\s+|\S+")
 _LETTER_BYTE = np.zeros(256, bool)
 _LETTER_BYTE[65:91] = _LETTER_BYTE[97:123] = _LETTER_BYTE[128:] = True
 _SIGN_BYTE = np.zeros(256, bool)
 _SIGN_BYTE[list(b"0123456789@$!|+(<")] = True
+_DIGIT_BYTE = np.zeros(256, bool)
+_DIGIT_BYTE[list(b"0123456789")] = True
 
 
 def _symbol(c: str) -> int:
@@ -84,42 +98,66 @@ class Channel:
 
     def word(self, token: str) -> str:
         """The restored form of a token."""
-        if token not in self._known:
+        return self._restored(token, tuple(token))
+
+    def words(self, run: str) -> str:
+        """The restored words of a run of characters set apart."""
+        gaps = [m.span() for m in _GAPS.finditer(run)]
+        narrow = min((hi - lo for lo, hi in gaps), default=0)
+        steps, at = [], 0
+        for lo, hi in gaps:
+            steps += [run[at:lo], " " if hi - lo == narrow else "  "]
+            at = hi
+        return self._restored(" " + run, (*steps, run[at:]))
+
+    def _restored(self, key: str, steps: tuple[str, ...]) -> str:
+        if key not in self._known:
             if len(self._known) >= CACHE_TOKENS:
                 self._known.clear()
-            self._known[token] = self._decode(token)
-        return self._known[token]
+            self._known[key] = self._decode(steps)
+        return self._known[key]
 
-    def _decode(self, token: str) -> str:
-        # a state is the last two symbols and the last letter; a path is a
-        # chain of (letter, path before), so that a long token stays linear
+    def _decode(self, steps: tuple[str, ...]) -> str:
+        # a step is a character, or a narrow (one space) or wide gap (two); a
+        # state is the last two symbols and the last letter; a path is a chain
+        # of (letter, path before), so that a long token stays linear
         cost, best = self.cost, {(0, 0, ""): (0.0, None)}
-        for c in token:
+        whole = "".join(steps)
+        plain = " " in whole or not re.search(_S, whole.strip("@$!|+(<€£"))
+        repeated = REPEATED_ONCE if plain and not _STRETCHED.search(whole.replace(" ", "")) else REPEATED
+        for c in steps:
             new: dict = {}
 
             def offer(state, total, path):
                 if state not in new or total < new[state][0]:
                     new[state] = (total, path)
 
-            letter = c.isalpha()
+            letter, gap = c.isalpha(), c.isspace()
             for (a, b, last), (total, path) in best.items():
                 row = cost[a][b]
+                if gap:
+                    if b:
+                        offer((a, b, last), total + (JOINED_WIDE if len(c) > 1 else 0), path)
+                        offer((b, 0, ""), total + row[0] + (0 if len(c) > 1 else ENDED), (" ", path))
+                    else:
+                        offer((a, b, last), total, (" ", path) if path else path)
+                    continue
                 if letter:
                     s = _symbol(c)
                     offer((b, s, c), total + row[s], (c, path))
                     if c == last:
-                        offer((a, b, last), total + REPEATED, path)
+                        offer((a, b, last), total + repeated, path)
                     continue
                 for x in IMITATES.get(c, ""):
                     s = _symbol(x)
                     offer((b, s, x), total + row[s] + IMITATED, (x, path))
                     if x == last:
-                        offer((a, b, last), total + IMITATED + REPEATED, path)
+                        offer((a, b, last), total + IMITATED + repeated, path)
                 if not c.isdigit():
-                    offer((a, b, last), total + DROPPED, path)
+                    offer((a, b, last), total + (DROPPED_FIRM if c in FIRM else DROPPED), path)
                 offer((b, 0, ""), total + row[0] + KEPT_SIGN, (c, path))
             best = new
-        ends = [(total + cost[a][b][0], path) for (a, b, _), (total, path) in best.items()]
+        ends = [(total + (cost[a][b][0] if b else 0), path) for (a, b, _), (total, path) in best.items()]
         path, out = min(ends, key=lambda e: e[0])[1], []
         while path is not None:
             out.append(path[0])
@@ -128,40 +166,57 @@ class Channel:
 
     def text(self, text: str) -> str:
         """``text`` in lower case with its suspicious tokens restored."""
-        text = _APART.sub(lambda m: self.word(re.sub(r"[ .\-_*]", "", m[0])), text.lower())
+        text = _APART.sub(lambda m: self.words(m[0]) if _LETTER.search(m[0]) else m[0], text.lower())
         if not _SIGN.search(text):
             return text
         return "".join(self._token(t) if _SIGN.search(t) else t for t in _TOKENS.findall(text))
 
     def _token(self, token: str) -> str:
+        # numbers and bare punctuation are no words
+        if not _LETTER.search(token) and (
+                _NUMBER.fullmatch(token) or len(token) < 3 or not any(c in FIRM for c in token)):
+            return token
         before, core, after = _CORE.fullmatch(token).groups()
-        # a single sign behind a word may still belong to it
-        if after[:1] in ("$", "@", "+") and after[1:2] != after[:1]:
-            core, after = core + after[0], after[1:]
         return before + self.word(core) + after
 
 
 def _suspicious(data: np.ndarray) -> np.ndarray:
-    """Places in ``data`` where a text may need restoring: signs beside
-    letters, a letter byte three times, letters that stand alone."""
-    letter, sign = _LETTER_BYTE[data], _SIGN_BYTE[data]
+    """Places in ``data`` where a text may need restoring, all that ``_SIGN``
+    and ``_APART`` can match: signs beside letters or signs, a letter three
+    times, three characters in a row that each stand alone."""
+    letter, sign, digit = _LETTER_BYTE[data], _SIGN_BYTE[data], _DIGIT_BYTE[data]
     out = np.zeros(len(data), bool)
     if len(data) < 3:
         out[:] = True
         return out
-    out[:-1] = (sign[:-1] & letter[1:]) | (letter[:-1] & sign[1:])
+    # characters of two and three bytes that are no letters: Latin-1 signs but for its three letters, punctuation
+    at = np.flatnonzero(data[:-1] == 0xC2)
+    at = at[~np.isin(data[at + 1], (0xAA, 0xB5, 0xBA))]
+    letter[at] = letter[at + 1] = False
+    pound = at[data[at + 1] == 0xA3]
+    sign[pound] = sign[pound + 1] = True
+    at = np.flatnonzero(data[:-2] == 0xE2)
+    euro = at[(data[at + 1] == 0x82) & (data[at + 2] == 0xAC)]
+    other = at[(data[at + 1] == 0x80) | ((data[at + 1] == 0x81) & (data[at + 2] < 0xB0))]
+    for k in range(3):
+        letter[euro + k] = letter[other + k] = False
+        sign[euro + k] = True
+    head = (data & 0xC0) != 0x80
+    held = letter | sign
+    out[:-1] = head[1:] & held[:-1] & held[1:] & (sign[:-1] | sign[1:]) & ~(digit[:-1] & digit[1:])
     folded = np.where((data >= 65) & (data <= 90), data + 32, data)
-    # letters of two bytes repeat with period 2
+    # letters of two bytes repeat with period 2, and so on; upper and lower case may differ in any byte but the first
     out[:-2] |= letter[:-2] & (folded[:-2] == folded[1:-1]) & (folded[1:-1] == folded[2:])
-    if len(data) > 5:
-        out[:-4] |= (data[:-4] >= 192) & (folded[:-4] == folded[2:-2]) & (folded[2:-2] == folded[4:])
-        apart = ~letter & ~sign
-        alone = letter[1:-1] & apart[:-2] & apart[2:]  # x between two separators
-        pair = alone[:-2] & alone[2:]
-        out[1:-3] |= pair
-        multi = data >= 128
-        alone2 = multi[1:-2] & multi[2:-1] & apart[:-3] & apart[3:]
-        out[1:-2] |= alone2
+    for n in (2, 3, 4):
+        if len(data) >= 3 * n:
+            last = len(data) - 2 * n
+            out[:last] |= letter[:last] & (data[:last] >= 192) & (data[:last] == data[n:last + n]) & (data[:last] == data[2 * n:])
+    edge = np.diff(np.concatenate([[False], held, [False]]).astype(np.int8))
+    first, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    heads = np.concatenate([[0], np.cumsum(head)])
+    alone, lettered = heads[end] - heads[first] == 1, letter[first]
+    three = alone[:-2] & alone[1:-1] & alone[2:] & (lettered[:-2] | lettered[1:-1] | lettered[2:])
+    out[first[:-2][three]] = True
     return out
 
 

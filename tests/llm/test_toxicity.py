@@ -55,3 +55,27 @@ def test_edges(spark):
     assert [r.score for r in toxicity.score(docs, model).collect()] == [0.5] * 5
     assert toxicity.score(docs.limit(0), model).count() == 0
     assert toxicity.train(docs.limit(0), none)
+
+
+def test_spacing_and_outer_signs(spark):
+    docs = spark.createDataFrame([(0, ("you are a idiot " + "what an ass you idiot " + "as good as a pretty nest here ") * 50)],
+                                 "doc_id long, text string")
+    channel = toxicity.Channel(toxicity.character_model(docs))
+    forms = {
+        "you are a i d i o t": "you are a idiot", "y o u i d i o t": "you idiot", "y o u  i d i o t": "you idiot",
+        "i d 1 o t": "idiot", "i  d  i o t": "idiot", "i -- d _ i\u00a0o * t": "idiot", "an a s s": "an ass", "an a $ $": "an ass",
+        "an a$$ here": "an ass here", "an as$": "an ass", "idio+": "idiot", "you idio+, a$$.": "you idiot, ass.", "@$$": "ass",
+        "i d i i o t": "idiot", "i i i d d i i o t t": "idiot", "pr€tty": "pretty", "n€st": "nest", "1 2 3 4": "1 2 3 4", "2019 $100 1,000": "2019 $100 1,000",
+    }
+    assert {f: channel.text(f) for f in forms} == forms
+    assert channel.text("pretty!").startswith("pretty")
+
+
+def test_marks_hold_whatever_is_restored():
+    rng = random.Random(5)
+    pieces = ["a", "i", "é", "1", "4", "$", "€", "£", "+", "!", " ", " ", "  ", ".", "-", "_", "\u00a0", "\u2014", "zz", "ß", "中"]
+    for _ in range(20_000):
+        given = "".join(rng.choice(pieces) for _ in range(rng.randrange(3, 9)))
+        found = toxicity._SIGN.search(given) or any(toxicity._LETTER.search(m[0]) for m in toxicity._APART.finditer(given))
+        if found:
+            assert toxicity._suspicious(np.frombuffer(given.encode(), np.uint8)).any(), given
