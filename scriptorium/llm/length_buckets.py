@@ -1,10 +1,10 @@
 """Packing by optimal length buckets.
 
-The lengths of all documents form one global histogram. Dynamic programming
-over it chooses the bucket boundaries that pad least: a document is padded to
-its bucket's boundary, a batch of a bucket holds as many documents as the
-token budget allows at that length. Documents are never cut; one longer than
-the budget is a batch of its own.
+The lengths of all documents within the token budget form one global, exact
+histogram. Dynamic programming over it chooses the bucket boundaries that pad
+least: a document is padded to its bucket's boundary, a batch of a bucket holds
+as many documents as the token budget allows at that length. Documents are
+never cut; one longer than the budget is a batch of its own at its own length.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from scriptorium.llm.shared import freeing
 from scriptorium.session import materialize
 
-# the histogram has at most this many steps; lengths are exact up to it
+# a histogram without a given limit has at most this many steps
 STEPS = 1 << 16
 # rows that are numbered in one task, about
 NUMBERED_ROWS = 100_000
@@ -75,12 +75,12 @@ def choose_boundaries(lengths: list[int], counts: list[int], buckets: int) -> tu
     return out[::-1], cost[m]
 
 
-def length_histogram(rows: DataFrame) -> tuple[list[int], list[int]]:
-    """Lengths (at least 1) and their counts. Of lengths above ``STEPS`` only
-    multiples of ``ceil(longest / STEPS)`` are told apart, rounded up, so that
-    the driver holds at most ``STEPS`` of them."""
+def length_histogram(rows: DataFrame, steps: int | None = None) -> tuple[list[int], list[int]]:
+    """Lengths (at least 1) and their counts, at most ``steps`` (``STEPS``) of
+    them. They are exact if no length is above ``steps``; else all are rounded
+    up to multiples of ``ceil(longest / steps)``."""
     longest = rows.agg(F.max("n_tokens")).first()[0] or 1
-    step = -(-longest // STEPS)
+    step = -(-longest // (steps or STEPS))
     rounded = F.greatest(F.ceil(F.col("n_tokens") / step) * step, F.lit(1)).cast("long")
     found = rows.groupBy(rounded.alias("length")).agg(F.count("*").alias("n")).orderBy("length").collect()
     return [r["length"] for r in found], [r["n"] for r in found]
@@ -97,8 +97,10 @@ def pack(rows: DataFrame, budget: int, buckets: int = 16, id_col: str = "doc_id"
     row: the bucket (from 0), the length it is padded to, the number of its
     batch (from 0, over all buckets) and its place in the batch.
 
-    A batch of bucket b holds ``max(1, budget // boundary_b)`` documents; only
-    the last batch of a bucket may hold fewer. Null and negative lengths count
+    A batch of bucket b holds ``budget // boundary_b`` documents; only the last
+    batch of a bucket may hold fewer. Documents over the budget take no part in
+    the choice of boundaries: they are one more bucket behind the others, each
+    a batch of its own without padding. Null and negative lengths count
     as 0, and empty documents are padded like others; rows with a null id and
     repeated rows are packed like others. Other columns are ignored; an empty
     table gives no rows.
@@ -108,28 +110,32 @@ def pack(rows: DataFrame, budget: int, buckets: int = 16, id_col: str = "doc_id"
         F.col(id_col).cast("long").alias("doc_id"),
         F.greatest(F.coalesce(F.col(length_col).cast("long"), F.lit(0)), F.lit(0)).alias("n_tokens"),
         F.monotonically_increasing_id().alias("row")), "lengths")
-    lengths, counts = length_histogram(slim)
+    lengths, counts = length_histogram(slim.where(F.col("n_tokens") <= budget), budget)
     boundaries, _ = choose_boundaries(lengths, counts, buckets)
     if not boundaries:
         boundaries = [1]
-    held = F.array(*[F.lit(b) for b in boundaries])
-    per_batch = F.array(*[F.lit(max(1, budget // b)) for b in boundaries])
+    # the last bucket is that of documents over the budget
+    over = len(boundaries)
+    bucket = F.when(F.col("n_tokens") > budget, F.lit(over)).otherwise(_bucket_of(boundaries))
+    held = F.when(F.col("bucket") == over, F.col("n_tokens")).otherwise(
+        F.array(*[F.lit(b).cast("long") for b in boundaries])[F.col("bucket")])
+    per_batch = F.array(*[F.lit(max(1, budget // b)) for b in boundaries], F.lit(1))
     # rows are numbered in two levels, so that no task holds a whole bucket
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-sum(counts) // NUMBERED_ROWS))
-    placed = slim.withColumn("bucket", _bucket_of(boundaries)).withColumn("part", F.pmod(F.xxhash64("row"), F.lit(parts)))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-slim.count() // NUMBERED_ROWS))
+    placed = slim.withColumn("bucket", bucket).withColumn("part", F.pmod(F.xxhash64("row"), F.lit(parts)))
     sizes = placed.groupBy("bucket", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("bucket", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     batches = sizes.groupBy("bucket").agg(F.sum("n").alias("n")).select(
         "bucket", F.ceil(F.col("n") / per_batch[F.col("bucket")]).alias("batches"))
     first = {r["bucket"]: r["batches"] for r in batches.collect()}
-    starts = np.cumsum([0] + [first.get(b, 0) for b in range(len(boundaries))]).tolist()
+    starts = np.cumsum([0] + [first.get(b, 0) for b in range(over)]).tolist()
     number = F.row_number().over(Window.partitionBy("bucket", "part").orderBy("row")) - 1 + F.col("offset")
     return (
         placed.join(offsets, ["bucket", "part"]).withColumn("number", number)
         .withColumn("in_batch", per_batch[F.col("bucket")])
         .select(
-            "doc_id", "n_tokens", "bucket", held[F.col("bucket")].alias("padded_to"),
+            "doc_id", "n_tokens", "bucket", held.alias("padded_to"),
             (F.array(*[F.lit(s) for s in starts])[F.col("bucket")] + F.floor(F.col("number") / F.col("in_batch"))).alias("batch"),
             (F.col("number") % F.col("in_batch")).alias("slot"))
     )

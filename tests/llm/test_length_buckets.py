@@ -55,3 +55,19 @@ def test_coarse_histogram(spark, monkeypatch):
     monkeypatch.setattr(length_buckets, "STEPS", 10)
     lengths, counts = length_histogram(spark.createDataFrame([(n,) for n in range(0, 96)], "n_tokens long"))
     assert len(lengths) <= 11 and sum(counts) == 96 and lengths[-1] >= 95
+
+
+def test_very_long_documents_change_nothing_for_others(spark):
+    rng = random.Random(6)
+    rows = [(i, rng.choice([3, 7, 19, 33, 101, 257, 400])) for i in range(300)]
+    long = [(1000, 1_300_000), (1001, 401), (1002, 70_001), (1003, 70_001)]
+    short = {r.doc_id: r for r in pack(spark.createDataFrame(rows, "doc_id long, n_tokens long"), 400, 3).collect()}
+    out = {r.doc_id: r for r in pack(spark.createDataFrame(rows + long, "doc_id long, n_tokens long"), 400, 3).collect()}
+    lengths = sorted({n for _, n in rows})
+    _, least = choose_boundaries(lengths, [sum(n == x for _, n in rows) for x in lengths], 3)
+    assert sum(out[i].padded_to - n for i, n in rows) == least
+    assert [(out[i].bucket, out[i].padded_to) for i, _ in rows] == [(short[i].bucket, short[i].padded_to) for i, _ in rows]
+    assert all(out[i].padded_to == n and out[i].slot == 0 for i, n in long)
+    assert len({out[i].batch for i, _ in long}) == 4 and not {out[i].batch for i, _ in long} & {out[i].batch for i, _ in rows}
+    only = pack(spark.createDataFrame(long, "doc_id long, n_tokens long"), 400, 3).collect()
+    assert sorted((r.batch, r.padded_to - r.n_tokens) for r in only) == [(b, 0) for b in range(4)]
