@@ -6,7 +6,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.session import ship_package
@@ -186,3 +186,19 @@ def op10_url_filter(table):
     from scriptorium.llm.url_filter import judge
 
     return judge(table("pages"), URL_RULES)
+
+
+def language_fold() -> Column:
+    """True for documents that language identification must not learn from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+@query("op11_lang_compress")
+def op11_lang_compress(table):
+    from scriptorium.llm import lang_compress
+
+    docs = table("documents")
+    model = lang_compress.train(docs.where(~language_fold()))
+    return lang_compress.identify(docs, model).select(
+        "doc_id", language_fold().alias("held_out"), F.col("best").alias("lang_pred"), "score", "margin",
+        (F.col("language") == lang_compress.UNKNOWN).alias("rejected"))
