@@ -202,3 +202,32 @@ def op11_lang_compress(table):
     return lang_compress.identify(docs, model).select(
         "doc_id", language_fold().alias("held_out"), F.col("best").alias("lang_pred"), "score", "margin",
         (F.col("language") == lang_compress.UNKNOWN).alias("rejected"))
+
+
+_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+
+@query("op13_lexical_cse", f"""
+WITH docs AS (
+  SELECT r, doc_id, w, len(w) AS n FROM (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents) WHERE len(w) > 0
+), total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM docs
+), tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM docs) GROUP BY r, term
+), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term
+), items AS (
+  SELECT i, item_id, unnest(list_distinct(w)) AS term FROM (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS w FROM benchmark)
+), scored AS (
+  SELECT i, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id,
+    CAST(sum(CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT)
+      * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // terms))))) AS BIGINT) AS score
+  FROM items JOIN tf USING (term) JOIN df USING (term) JOIN docs USING (r), total
+  GROUP BY i, r HAVING score > 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scored
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+""")
+def op13_lexical_cse(table):
+    from scriptorium.llm.lexical_cse import search
+
+    return search(table("documents"), table("benchmark"), k=10)

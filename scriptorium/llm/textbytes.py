@@ -60,6 +60,23 @@ class Words:
         return [raw[s:e] for s, e in zip(self.start[which].tolist(), self.end[which].tolist())]
 
 
+def word_array(words: Words, fold_case: bool = True) -> pa.Array:
+    """The words themselves, in order, as one Arrow column; ``fold_case``
+    gives A-Z as a-z."""
+    step = np.zeros(len(words.data) + 1, np.int8)
+    step[words.start] += 1
+    step[words.end] -= 1
+    held = words.data[np.cumsum(step[:-1], dtype=np.int8).view(bool)]
+    if fold_case:
+        held = _LOWER[held]
+    offsets = np.concatenate([[0], np.cumsum(words.end - words.start)])
+    return pa.Array.from_buffers(pa.large_binary(), len(words.start), [None, pa.py_buffer(offsets), pa.py_buffer(held)])
+
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
 def byte_class(separators: bytes) -> np.ndarray:
     """Table of the bytes that belong to words: all but ``separators``."""
     table = np.ones(256, bool)
