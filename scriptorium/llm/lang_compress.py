@@ -6,7 +6,8 @@ said to be in the language that makes it smallest; where the runner-up is
 nearly as small, the answer is rejected.
 
 Lines that the sample has under more than one language (licences, passages
-that documents share) tell nothing and stay out of the dictionaries.
+that documents share) tell nothing: they stand at the end of every dictionary
+alike, so that they cost the same in each.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ from pyspark.sql import functions as F
 
 from scriptorium.llm.shared import _open, freeing, qualified
 from scriptorium.llm.textbytes import slices, utf8
-from scriptorium.session import scratch_path
+from scriptorium.session import materialize, scratch_path
 
-# a language's dictionary is made from this many different documents at most, and has so many bytes
-SAMPLE_DOCS, DICTIONARY_BYTES = 500, 1 << 16
+# a language's dictionary is made from this many different documents at most, and has so many bytes,
+# up to SHARED_BYTES of them lines that languages share
+SAMPLE_DOCS, DICTIONARY_BYTES, SHARED_BYTES = 500, 1 << 16, 1 << 14
 # longer lines enter the sample in pieces of so many characters
 LINE_CHARS = 512
 # texts are encoded in blocks, so that the dictionary counts as much at a long text's end as at its start
@@ -62,20 +64,26 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> st
         order = Window.partitionBy(*key).orderBy("h")
         return rows.withColumn("at", F.row_number().over(order)).where(F.col("at") <= SAMPLE_DOCS).drop("at")
 
-    chosen = first(first(slim, "lang", "salt").select("lang", "h").distinct(), "lang")
+    # written, so that Spark knows its size and broadcasts it only if it is small
+    chosen = materialize(first(first(slim, "lang", "salt").select("lang", "h").distinct(), "lang"), "language-sample")
     sample = marked.join(chosen, ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"])
     lines = F.regexp_extract_all("text", F.lit(rf"(\S.{{0,{LINE_CHARS - 1}}})"), 1)
     units = (
         sample.select("lang", F.explode(lines).alias("line")).groupBy("line")
-        .agg(F.min("lang").alias("lang"), F.max("lang").alias("other")).where("lang = other")
-        .select("lang", "line", F.xxhash64("line").alias("h"))
+        .agg(F.min("lang").alias("lang"), F.max("lang").alias("other"))
+        .select("line", F.when(F.col("lang") == F.col("other"), F.col("lang")).alias("lang"), F.xxhash64("line").alias("h"))
     )
     size = F.sum(F.octet_length("line") + 1).over(Window.partitionBy("lang").orderBy("h", "line"))
-    held = units.withColumn("size", size).where(F.col("size") <= DICTIONARY_BYTES)
-    content = held.groupBy("lang").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("h", "line"))), lambda u: u["line"]), "\n").alias("content"))
+    room = F.when(F.col("lang").isNull(), SHARED_BYTES).otherwise(DICTIONARY_BYTES - SHARED_BYTES)
+    held = units.withColumn("size", size).where(F.col("size") <= room)
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("h", "line"))), lambda u: u["line"]), "\n")
+    content = materialize(held.groupBy("lang").agg(joined.alias("content")), "dictionaries")
+    # one row of at most SHARED_BYTES
+    shared = [r["content"] for r in content.where("lang is null").collect()]
+    content = content.withColumn("content", F.concat_ws("\n", "content", *map(F.lit, shared)))
     counts = texts.groupBy("lang").agg(F.count("*").alias("docs"))
     folder = qualified(spark, scratch_path(spark, "languages"))
-    counts.join(content, "lang", "left").select("lang", "docs", F.coalesce("content", F.lit("")).alias("content")) \
+    counts.join(content, "lang", "left").select("lang", "docs", F.coalesce("content", F.lit("\n".join(shared))).alias("content")) \
         .coalesce(1).write.parquet(folder)
     return folder
 
