@@ -204,6 +204,43 @@ def op11_lang_compress(table):
         (F.col("language") == lang_compress.UNKNOWN).alias("rejected"))
 
 
+@query("op12_collocations_pfp", r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+  FROM documents
+), counts AS MATERIALIZED (
+  SELECT lang, m, phrase, count(*) AS f FROM (
+    SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, (VALUES (1), (2), (3), (4)) v(m))
+  ) GROUP BY lang, m, phrase
+), totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE m = 1 GROUP BY lang
+), cand AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE m > 1 AND f >= 30
+), halves AS MATERIALIZED (
+  SELECT *, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest FROM (SELECT *, unnest(range(1, m)) AS k FROM cand)
+), cuts AS MATERIALIZED (
+  SELECT s.lang, s.phrase, s.f AS a, k, l.f AS l, r.f AS r, CAST((2000000::HUGEINT * s.f) // (l.f + r.f) AS BIGINT) AS score
+  FROM halves s JOIN counts l ON l.lang = s.lang AND l.phrase = s.head JOIN counts r ON r.lang = s.lang AND r.phrase = s.rest
+), best AS (
+  SELECT lang, phrase, any_value(a) AS a, arg_min({'l': l, 'r': r, 'score': score}, {'score': score, 'k': k}) AS c FROM cuts GROUP BY lang, phrase
+), inside AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, f, array_to_string(w[i:i + j - 1], ' ') AS phrase
+    FROM (SELECT lang, f, w, j, unnest(range(1, m - j + 2)) AS i FROM cand, (VALUES (2), (3)) v(j) WHERE j < m)
+  ) GROUP BY lang, phrase
+), ranked AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY c.score DESC, a DESC, b.phrase) AS rank, b.phrase, a, c.l AS l, c.r AS r, n, c.score AS score
+  FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase JOIN totals t ON t.lang = b.lang
+  WHERE i.f IS NULL OR 100::HUGEINT * i.f < 80::HUGEINT * a
+)
+SELECT * FROM ranked WHERE rank <= 2000
+""")
+def op12_collocations_pfp(table):
+    from scriptorium.llm.collocations_pfp import collocations
+
+    return collocations(table("documents"), least=30, top=2000, percent=80)
+
+
 _TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
           r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
 
