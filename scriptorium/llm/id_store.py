@@ -5,9 +5,10 @@ files keep its hash and, behind the frames, an index of documents, so that a
 short document is read without touching its neighbours.
 
 File: ``MAGIC``, id bytes (u8), dictionary sha256 (32 bytes); the frames in
-ascending ``doc_id``; the index, 32 bytes a document: ``doc_id`` (i64, null as
-the smallest), frame offset, frame bytes, ids (u64 each); index offset and
-documents (u64 each), ``MAGIC``. All little-endian.
+ascending ``doc_id``, those with a null id first; the index, 32 bytes a
+document: ``doc_id`` (i64), frame offset, frame bytes, ids (u64 each); index
+offset, documents and how many of them have a null id (u64 each), ``MAGIC``.
+All little-endian.
 """
 
 from __future__ import annotations
@@ -28,17 +29,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.llm.shared import Writer, _open, freeing, qualified, read_bytes, write_bytes
-from scriptorium.llm.textbytes import slices, utf8
+from scriptorium.llm.textbytes import byte_class, slices, split_words, utf8, word_array
 from scriptorium.session import materialize, scratch_path
 
 MAGIC = b"IDS1"
-HEAD_BYTES, TAIL_BYTES = 4 + 1 + 32, 8 + 8 + 4
+HEAD_BYTES, TAIL_BYTES = 4 + 1 + 32, 8 + 8 + 8 + 4
 ENTRY = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("bytes", "<u8"), ("ids", "<u8")])
-NULL_ID = np.iinfo(np.int64).min
-# the dictionary is fitted on this many documents, this much of each
+# the dictionary is fitted on so many documents, in pieces of so many bytes, on as many pieces
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 1 << 15, 1 << 16
 FILE_BYTES = 64 << 20
 CACHE_WORDS = 200_000
+# documents that are encoded together have about so many bytes
+SLICE_BYTES = 4 << 20
+WORD_BYTES = byte_class(b"\x20\x09\x0a\x0b\x0c\x0d")
 
 
 class WordEncoder:
@@ -113,22 +116,23 @@ class WordEncoder:
             self.ids = np.append(self.ids, ids)
             at, used = at + len(rows), used + len(ids)
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of UTF-8 texts."""
+    def encode(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of UTF-8 texts (offsets ``off`` into ``buf``), joined, and how
+        many each text has. Only the different words of all texts are looked
+        up, one by one."""
         if len(self.slot) > CACHE_WORDS:
             self._clear()
-        words = [t.split() for t in texts]
-        new = set().union(*words) - self.slot.keys()
+        w = split_words(buf, off, WORD_BYTES)
+        coded = word_array(w, fold_case=False).dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        new = [x for x in words if x not in self.slot]
         if new:
-            self._learn(list(new))
-        out = []
-        for row in words:
-            slots = np.fromiter(map(self.slot.__getitem__, row), np.int64, len(row))
-            n = self.count[slots]
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(self.ids[np.repeat(self.start[slots] - ends + n, n) + np.arange(total)])
-        return out
+            self._learn(new)
+        slots = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
+        n = self.count[slots]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        ids = self.ids[np.repeat(self.start[slots] - upto[:-1], n) + np.arange(upto[-1])]
+        return ids, np.diff(upto[w.first])
 
 
 @functools.lru_cache(maxsize=1)
@@ -140,19 +144,27 @@ def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict:
     return zstandard.ZstdCompressionDict(raw)
 
 
-def _ids_of(batch: pa.RecordBatch, encoder: WordEncoder, end_id: int, dtype) -> Iterator[tuple[int, list[np.ndarray]]]:
+def _ids_of(batch: pa.RecordBatch, encoder: WordEncoder, end_id: int, dtype) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """By slices of documents: the first one's row, the ids of all with the
+    end id behind each, and how many each has."""
     buf, off = utf8(batch.column(1))
-    raw = memoryview(buf)
-    for lo, hi in slices(off):
-        texts = [bytes(raw[off[i]:off[i + 1]]) for i in range(lo, hi)]
-        yield lo, [np.append(ids, np.uint32(end_id)).astype(dtype) for ids in encoder.encode(texts)]
+    for lo, hi in slices(off, SLICE_BYTES):
+        ids, counts = encoder.encode(buf, off[lo:hi + 1])
+        yield lo, np.insert(ids, np.cumsum(counts), end_id).astype(dtype), counts + 1
+
+
+def _packed(ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """The serialized ids of each document."""
+    raw, ends = ids.tobytes(), np.cumsum(counts) * ids.itemsize
+    return [raw[e - n:e] for e, n in zip(ends.tolist(), (counts * ids.itemsize).tolist())]
 
 
 def _samples(tokenizer: str, end_id: int, dtype: str):
     def run(batches):
         for batch in freeing(batches):
-            for _, docs in _ids_of(batch, _encoder(tokenizer), end_id, dtype):
-                yield pa.RecordBatch.from_arrays([pa.array([d.tobytes()[:SAMPLE_BYTES] for d in docs], pa.binary())], names=["ids"])
+            for _, ids, counts in _ids_of(batch, _encoder(tokenizer), end_id, dtype):
+                pieces = [d[i:i + SAMPLE_BYTES] for d in _packed(ids, counts) for i in range(0, len(d), SAMPLE_BYTES)]
+                yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.binary())], names=["ids"])
 
     return run
 
@@ -171,11 +183,10 @@ def _frames(tokenizer: str, dictionary: str, end_id: int, dtype: str):
         packer = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(raw) if raw else None)
         for batch in freeing(batches):
             ids = batch.column(0).cast(pa.int64())
-            for lo, docs in _ids_of(batch, _encoder(tokenizer), end_id, dtype):
+            for lo, found, counts in _ids_of(batch, _encoder(tokenizer), end_id, dtype):
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(lo, len(docs)),
-                    pa.array([len(d) for d in docs], pa.int64()),
-                    pa.array([packer.compress(d.tobytes()) for d in docs], pa.binary()),
+                    ids.slice(lo, len(counts)), pa.array(counts),
+                    pa.array([packer.compress(d) for d in _packed(found, counts)], pa.binary()),
                 ], names=["doc_id", "n_tokens", "frame"])
 
     return run
@@ -185,7 +196,7 @@ def _write_files(folder: str, digest: bytes, id_bytes: int):
     def run(batches):
         from pyspark import TaskContext
 
-        out, index, first = None, [], None
+        out, index, nulls = None, [], 0
         for batch in freeing(batches):
             if not batch.num_rows:
                 continue
@@ -193,7 +204,8 @@ def _write_files(folder: str, digest: bytes, id_bytes: int):
                 out = Writer(f"{folder}/part-{TaskContext.get().partitionId():06d}.ids")
                 out.write(MAGIC + bytes([id_bytes]) + digest)
             entry = np.zeros(batch.num_rows, ENTRY)
-            entry["doc_id"] = batch.column(0).fill_null(NULL_ID).to_numpy()
+            nulls += batch.column(0).null_count
+            entry["doc_id"] = batch.column(0).fill_null(0).to_numpy()
             entry["ids"] = batch.column(1).to_numpy()
             _, offsets, data = batch.column(2).cast(pa.large_binary()).buffers()
             at = np.frombuffer(offsets, np.int64)[batch.column(2).offset:][:batch.num_rows + 1]
@@ -205,7 +217,7 @@ def _write_files(folder: str, digest: bytes, id_bytes: int):
             index = np.concatenate(index)
             start = out.size
             out.write(index.tobytes())
-            out.write(np.array([start, len(index)], "<u8").tobytes() + MAGIC)
+            out.write(np.array([start, len(index), nulls], "<u8").tobytes() + MAGIC)
             yield pa.RecordBatch.from_pylist([{
                 "file": out.close(), "part": TaskContext.get().partitionId(),
                 "n_docs": len(index), "n_tokens": int(index["ids"].sum())}])
@@ -226,7 +238,7 @@ class IdFile:
         if head[5:] != hashlib.sha256(dictionary).digest():
             raise ValueError(f"{uri} was written with another dictionary")
         self.dtype = np.dtype(f"<u{head[4]}")
-        start, n = np.frombuffer(tail[:16], "<u8").tolist()
+        start, n, self.nulls = np.frombuffer(tail[:24], "<u8").tolist()
         self.index = np.frombuffer(self._file.read_at(n * ENTRY.itemsize, start), ENTRY)
         self._unpacker = zstandard.ZstdDecompressor(dict_data=_dictionary(dictionary) if dictionary else None)
 
@@ -240,10 +252,10 @@ class IdFile:
 
     def document(self, doc_id: int) -> np.ndarray | None:
         """Ids of a document by its id; None if it is not in this file."""
-        row = int(np.searchsorted(self.index["doc_id"], doc_id))
+        row = self.nulls + int(np.searchsorted(self.index["doc_id"][self.nulls:], doc_id))
         return self.ids(row) if row < len(self.index) and self.index["doc_id"][row] == doc_id else None
 
-    def documents(self, block: int = 4 << 20) -> Iterator[tuple[int, np.ndarray]]:
+    def documents(self, block: int = 4 << 20) -> Iterator[tuple[int | None, np.ndarray]]:
         """All documents in order, read about ``block`` bytes at a time."""
         ends = (self.index["offset"] + self.index["bytes"]).astype(np.int64)
         lo = 0
@@ -251,8 +263,8 @@ class IdFile:
             base = int(self.index["offset"][lo])
             hi = max(lo + 1, int(np.searchsorted(ends, base + block, "right")))
             data = self._file.read_at(int(ends[hi - 1]) - base, base)
-            for e in self.index[lo:hi].tolist():
-                yield e[0], self._ids(data[e[1] - base:e[1] - base + e[2]])
+            for row, e in enumerate(self.index[lo:hi].tolist(), lo):
+                yield None if row < self.nulls else e[0], self._ids(data[e[1] - base:e[1] - base + e[2]])
             lo = hi
 
 
@@ -280,7 +292,8 @@ def write_ids(
 
     chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id")).limit(SAMPLE_DOCS)
     sample = docs.join(F.broadcast(chosen.distinct()), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id")).limit(SAMPLE_DOCS)
-    samples = [bytes(r[0]) for r in sample.mapInArrow(_samples(tokenizer, end_id, dtype), "ids binary").collect()]
+    pieces = sample.mapInArrow(_samples(tokenizer, end_id, dtype), "ids binary").orderBy(F.xxhash64("ids"), "ids").limit(SAMPLE_DOCS)
+    samples = [bytes(r[0]) for r in pieces.collect()]
     raw = train_dictionary(samples) if samples else b""
     dictionary = write_bytes(f"{folder}/dictionary.zdict", raw)
 
@@ -307,10 +320,8 @@ def read_ids(files: DataFrame, dictionary: str) -> DataFrame:
                 for doc_id, ids in IdFile(row["file"], raw).documents():
                     out.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
                     start += len(ids)
-                columns = list(zip(*out))
-                columns[0] = [None if i == NULL_ID else i for i in columns[0]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                    [pa.array(c, pa.int64()) for c in zip(*out)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     parts = max(1, files.count())
     return files.select("file", "start").repartition(parts, "file").mapInArrow(

@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 from scriptorium.llm.shared import freeing
 from scriptorium.session import materialize
 
-# a histogram without a given limit has at most this many steps
-STEPS = 1 << 16
 # rows that are numbered in one task, about
 NUMBERED_ROWS = 100_000
 
@@ -75,14 +73,11 @@ def choose_boundaries(lengths: list[int], counts: list[int], buckets: int) -> tu
     return out[::-1], cost[m]
 
 
-def length_histogram(rows: DataFrame, steps: int | None = None) -> tuple[list[int], list[int]]:
-    """Lengths (at least 1) and their counts, at most ``steps`` (``STEPS``) of
-    them. They are exact if no length is above ``steps``; else all are rounded
-    up to multiples of ``ceil(longest / steps)``."""
-    longest = rows.agg(F.max("n_tokens")).first()[0] or 1
-    step = -(-longest // (steps or STEPS))
-    rounded = F.greatest(F.ceil(F.col("n_tokens") / step) * step, F.lit(1)).cast("long")
-    found = rows.groupBy(rounded.alias("length")).agg(F.count("*").alias("n")).orderBy("length").collect()
+def length_histogram(rows: DataFrame) -> tuple[list[int], list[int]]:
+    """All lengths (at least 1) and their counts; for rows within a budget, so
+    that there are no more of them than tokens in it."""
+    length = F.greatest(F.col("n_tokens"), F.lit(1)).cast("long")
+    found = rows.groupBy(length.alias("length")).agg(F.count("*").alias("n")).orderBy("length").collect()
     return [r["length"] for r in found], [r["n"] for r in found]
 
 
@@ -110,7 +105,7 @@ def pack(rows: DataFrame, budget: int, buckets: int = 16, id_col: str = "doc_id"
         F.col(id_col).cast("long").alias("doc_id"),
         F.greatest(F.coalesce(F.col(length_col).cast("long"), F.lit(0)), F.lit(0)).alias("n_tokens"),
         F.monotonically_increasing_id().alias("row")), "lengths")
-    lengths, counts = length_histogram(slim.where(F.col("n_tokens") <= budget), budget)
+    lengths, counts = length_histogram(slim.where(F.col("n_tokens") <= budget))
     boundaries, _ = choose_boundaries(lengths, counts, buckets)
     if not boundaries:
         boundaries = [1]
@@ -163,9 +158,8 @@ def token_lengths(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "d
         from scriptorium.llm.id_store import _encoder, _ids_of
 
         for batch in freeing(batches_):
-            for lo, ids in _ids_of(batch, _encoder(tokenizer), end_id, np.uint32):
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(lo, len(ids)), pa.array([len(x) for x in ids], pa.int64())], names=["doc_id", "n_tokens"])
+            for lo, _, counts in _ids_of(batch, _encoder(tokenizer), end_id, np.uint32):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(counts)), pa.array(counts)], names=["doc_id", "n_tokens"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long")

@@ -1,9 +1,11 @@
 import itertools
 import random
 
-from scriptorium.llm import length_buckets
-from scriptorium.llm.length_buckets import batches, choose_boundaries, length_histogram, pack
+import public_tokenizers
+
+from scriptorium.llm.length_buckets import batches, choose_boundaries, length_histogram, pack, token_lengths
 from tests.llm.helpers import frame
+from tests.llm.test_id_store import TEXTS
 
 
 def padding(lengths, counts, cuts):
@@ -51,10 +53,23 @@ def test_batches_hold_all_rows_within_the_budget(spark):
     assert pack(df.limit(0), 400).count() == 0
 
 
-def test_coarse_histogram(spark, monkeypatch):
-    monkeypatch.setattr(length_buckets, "STEPS", 10)
-    lengths, counts = length_histogram(spark.createDataFrame([(n,) for n in range(0, 96)], "n_tokens long"))
-    assert len(lengths) <= 11 and sum(counts) == 96 and lengths[-1] >= 95
+def test_token_lengths_against_the_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    file = public_tokenizers.path("word_bpe_49k.json")
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(0, TEXTS[0]), (0, "other"), (None, None), (2 ** 63 - 1, "x")]
+    docs = frame(spark, rows, "doc_id long, text string", ["n_tokens", "batch"])
+    tokenizer = Tokenizer.from_file(file)
+    expected = [(i, 1 + len(tokenizer.encode(t or "", add_special_tokens=False).ids)) for i, t in rows]
+    got = token_lengths(docs.repartition(3), "file://" + file, end_id=1)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(expected, key=str)
+    assert token_lengths(docs.limit(0), "file://" + file, end_id=1).count() == 0
+
+
+def test_histogram_is_exact(spark):
+    rows = spark.createDataFrame([(n % 40,) for n in range(96)], "n_tokens long")
+    lengths, counts = length_histogram(rows)
+    assert lengths == list(range(1, 40)) and sum(counts) == 96 and counts[0] == 6
 
 
 def test_very_long_documents_change_nothing_for_others(spark):
