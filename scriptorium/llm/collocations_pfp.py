@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.llm.shared import freeing, qualified, read_bytes, write_bytes
-from scriptorium.llm.textbytes import byte_class, combine, slices, span_hashes, split_words, utf8, word_array
+from scriptorium.llm.textbytes import byte_class, combine, slices, split_words, utf8, word_array, word_hashes
 from scriptorium.session import materialize, scratch_path
 
 LONGEST = 4
@@ -54,7 +54,7 @@ def parse_text(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, list[bytes
     breaks = np.concatenate([[0], np.cumsum(_IS_BREAK[w.data])])
     doc = w.doc
     apart = np.append(breaks[w.start[1:]] > breaks[w.end[:-1]], False)
-    h = combine([span_hashes(w.data, w.start, w.end)], tag=7)
+    h = combine([word_hashes(w.data, w.start, w.end)], tag=7)
     trigger = np.zeros(n, bool)
     if n >= OVERLAP:
         same = doc[OVERLAP - 1:] == doc[:n - OVERLAP + 1]
@@ -106,7 +106,7 @@ def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 def _hashes(values: pa.Array) -> np.ndarray:
     buf, off = utf8(values)
-    return span_hashes(buf, off[:-1], off[1:], fold_case=False)
+    return word_hashes(buf, off[:-1], off[1:], fold_case=False)
 
 
 class Grams:

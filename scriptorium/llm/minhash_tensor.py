@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.llm.components import connected_components
 from scriptorium.llm.shared import freeing
-from scriptorium.llm.textbytes import byte_class, combine, mix, slices, span_hashes, split_words, utf8
+from scriptorium.llm.textbytes import byte_class, combine, mix, slices, split_words, utf8, word_hashes
 from scriptorium.session import materialize
 
 WORD_BYTES = byte_class(b"\x20\x09\x0a\x0b\x0c\x0d")
@@ -54,7 +54,7 @@ def shingle_sets(column: pa.Array, words_per_shingle: int) -> Iterator[tuple[int
     k = words_per_shingle
     for lo, hi in slices(off):
         w = split_words(buf, off[lo:hi + 1], WORD_BYTES)
-        h = span_hashes(w.data, w.start, w.end)
+        h = word_hashes(w.data, w.start, w.end)
         full = combine([h[i:len(h) - k + 1 + i] for i in range(k)]) if len(h) >= k else h[:0]
         sets = []
         for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist()):

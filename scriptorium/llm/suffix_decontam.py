@@ -9,8 +9,9 @@ and the nearest benchmark suffixes of each place give the longest verbatim
 match from there. Places turn into hit words, items and the longest match of
 each document; documents with a hit can be removed.
 
-The benchmark is cut into blocks of bounded size, stored in the shared folder;
-a worker holds one block at a time.
+Words are compared themselves, not by hashes. The benchmark is cut into blocks
+of bounded size, built in tasks and stored in the shared folder; a worker holds
+one block at a time.
 """
 
 from __future__ import annotations
@@ -19,18 +20,21 @@ import functools
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.llm.shared import freeing, qualified, read_bytes, write_bytes
-from scriptorium.llm.textbytes import byte_class, slices, span_hashes, split_words, utf8
-from scriptorium.session import scratch_path
+from scriptorium.llm.textbytes import Words, byte_class, slices, split_words, utf8, word_array
+from scriptorium.session import materialize, scratch_path
 
 WORD_BYTES = byte_class(bytes(b for b in range(128) if not chr(b).isalnum()))
-SHARD_BYTES = 2 << 20
+# a shard has about so many bytes; so many shards meet a block together
+SHARD_BYTES, SHARDS = 2 << 20, 4
 BLOCK_BYTES = 16 << 20
 REPORT = ("doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>, "
           "longest long, longest_item string, longest_at long")
@@ -70,10 +74,10 @@ def sort_suffixes(packed: np.ndarray, places: np.ndarray, per: int, depth: int)
 
 @dataclass
 class Block:
-    """Some benchmark items: vocabulary, word numbers with a 0 after each item,
-    their sorted suffixes, and the distinct windows with the items they are in."""
+    """Some benchmark items: vocabulary (the words themselves, numbered from
+    1), word numbers with a 0 after each item, their sorted suffixes, and the distinct windows with the items they are in."""
 
-    vocabulary: np.ndarray
+    vocabulary: pa.Array
     bits: int
     per: int
     names: list[str]
@@ -93,7 +97,8 @@ def make_block(names: list[str], texts: list[str], window: int) -> Block | None:
     w = split_words(buf, off, WORD_BYTES)
     if not len(w.start):
         return None
-    vocabulary, number = np.unique(span_hashes(w.data, w.start, w.end), return_inverse=True)
+    coded = word_array(w).dictionary_encode()
+    vocabulary, number = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
     bits = max(1, int(len(vocabulary)).bit_length())
     per = 63 // bits
     n = np.diff(w.first)
@@ -178,12 +183,13 @@ def _longest(packed: np.ndarray, left: np.ndarray, places: np.ndarray, b: Block)
     return best, where
 
 
-def scan_shard(words, number_of, b: Block) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-    """Of the words of a shard: hit words (bool), items by document, and the
-    longest match (length, item, word) of each document."""
+def scan_shard(words: Words, coded: pa.DictionaryArray, b: Block) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """Of the words of a shard, also as a dictionary of the different ones:
+    hit words (bool), items by document, the longest match (length, item,
+    word) of each document, and the documents that have one."""
     docs = len(words.first) - 1
-    slot = np.minimum(np.searchsorted(b.vocabulary, number_of), len(b.vocabulary) - 1)
-    number = np.where(b.vocabulary[slot] == number_of, slot + 1, 0)
+    slot = pc.fill_null(pc.index_in(coded.dictionary, value_set=b.vocabulary), -1).to_numpy()
+    number = slot.astype(np.int64)[coded.indices.to_numpy()] + 1
     place_of = np.arange(len(number)) + words.doc
     ids = np.zeros(len(number) + docs + b.per, np.int64)
     ids[place_of] = number
@@ -239,32 +245,50 @@ def _block(uri: str) -> Block:
     return pickle.loads(read_bytes(uri))
 
 
-def _reports(column: pa.Array, uris: list[str]) -> Iterator[tuple]:
-    """By document: (words, hit words, items, spans, longest match)."""
-    buf, off = utf8(column)
-    for lo, hi in slices(off, SHARD_BYTES):
-        words = split_words(buf, off[lo:hi + 1], WORD_BYTES)
-        hashes = span_hashes(words.data, words.start, words.end)
-        hit = np.zeros(len(hashes), bool)
-        names: list[set] = [set() for _ in range(hi - lo)]
-        longest: list[tuple] = [(0, None, None)] * (hi - lo)
-        for uri in uris:
-            b = _block(uri)
-            more, items, best, docs = scan_shard(words, hashes, b)
-            hit |= more
-            for d in docs.tolist():
-                names[d].update(b.names[i] for i in items[d].tolist())
-                length, item, at = best[d].tolist()
-                longest[d] = max(longest[d], (length, b.names[item], at), key=lambda x: x[0])
+class Shard:
+    """Words of some documents and what the blocks so far have found there."""
+
+    def __init__(self, buf: np.ndarray, off: np.ndarray):
+        self.words = split_words(buf, off, WORD_BYTES)
+        self.coded = word_array(self.words).dictionary_encode()
+        self.hit = np.zeros(len(self.coded), bool)
+        self.names: list[set] = [set() for _ in range(len(off) - 1)]
+        self.longest: list[tuple] = [(0, None, None)] * (len(off) - 1)
+
+    def scan(self, b: Block) -> None:
+        more, items, best, docs = scan_shard(self.words, self.coded, b)
+        self.hit |= more
+        for d in docs.tolist():
+            self.names[d].update(b.names[i] for i in items[d].tolist())
+            length, item, at = best[d].tolist()
+            # the first word of the longest matches, then the smallest item
+            self.longest[d] = min(self.longest[d], (length, b.names[item], at), key=lambda x: (-x[0], x[2] or 0, x[1] or ""))
+
+    def reports(self) -> Iterator[tuple]:
+        """By document: (words, hit words, items, spans, longest match)."""
+        words, names, hit = self.words, self.names, self.hit
         edge = np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        for d in range(hi - lo):
+        for d in range(len(names)):
             a, z = int(words.first[d]), int(words.first[d + 1])
             spans = []
             if names[d]:
                 i, j = np.searchsorted(ends, a, "right"), np.searchsorted(starts, z)
                 spans = [(max(s, a) - a, min(e, z) - a) for s, e in zip(starts[i:j].tolist(), ends[i:j].tolist())]
-            yield z - a, sum(e - s for s, e in spans), sorted(names[d]), spans, longest[d]
+            yield z - a, sum(e - s for s, e in spans), sorted(names[d]), spans, self.longest[d]
+
+
+def _reports(column: pa.Array, uris: list[str]) -> Iterator[tuple]:
+    """:meth:`Shard.reports` of all documents; some shards meet a block before
+    the next block is read."""
+    buf, off = utf8(column)
+    for some in batched(slices(off, SHARD_BYTES), SHARDS):
+        shards = [Shard(buf, off[lo:hi + 1]) for lo, hi in some]
+        for uri in uris:
+            for shard in shards:
+                shard.scan(_block(uri))
+        for shard in shards:
+            yield from shard.reports()
 
 
 def _report(uris: list[str]):
@@ -292,21 +316,30 @@ def _clean(uris: list[str], text_at: int):
     return run
 
 
+def _build(folder: str, window: int):
+    def run(key, table):
+        block = key[0].as_py()
+        rows = sorted(zip(table["item"].to_pylist(), table["text"].to_pylist()))
+        made = make_block([r[0] for r in rows], [r[1] for r in rows], window)
+        if made is None:
+            return pa.table({"uri": pa.array([], pa.string())})
+        return pa.table({"uri": [write_bytes(f"{folder}/{block:06d}", pickle.dumps(made, pickle.HIGHEST_PROTOCOL))]})
+
+    return run
+
+
 def _store_blocks(bench: DataFrame, window: int, item_col: str, text_col: str) -> list[str]:
-    """Write the benchmark's blocks to the shared folder, one at a time."""
+    """Write the benchmark's blocks to the shared folder, each in a task; only
+    their paths come back. An item is not divided, repeated rows are one."""
     spark = bench.sparkSession
     items = bench.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")) \
-        .where("item is not null and text is not null")
+        .where("item is not null and text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
-    folder, uris = qualified(spark, scratch_path(spark, "benchmark")), []
-    block: Column = F.pmod(F.xxhash64("item"), F.lit(blocks))
-    for k in range(blocks):
-        rows = items.where(block == k).orderBy("item", "text").collect()
-        made = make_block([r[0] for r in rows], [r[1] for r in rows], window)
-        if made is not None:
-            uris.append(write_bytes(f"{folder}/{k:06d}", pickle.dumps(made, pickle.HIGHEST_PROTOCOL)))
-    return uris
+    folder = qualified(spark, scratch_path(spark, "benchmark"))
+    made = materialize(items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
+                       .groupBy("block").applyInArrow(_build(folder, window), "uri string"), "benchmark-blocks")
+    return sorted(r["uri"] for r in made.collect())
 
 
 def contamination(

@@ -1,8 +1,10 @@
 """Word spans and word hashes of whole Arrow text columns, with numpy.
 
 Texts are handled as UTF-8 bytes, several documents at a time: one byte table
-decides which bytes belong to words, a running polynomial sum gives every word
-a 64-bit hash without a Python loop over words. A slice holds whole documents
+decides which bytes belong to words. Words have two hashes: ``word_hashes``
+mixes their blocks and stands for the word; ``span_hashes`` takes any spans
+from one running polynomial sum and is for features alone, since two long
+words built for it can have the same. A slice holds whole documents
 and about ``SLICE_BYTES`` bytes (a longer document is a slice of its own), so
 memory in a worker does not depend on the Arrow batch size.
 """
@@ -15,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SLICE_BYTES = 1 << 20
 
@@ -153,6 +156,35 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold_case:
     return out
 
 
+_LONG_WORD = 64
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold_case: bool = True) -> np.ndarray:
+    """64-bit hash of the bytes of every word, eight bytes after eight, each
+    mixed with all before; words over ``_LONG_WORD`` bytes by xxh3.
+    ``fold_case`` treats A-Z as a-z."""
+    if not len(start):
+        return np.empty(0, np.uint64)
+    held = np.zeros(len(data) + 8, np.uint8)
+    held[:len(data)] = _LOWER[data] if fold_case else data
+    eight = np.ndarray(len(data) + 1, "<u8", held, strides=(1,))
+    n = end - start
+    h = mix(n.astype(np.uint64) * np.uint64(_MULT) + np.uint64(1))
+    rows = np.flatnonzero(n <= _LONG_WORD)
+    at = 0
+    while len(rows):
+        bits = np.minimum(n[rows] - at, 8).astype(np.uint64) * np.uint64(8)
+        block = eight[start[rows] + at] & (~np.uint64(0) >> (np.uint64(64) - bits))
+        h[rows] = mix(h[rows] * np.uint64(_MULT) + block)
+        at += 8
+        rows = rows[n[rows] > at]
+    long = np.flatnonzero(n > _LONG_WORD)
+    if len(long):
+        raw = memoryview(held)
+        h[long] = [xxhash.xxh3_64_intdigest(raw[s:e]) for s, e in zip(start[long].tolist(), end[long].tolist())]
+    return h
+
+
 def combine(parts: list[np.ndarray], tag: int = 0) -> np.ndarray:
     """Order-dependent hash of several hashes."""
     h = np.full(len(parts[0]), np.uint64(tag * 0x2545F4914F6CDD1D % (1 << 64) + 1), np.uint64)

@@ -20,3 +20,11 @@ def frame(spark, rows, schema, clashing):
 
 def by_id(df, key="doc_id"):
     return {r[key]: r for r in df.collect()}
+
+
+def thue_morse(n: int) -> tuple[str, str]:
+    """The word of ``n`` letters a and b that repeats nothing three times, and
+    the same with the letters swapped; polynomial hashes modulo a power of two
+    take them for one another."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))

@@ -1,8 +1,9 @@
 import random
 import re
 
+from scriptorium.llm import suffix_decontam
 from scriptorium.llm.suffix_decontam import contamination, remove_contaminated
-from tests.llm.helpers import frame, text
+from tests.llm.helpers import frame, text, thue_morse
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 DOC, ITEM = "doc_id long, text string", "item_id long, text string"
@@ -64,3 +65,27 @@ def test_nothing_to_find(spark):
     # words of the benchmark, but no window of it
     shuffled = [(1, " ".join(sorted(set(words(bench[2][1])))) * 3)]
     assert contamination(spark.createDataFrame(shuffled, DOC), b).first().n_hit == 0
+
+
+def test_long_words_that_hash_alike(spark):
+    for n in (1024, 4096):
+        a, b = thue_morse(n)
+        docs = [(1, f"x {a} y"), (2, f"x {b} y"), (3, a), (4, b)]
+        bench = [(7, f"X {a.upper()} Y"), (8, a)]
+        got = contamination(spark.createDataFrame(docs, DOC), spark.createDataFrame(bench, ITEM)).collect()
+        assert sorted([(r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in got]) == brute(docs, bench, 10)
+        assert {r.doc_id for r in got if r.n_hit} == {1, 3}
+
+
+def test_many_blocks_and_shards(spark, monkeypatch):
+    monkeypatch.setattr(suffix_decontam, "BLOCK_BYTES", 200)
+    monkeypatch.setattr(suffix_decontam, "_block", suffix_decontam._block.__wrapped__)
+    docs, bench = cases()
+    d, b = spark.createDataFrame(docs, DOC), spark.createDataFrame(bench + bench[:5], ITEM)
+    assert len(suffix_decontam._store_blocks(b, 10, "item_id", "text")) > 3
+    got = contamination(d, b, 10)
+    known = [x for x in bench if x[0] is not None]
+    assert sorted([(r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in got.collect()], key=str) == brute(docs, known, 10)
+    monkeypatch.undo()
+    one = contamination(d, b, 10).drop("longest_item")  # equal items tie
+    assert sorted(map(str, got.drop("longest_item").collect())) == sorted(map(str, one.collect()))

@@ -2,7 +2,7 @@ import random
 import re
 
 from scriptorium.llm.minhash_tensor import near_duplicates
-from tests.llm.helpers import frame, text
+from tests.llm.helpers import frame, text, thue_morse
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -67,3 +67,32 @@ def test_edges(spark):
     rows = [(None, "a b c d e f"), (None, None), (5, "a b c d e f"), (5, "a b c d e f"), (9, "a b c d e f")]
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(spark.createDataFrame(rows, schema)).collect()), key=str)
     assert got == [(5, 5, True), (5, 5, True), (9, 5, False), (None, None, True), (None, None, True)]
+
+
+def test_long_words_that_hash_alike(spark):
+    docs = []
+    for n in (64, 65, 1024, 4096):
+        a, b = thue_morse(n)
+        docs += [(len(docs), a), (len(docs) + 1, b), (len(docs) + 2, a.upper()), (len(docs) + 3, f"one two three {a} four"), (len(docs) + 4, f"one two three {b} four")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute(docs, 5, 80)
+
+
+def test_word_hashes():
+    import numpy as np
+    import pyarrow as pa
+
+    from scriptorium.llm.textbytes import byte_class, split_words, utf8, word_hashes
+
+    rng = random.Random(12)
+    words = {"".join(rng.choice("ab\x00é") for _ in range(rng.randrange(1, 90))) for _ in range(3000)}
+    words |= {"a" * n for n in range(1, 200)} | {"\x00" * n for n in range(1, 40)}
+    words = sorted(words)
+    texts = [" ".join(words), " ".join(reversed(words)), " ".join(words).upper()]
+    buf, off = utf8(pa.array(texts))
+    w = split_words(buf, off, byte_class(b" "))
+    a, b, c = np.split(word_hashes(w.data, w.start, w.end), 3)
+    assert len(set(a.tolist())) == len(words) and np.array_equal(a, b[::-1])
+    folded = np.array(["É" not in x and "é" not in x for x in words])
+    assert np.array_equal(a[folded], c[folded])
+    assert not np.array_equal(a, np.split(word_hashes(w.data, w.start, w.end, fold_case=False), 3)[2])
