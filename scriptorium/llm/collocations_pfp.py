@@ -17,7 +17,6 @@ frequent one. The counts are exact.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +25,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptorium.llm.shared import freeing, qualified, read_bytes, write_bytes
+from scriptorium.llm import bits
+from scriptorium.llm.shared import freeing
 from scriptorium.llm.textbytes import byte_class, combine, slices, split_words, utf8, word_array, word_hashes
-from scriptorium.session import materialize, scratch_path
+from scriptorium.session import materialize
 
 LONGEST = 4
 OVERLAP, PERIOD = LONGEST - 1, 32
@@ -37,8 +37,6 @@ TEXT_WORD, CHUNK_WORD = byte_class(BREAKS + GAPS), byte_class(b" \n")
 _IS_BREAK = ~byte_class(BREAKS)
 # bytes of chunks that a task counts at a time
 SLAB_BYTES = 8 << 20
-# bits of a table for each frequent phrase, and in all
-BITS_EACH, BITS_LEAST, BITS_MOST, BLOCK_BITS = 32, 20, 29, 23
 # lengths that are counted together
 PASSES = ((1,), (2,), (3, 4))
 
@@ -134,7 +132,7 @@ class Grams:
 
     def keep(self, length: int, table: np.ndarray) -> None:
         """Forget the phrases that ``table`` says are rare."""
-        ok = held(table, self.hash[length])
+        ok = bits.held(table, self.hash[length])
         at = self.at[length]
         self.at[length] = np.where((at >= 0) & ok[at], at, -1)
 
@@ -177,51 +175,7 @@ def _counted(lang: pa.Array, phrase: pa.Array, n: np.ndarray, h: np.ndarray) ->
     return pa.RecordBatch.from_arrays([lang, phrase, pa.array(n), pa.array(h.view(np.int64))], names=["lang", "phrase", "n", "h"])
 
 
-def held(table: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Whether the bits of the hashes are set in a table."""
-    bit = h >> np.uint64(64 - (len(table).bit_length() + 2))
-    return (table[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
-
-
-def _write_bits(folder: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks: dict[int, np.ndarray] = {}
-        for batch in batches:
-            bit = batch.column(0).to_numpy()
-            for block in np.unique(bit >> BLOCK_BITS).tolist():
-                table = blocks.setdefault(block, np.zeros(1 << BLOCK_BITS - 3, np.uint8))
-                own = bit[bit >> BLOCK_BITS == block] & (1 << BLOCK_BITS) - 1
-                np.bitwise_or.at(table, own >> 3, (1 << (own & 7)).astype(np.uint8))
-        for block, table in blocks.items():
-            yield pa.RecordBatch.from_pylist([{"block": block, "file": write_bytes(f"{folder}/{block:04d}", table.tobytes())}])
-
-    return run
-
-
-def bit_table(hashes: DataFrame) -> tuple[int, dict[int, str]]:
-    """Set the bits of the column ``h`` in a table in the shared folder: the
-    logarithm of its bits and its files, at most ``2 ** (BITS_MOST -
-    BLOCK_BITS)`` of them. It is written in tasks, a block by one."""
-    spark = hashes.sparkSession
-    bits = min(max((BITS_EACH * hashes.count()).bit_length(), BITS_LEAST), BITS_MOST)
-    folder = qualified(spark, scratch_path(spark, "frequent-bits"))
-    blocks = max(1, 1 << bits - BLOCK_BITS) if bits > BLOCK_BITS else 1
-    files = materialize(
-        hashes.select(F.shiftrightunsigned("h", 64 - bits).alias("bit"), F.expr(f"shiftrightunsigned(h, {64 - bits}) div {1 << BLOCK_BITS}").alias("block"))
-        .repartition(min(blocks, 64), "block").select("bit").mapInArrow(_write_bits(folder), "block long, file string"), "frequent-blocks")
-    return bits, {r["block"]: r["file"] for r in files.collect()}
-
-
-@functools.lru_cache(maxsize=2)
-def _bits(bits: int, files: tuple) -> np.ndarray:
-    table = np.zeros(max(1 << bits - 3, 1 << BLOCK_BITS - 3), np.uint8)
-    for block, file in files:
-        at = block << BLOCK_BITS - 3
-        table[at:at + (1 << BLOCK_BITS - 3)] = np.frombuffer(read_bytes(file), np.uint8)
-    return table[:1 << bits - 3]
-
-
-def _count(lengths: tuple[int, ...], tables: list[tuple[int, int, tuple]]):
+def _count(lengths: tuple[int, ...], tables: list[tuple[int, bits.Table]]):
     """Counts of phrases of these lengths; ``tables`` has the bit tables of
     shorter ones."""
 
@@ -233,10 +187,10 @@ def _count(lengths: tuple[int, ...], tables: list[tuple[int, int, tuple]]):
                 yield grams.counts(1)
                 continue
             known = 0
-            for length, bits, files in tables:
+            for length, table in tables:
                 if length > 1:
                     grams.extend(length, known)
-                grams.keep(length, _bits(bits, files))
+                grams.keep(length, bits.load(table))
                 known = length
             for length in lengths:
                 grams.extend(length, known)
@@ -248,15 +202,14 @@ def _count(lengths: tuple[int, ...], tables: list[tuple[int, int, tuple]]):
 def phrase_counts(chunks: DataFrame, least: int) -> DataFrame:
     """``lang, phrase, n`` of all phrases of 1 to ``LONGEST`` words with at
     least ``least`` occurrences; the empty phrase has a language's words."""
-    tables: list[tuple[int, int, tuple]] = []
+    tables: list[tuple[int, bits.Table]] = []
     out = None
     for lengths in PASSES:
         rows = chunks.mapInArrow(_count(lengths, list(tables)), "lang string, phrase string, n long, h long")
         counts = materialize(
             rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.max("h").alias("h"))
             .where((F.col("n") >= least) | (F.col("phrase") == "")), "phrase-counts")
-        bits, files = bit_table(counts.where("phrase <> ''").select("h"))
-        tables.append((lengths[-1], bits, tuple(sorted(files.items()))))
+        tables.append((lengths[-1], bits.write(counts.where("phrase <> ''").select("h"))))
         out = counts if out is None else out.unionByName(counts)
     return out.select("lang", "phrase", "n")
 

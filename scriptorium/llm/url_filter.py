@@ -7,7 +7,9 @@ distinct name. A multinomial naive Bayes classifier over the words, learned
 from the urls that a rule decides, gives the verdict.
 
 Names are cut once each, however many urls hold them, and their scores are
-joined back; word and token counts stay distributed tables.
+joined back; word and token counts stay distributed tables. Names and words
+have any length: which pieces of a name may be counted words is decided in its
+task by a bit table of bounded size, and those few meet the counts in a join.
 """
 
 from __future__ import annotations
@@ -15,16 +17,20 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.llm import bits
 from scriptorium.llm.shared import freeing
+from scriptorium.llm.textbytes import span_hashes, utf8
 from scriptorium.session import materialize
 
-LONGEST_WORD = 20
-# longer names are cut into pieces of this many letters first
-NAME_CHARS = 64
+# log probability that a word without a count loses by each letter
+LETTER = 2.3
+# spans of a name that are looked up at a time
+SPANS = 1 << 20
 
 
 def host_of(url: Column) -> Column:
@@ -50,10 +56,8 @@ def longest_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tu
 
 
 def _names(host: Column, path: Column) -> Column:
-    """Letter runs, in pieces of at most ``NAME_CHARS``, and the lengths of
-    digit runs as ``#n``, of host and path."""
-    text = F.lower(F.concat_ws("/", host, path))
-    runs = F.regexp_extract_all(text, F.lit(rf"(\p{{L}}{{1,{NAME_CHARS}}}|[0-9]+)"), F.lit(1))
+    """Letter runs, and the lengths of digit runs as ``#n``, of host and path."""
+    runs = F.regexp_extract_all(F.lower(F.concat_ws("/", host, path)), F.lit(r"(\p{L}+|[0-9]+)"), F.lit(1))
     return F.transform(runs, lambda r: F.when(r.rlike("^[0-9]"), F.concat(F.lit("#"), F.length(r))).otherwise(r))
 
 
@@ -61,23 +65,26 @@ def word_counts(texts: DataFrame, text_col: str) -> DataFrame:
     """``word, n`` over all texts; markup between ``<`` and ``>`` is left out."""
     plain = F.lower(F.regexp_replace(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "<[^>]*>", " "))
     words = F.regexp_extract_all(plain, F.lit(rf"(\p{{L}}+)"), F.lit(1))
-    return (
-        texts.select(F.explode(words).alias("word")).where(F.length("word") <= LONGEST_WORD)
-        .groupBy("word").agg(F.count("*").alias("n"))
-    )
+    return texts.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def cut(name: str, known: dict[tuple[int, int], float], unknown: float) -> list[str]:
-    """The likeliest words of ``name``: ``known`` has the log probability of
-    the words at (start, length); other pieces have ``unknown - 2.3`` a letter.
-    Of equally likely cuts, the one with the longest last words."""
+def cut(name: str, known: list[tuple[int, int, float]], unknown: float) -> list[str]:
+    """The likeliest words of ``name``: ``known`` has (start, length, log
+    probability) of the counted words in it; any other piece has ``unknown -
+    LETTER`` a letter. Of equally likely cuts, the one with the longest last
+    words. Linear in the name and its known words."""
+    by_end: dict[int, list[tuple[int, float]]] = {}
+    for start, length, p in known:
+        by_end.setdefault(start + length, []).append((start, p))
     best: list[tuple[float, int]] = [(0.0, 0)]
+    # a piece without a count is best begun where this is greatest, whatever its end
+    lead, lead_at = 0.0, 0
     for end in range(1, len(name) + 1):
-        options = []
-        for length in range(min(end, LONGEST_WORD), 0, -1):
-            p = known.get((end - length, length), unknown - 2.3 * length)
-            options.append((best[end - length][0] + p, end - length))
-        best.append(max(options, key=lambda o: o[0]))
+        options = [(best[start][0] + p, -start) for start, p in by_end.get(end, ())]
+        found, start = max([*options, (lead + unknown - LETTER * end, -lead_at)])
+        best.append((found, -start))
+        if found + LETTER * end > lead:
+            lead, lead_at = found + LETTER * end, end
     out, end = [], len(name)
     while end:
         start = best[end][1]
@@ -93,7 +100,7 @@ def _cut_names(total: int):
         for batch in freeing(batches):
             rows = [
                 (r["name"], [r["name"]] if r["name"].startswith("#") else
-                 cut(r["name"], {(p["start"], p["length"]): math.log(p["n"]) + unknown for p in r["pieces"]}, unknown))
+                 cut(r["name"], [(p["start"], p["length"], math.log(p["n"]) + unknown) for p in r["pieces"]], unknown))
                 for r in batch.to_pylist()
             ]
             names, words = zip(*rows) if rows else ((), ())
@@ -103,21 +110,54 @@ def _cut_names(total: int):
     return run
 
 
+def _hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in freeing(batches):
+        buf, off = utf8(batch.column(0))
+        yield pa.RecordBatch.from_arrays([pa.array(span_hashes(buf, off[:-1], off[1:], fold_case=False).view(np.int64))], names=["h"])
+
+
+def _pieces(lengths: list[int], table: bits.Table):
+    """The pieces of each name that may be counted words, by the hashes of all
+    its spans of these byte lengths."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = bits.load(table)
+        for batch in freeing(batches):
+            buf, off = utf8(batch.column(1))
+            data, off = buf[off[0]:off[-1]], off - off[0]
+            letter = (data & 0xC0) != 0x80
+            nth = np.concatenate([np.cumsum(letter) - letter, [letter.sum()]])
+            row, ends = np.repeat(np.arange(batch.num_rows), np.diff(off)), np.repeat(off[1:], np.diff(off))
+            first = nth[off[:-1]]
+            begins = np.append(letter, True)
+            for size in lengths:
+                start = np.flatnonzero(letter & (np.arange(len(data)) + size <= ends))
+                start = start[begins[start + size]]
+                for lo in range(0, len(start), SPANS):
+                    s = start[lo:lo + SPANS]
+                    s = s[bits.held(known, span_hashes(data, s, s + size, fold_case=False))]
+                    raw = data.tobytes() if len(s) else b""
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column(0).take(pa.array(row[s])), pa.array(nth[s] - first[row[s]]), pa.array(nth[s + size] - nth[s]),
+                        pa.array([raw[a:a + size] for a in s.tolist()], pa.binary()).cast(pa.string()),
+                    ], names=["id", "start", "length", "word"])
+
+    return run
+
+
 def segment(names: DataFrame, counts: DataFrame) -> DataFrame:
-    """``name, words`` of the distinct ``names``. A name's pieces meet the word
-    counts in a join; a name has at most ``NAME_CHARS * LONGEST_WORD`` of them."""
+    """``name, words`` of the distinct ``names``, whole and of any length. The
+    pieces that may be counted words meet the counts in a join; a name's pieces
+    are as many as its counted words and few more."""
     total = counts.agg(F.sum("n")).first()[0] or 0
-    starts = F.sequence(F.lit(0), F.length("name") - 1)
-    spans = F.flatten(F.transform(starts, lambda i: F.transform(
-        F.sequence(F.lit(1), F.least(F.length("name") - i, F.lit(LONGEST_WORD))),
-        lambda n: F.struct(i.alias("start"), n.alias("length")))))
-    pieces = (
-        names.where(~F.col("name").startswith("#")).select("name", F.explode(spans).alias("p"))
-        .select("name", "p.start", "p.length", F.expr("substring(name, p.start + 1, p.length)").alias("word"))
-        .join(counts, "word").groupBy("name").agg(F.collect_list(F.struct("start", "length", "n")).alias("pieces"))
-    )
-    rows = names.join(pieces, "name", "left").select(
-        "name", F.coalesce("pieces", F.expr("array()").cast("array<struct<start:int,length:int,n:bigint>>")).alias("pieces"))
+    lengths = sorted(r[0] for r in counts.select(F.octet_length("word")).distinct().collect())
+    table = bits.write(counts.select("word").mapInArrow(_hash_words, "h long"))
+    named = materialize(names.withColumn("id", F.monotonically_increasing_id()), "names")
+    spans = named.where(~F.col("name").startswith("#")).select("id", "name").mapInArrow(
+        _pieces(lengths, table), "id long, start long, length long, word string")
+    pieces = spans.join(counts, "word").groupBy("id").agg(F.collect_list(F.struct("start", "length", "n")).alias("pieces"))
+    rows = named.join(pieces, "id", "left").select(
+        "name", F.coalesce("pieces", F.expr("array()").cast("array<struct<start:bigint,length:bigint,n:bigint>>")).alias("pieces"))
     return rows.mapInArrow(_cut_names(total), "name string, words array<string>")
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from scriptorium.llm import bits
 from scriptorium.llm import collocations_pfp as C
 from scriptorium.llm.collocations_pfp import Grams, collocations, dictionary, parse_text, phrase_counts
 from scriptorium.llm.textbytes import utf8
@@ -114,28 +115,25 @@ def test_small_slabs_and_full_tables(spark, monkeypatch):
     chunks = dictionary(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
     want = {k: n for k, n in counted(docs).items() if n >= 10 or (k[1] == "" and n)}
     for most in (29, 3):
-        monkeypatch.setattr(C, "BITS_LEAST", min(C.BITS_LEAST, most))
-        monkeypatch.setattr(C, "BITS_MOST", most)
+        monkeypatch.setattr(bits, "BITS_LEAST", min(bits.BITS_LEAST, most))
+        monkeypatch.setattr(bits, "BITS_MOST", most)
         got = {(r.lang, r.phrase): r.n for r in phrase_counts(chunks, 10).collect()}
         assert {k: n for k, n in got.items() if n} == want
 
 
 def test_bit_table_has_all_it_was_given(spark, monkeypatch):
-    monkeypatch.setattr(C, "BLOCK_BITS", 12)
+    monkeypatch.setattr(bits, "BLOCK_BITS", 12)
     rng = np.random.default_rng(1)
     h = rng.integers(0, 1 << 64, 20_000, dtype=np.uint64)
     h[:3] = [0, 2 ** 64 - 1, 2 ** 63]
     df = spark.createDataFrame(pa.table({"h": h.view(np.int64)}).to_pandas())
     for least in (12, 20):
-        monkeypatch.setattr(C, "BITS_LEAST", least)
-        monkeypatch.setattr(C, "BITS_EACH", 1)
-        bits, files = C.bit_table(df)
-        C._bits.cache_clear()
-        table = C._bits(bits, tuple(sorted(files.items())))
-        assert C.held(table, h).all()
+        monkeypatch.setattr(bits, "BITS_LEAST", least)
+        monkeypatch.setattr(bits, "BITS_EACH", 1)
+        table = bits.load.__wrapped__(bits.write(df))
+        assert bits.held(table, h).all()
         other = rng.integers(0, 1 << 64, 20_000, dtype=np.uint64)
-        assert C.held(table, other).mean() < 0.8
-    C._bits.cache_clear()
+        assert bits.held(table, other).mean() < 0.8
 
 
 def test_empty_table(spark):

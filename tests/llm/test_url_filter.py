@@ -1,7 +1,10 @@
 import itertools
 import math
+import random
+import re
+from collections import Counter
 
-from scriptorium.llm.url_filter import cut, judge
+from scriptorium.llm.url_filter import cut, judge, segment
 from tests.llm.helpers import frame
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -48,6 +51,11 @@ def test_segmented_words_decide(spark):
     assert (got[200], got[201], got[202]) == ("block", "allow", "allow")
 
 
+def known_words(name, counts, unknown):
+    return [(i, n, math.log(counts[name[i:i + n]]) + unknown)
+            for i in range(len(name)) for n in range(1, len(name) - i + 1) if name[i:i + n] in counts]
+
+
 def test_cut_is_the_likeliest():
     counts = {"the": 50, "them": 8, "me": 9, "theme": 2, "park": 5, "men": 3, "a": 20}
     unknown = -math.log(sum(counts.values()) + 10)
@@ -55,9 +63,59 @@ def test_cut_is_the_likeliest():
     def score(words):
         return sum(math.log(counts[w]) + unknown if w in counts else unknown - 2.3 * len(w) for w in words)
 
-    for name in ("themepark", "themen", "apark", "xyz", "theme"):
-        known = {(i, n): math.log(counts[name[i:i + n]]) + unknown
-                 for i in range(len(name)) for n in range(1, len(name) - i + 1) if name[i:i + n] in counts}
+    for name in ("themepark", "themen", "apark", "xyz", "theme", "xtheqme", "thexxpark", "qa", "aq"):
+        known = known_words(name, counts, unknown)
         ways = [[name[a:b] for a, b in itertools.pairwise([0, *c, len(name)])]
                 for r in range(len(name)) for c in itertools.combinations(range(1, len(name)), r)]
         assert math.isclose(score(cut(name, known, unknown)), max(map(score, ways)))
+
+
+def test_long_names_and_words(spark):
+    """No place and no length is special: a word across letter 64, a word of
+    25 letters, one of 300, names of 10,000 letters, letters of many bytes."""
+    long, longer = "donaudampfschifffahrtsamt", "llanfair" * 40
+    filler = "qx" * 30
+    counts = [("casino", 40), ("poker", 30), (long, 9), (longer, 3), ("größe", 12), ("日本", 5), ("a", 2)]
+    names = [filler + "casinopoker", "poker" + long + "casino", longer + "casino", "größepoker日本", "#3", "casino" * 2000, "zz"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = {r.name: r.words for r in segment(df, spark.createDataFrame(counts, "word string, n long")).collect()}
+    assert got == {names[0]: [filler, "casino", "poker"], names[1]: ["poker", long, "casino"], names[2]: [longer, "casino"],
+                   names[3]: ["größe", "poker", "日本"], "#3": ["#3"], names[5]: ["casino"] * 2000, "zz": ["zz"]}
+
+
+def brute_odds(rows):
+    """Score of every url that no rule decides, by counters."""
+    plain = [re.findall(r"[^\W\d_]+", re.sub("<[^>]*>", " ", h or "").lower()) for _, _, h in rows]
+    counts = Counter(w for p in plain for w in p)
+    unknown = -math.log(sum(counts.values()) + 10)
+    urls = []
+    for i, u, _ in rows:
+        host, path = parts(u)
+        words = []
+        for run in re.findall(r"[^\W\d_]+|[0-9]+", f"{host}/{path}".lower()):
+            words += [f"#{len(run)}"] if run[0].isdigit() else cut(run, known_words(run, counts, unknown), unknown)
+        urls.append((i, rule_of(host, path)[1], words))
+    tokens = {how: Counter(w for _, h, words in urls for w in words if h == how) for how in ("block", "allow")}
+    vocabulary = {w for _, _, words in urls for w in words}
+    decided = Counter(h for _, h, _ in urls)
+    out = {}
+    for i, how, words in urls:
+        if how is None:
+            p = {h: math.log(decided[h] + 1) + sum(math.log((tokens[h][w] + 1) / (tokens[h].total() + len(vocabulary) + 1)) for w in words)
+                 for h in tokens}
+            out[i] = p["block"] - p["allow"]
+    return out
+
+
+def test_naive_bayes_against_counters(spark):
+    rng = random.Random(6)
+    vocabulary = "casino poker garden flower news river bridge".split()
+    rows = []
+    for i in range(120):
+        name = "".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 4)))
+        host = rng.choice(["{}.com/de/", "{}.com/fr/", "{}.example.org/es/", "{}.org/", "{}.net/", "www.{}.info/"]).format(name)
+        rows.append((i, f"https://{host}{rng.choice(vocabulary)}{rng.randrange(2000)}", f"<p>{' '.join(rng.choices(vocabulary, k=5))}</p>"))
+    rows += [(200, None, None), (201, "no scheme", ""), (202, rows[4][1], "x")]
+    got = {r.page_id: r.score for r in judge(spark.createDataFrame(rows, SCHEMA), RULES).collect() if r.rule is None}
+    want = brute_odds(rows)
+    assert set(got) == set(want) and all(math.isclose(got[i], want[i], abs_tol=1e-4) for i in want)
