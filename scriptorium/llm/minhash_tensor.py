@@ -37,6 +37,8 @@ from scriptorium.session import materialize
 WORD_BYTES = byte_class(b"\x20\x09\x0a\x0b\x0c\x0d")
 HALVES = 16
 COARSE = 8
+# below this similarity the tables would miss more than one pair in 10,000
+LEAST_PERCENT = 70
 # a cell of step 3 holds about this many documents and shingles of each side
 CELL_ROWS, CELL_SHINGLES = 512, 1 << 19
 # ids are looked up in a bitmap of fixed size before their texts are read again
@@ -307,10 +309,14 @@ def near_duplicates(
     bytes other than ASCII white space, A-Z lower-cased; a text of fewer words
     than a shingle is one shingle. Null and empty texts have an empty set and
     no links. Rows with a null id keep their count, have a null component and
-    are kept. Repeated rows share a class. Other columns are ignored; an empty
-    table gives an empty result. ``percent`` below about 70 would need more
-    halves.
+    are kept. Repeated rows share a class; rows of one id with other texts are
+    one document in the links (:func:`remove_duplicates` tells them apart).
+    Other columns are ignored; an empty table gives an empty result. A
+    ``percent`` below ``LEAST_PERCENT`` would need more halves and raises
+    ``ValueError``.
     """
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must be from {LEAST_PERCENT} to 100")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     spark = docs.sparkSession
     sig = materialize(docs.mapInArrow(
@@ -342,3 +348,23 @@ def near_duplicates(
             .otherwise(F.col("doc_id")).alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def remove_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 5, percent: int = 80,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay when one row of each group
+    of near duplicates does: that with the smallest id, null ids last.
+
+    Rows are told apart by a number of their own, so an id may have any number
+    of rows and texts: each is in the group that its text is in. Rows without a
+    word stay. The numbered rows are written once.
+    """
+    row = "row_" + "_".join(docs.columns)  # no column's name
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-rows")
+    found = near_duplicates(rows, row, text_col, words_per_shingle, percent).select(F.col("doc_id").alias(row), "component_id")
+    of_id = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(row).alias("at"))
+    grouped = materialize(rows.select(row, id_col).join(found, row).withColumn("of", of_id), "grouped-rows")
+    kept = grouped.groupBy("component_id").agg(F.min("of").alias("kept"))
+    dropped = materialize(grouped.join(kept, "component_id").where(F.col("of.at") != F.col("kept.at")).select(row), "dropped-rows")
+    return rows.join(dropped, row, "left_anti").select(docs.columns)

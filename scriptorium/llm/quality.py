@@ -29,9 +29,10 @@ from scriptorium.llm.textbytes import byte_class, slices, span_hashes, split_wor
 from scriptorium.session import scratch_path
 
 WIDTH = 1 << 12
-# the model is fitted on this many rated texts
+# the model is fitted on this many rated rows
 SAMPLE_DOCS = 10_000
-MAX_GRADES = 64
+# probabilities that are held at a time
+CELLS = 1 << 20
 STEPS, RATE, DECAY = 200, 0.3, 1e-6
 
 TOKEN_BYTES = byte_class(b"\x20\x09\x0a\x0b\x0c\x0d")
@@ -84,8 +85,15 @@ class Model:
         return np.concatenate([np.ones((len(s), 1)), up], 1)
 
     def expected(self, s: np.ndarray) -> np.ndarray:
-        steps = np.diff(self.grades, prepend=0.0)
-        return self.at_least(s) @ steps
+        steps, rows = np.diff(self.grades, prepend=0.0), max(1, CELLS // max(1, len(self.grades)))
+        return np.concatenate([self.at_least(s[i:i + rows]) @ steps for i in range(0, max(1, len(s)), rows)])
+
+    def tail(self, s: np.ndarray, grade: float) -> np.ndarray:
+        """Probability of ``grade`` or better."""
+        at = int(np.searchsorted(self.grades, grade))
+        if at == 0:
+            return np.full(len(s), float(len(self.grades) > 0))
+        return 1 - sigmoid(self.thresholds[at - 1] - s) if at < len(self.grades) else np.zeros(len(s))
 
 
 def fit(grade: np.ndarray, doc: np.ndarray, feature: np.ndarray, value: np.ndarray) -> Model:
@@ -126,33 +134,34 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column(1).slice(lo, hi - lo).cast(pa.float64()),
                 pa.ListArray.from_arrays(first, pa.array(feature.astype(np.int16))),
                 pa.ListArray.from_arrays(first, pa.array(value.astype(np.float32))),
-            ], names=["grade", "feature", "value"])
+                batch.column(2).slice(lo, hi - lo),
+            ], names=["grade", "feature", "value", "h"])
 
 
 def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "quality") -> str:
-    """Fit a model on ``SAMPLE_DOCS`` rated texts, chosen by a hash of the id,
-    and store it in the shared folder; returns its path.
+    """Fit a model on ``SAMPLE_DOCS`` rated rows, chosen by a hash of the id
+    (rows of one id by a hash of the text), and store it in the shared folder;
+    returns its path.
 
     Ratings with a null id or grade, or a grade that is not a number, take no
     part; a document rated more than once counts once for each different
-    grade. A scale of more than ``MAX_GRADES`` grades raises ``ValueError``.
-    Without ratings, every text has the expected grade 0.
+    grade. A scale may have any number of grades. Without ratings, every text
+    has the expected grade 0.
     """
     spark = docs.sparkSession
     rated = (
         ratings.select(F.col(id_col).cast("long").alias("doc_id"), F.col(grade_col).cast("double").alias("grade"))
         .where("doc_id is not null and grade is not null and not isnan(grade)").distinct()
     )
-    if rated.select("grade").distinct().limit(MAX_GRADES + 1).count() > MAX_GRADES:
-        raise ValueError(f"more than {MAX_GRADES} grades in {grade_col}")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     some = (
         rated.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(SAMPLE_DOCS)
     )
-    # at most SAMPLE_DOCS short rows: the texts stay where they are
-    rows = texts.join(F.broadcast(some), "doc_id").select("text", "grade") \
-        .mapInArrow(_sample, "grade double, feature array<smallint>, value array<float>").toArrow()
+    # at most SAMPLE_DOCS short rows: the texts stay where they are; an id may have any number of rows
+    rows = texts.join(F.broadcast(some), "doc_id").select("text", "grade", F.xxhash64("doc_id", "text").alias("h")) \
+        .mapInArrow(_sample, "grade double, feature array<smallint>, value array<float>, h long") \
+        .orderBy("h", "grade").limit(SAMPLE_DOCS).toArrow()
     grade = rows["grade"].to_numpy()
     lists = [pa.chunked_array([c.flatten() for c in rows[name].chunks], kind) if rows.num_rows else pa.array([], kind)
              for name, kind in (("feature", pa.int16()), ("value", pa.float32()))]
@@ -174,11 +183,6 @@ def _linear(column: pa.Array, model: Model) -> np.ndarray:
     return out
 
 
-def _tail(model: Model, s: np.ndarray, grade: float) -> np.ndarray:
-    at = int(np.searchsorted(model.grades, grade))
-    return model.at_least(s)[:, at] if at < len(model.grades) else np.zeros(len(s))
-
-
 def score(docs: DataFrame, model: str, grade: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, expected_grade, p_at_least`` (probability of ``grade`` or
     better) of every row, from its text alone. Null and empty texts have no
@@ -190,7 +194,7 @@ def score(docs: DataFrame, model: str, grade: float, id_col: str = "doc_id", tex
         for batch in freeing(batches):
             s = _linear(batch.column(1), m)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(m.expected(s)), pa.array(_tail(m, s, grade))],
+                [batch.column(0), pa.array(m.expected(s)), pa.array(m.tail(s, grade))],
                 names=["doc_id", "expected_grade", "p_at_least"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -205,6 +209,6 @@ def select_good(docs: DataFrame, model: str, grade: float, threshold: float = 0.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _model(model)
         for batch in freeing(batches):
-            yield batch.filter(pa.array(_tail(m, _linear(batch.column(text_at), m), grade) >= threshold))
+            yield batch.filter(pa.array(m.tail(_linear(batch.column(text_at), m), grade) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

@@ -37,7 +37,7 @@ PREFIXES = (3, 4, 5, 6, 7, 8)
 FEATURES = 1024
 # a feature needs this log likelihood ratio: a chance of 1e-4 without any tie to the label
 LEAST_GAIN = 7.57
-# the classifier is fitted on this many labelled texts
+# the classifier is fitted on this many labelled rows
 SAMPLE_DOCS = 50_000
 STEPS, RATE, DECAY = 500, 0.5, 1e-5
 CACHE_TOKENS = 100_000
@@ -336,7 +336,8 @@ def _vectors(slot_uri: str):
                 first = np.searchsorted(doc, np.arange(hi - lo + 1))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(label[lo:hi]), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(at.astype(np.int16))),
-                ], names=["label", "features"])
+                    batch.column(2).slice(lo, hi - lo),
+                ], names=["label", "features", "h"])
 
     return run
 
@@ -374,7 +375,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     The character model is counted over all of ``docs``; features are chosen
     and weights fitted on ``SAMPLE_DOCS`` labelled texts, chosen by a hash of
-    the id. Rows of ``labels`` with a null id or label take
+    the id (weights on as many rows, if ids repeat, by a hash of the text).
+    Rows of ``labels`` with a null id or label take
     no part. Without labels every text has the score 0.5.
     """
     spark = docs.sparkSession
@@ -390,14 +392,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         known.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(SAMPLE_DOCS), "toxicity-sample")
     # at most SAMPLE_DOCS short rows: the texts stay where they are
-    labelled = texts.join(F.broadcast(some), "doc_id").select("text", "label")
+    labelled = texts.join(F.broadcast(some), "doc_id").select("text", "label", F.xxhash64("doc_id", "text").alias("h"))
     counts = materialize(
         labelled.mapInArrow(_count_features(channel), "feature long, clean long, toxic long"), "toxicity-counts")
     chosen = telling_features(counts)
     slot = np.full(BUCKETS, -1, np.int64)
     slot[chosen] = np.arange(len(chosen))
     selection = write_bytes(f"{folder}/features", pickle.dumps((trigrams, slot)))
-    sample = labelled.mapInArrow(_vectors(selection), "label byte, features array<smallint>").toArrow().combine_chunks()
+    sample = labelled.mapInArrow(_vectors(selection), "label byte, features array<smallint>, h long") \
+        .orderBy("h", "label").limit(SAMPLE_DOCS).toArrow().combine_chunks()
     label = sample["label"].to_numpy().astype(float)
     features = sample["features"].combine_chunks()
     if isinstance(features, pa.ChunkedArray):

@@ -32,7 +32,6 @@ BLOCK_ROWS, QUERY_ROWS, PLANE = 4096, 512, 8
 SEED_STEP = 16
 # survivors are compacted to pairs once fewer than this share is left
 SPARSE = 0.1
-NO_ID = np.iinfo(np.int64).max
 LEAST, MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 
@@ -42,6 +41,7 @@ class Block:
     left of each behind every plane; ``floor`` is the score to beat."""
 
     ids: np.ndarray
+    null: np.ndarray
     rows: np.ndarray
     columns: np.ndarray
     rest: np.ndarray
@@ -63,7 +63,7 @@ def make_block(scale: int, ids: pa.Array, rows: pa.Array, vectors: pa.Array, flo
     mass = np.add.reduceat(columns * columns, np.arange(0, width, PLANE), axis=0)
     rest = np.sqrt(np.cumsum(mass[::-1], axis=0)[::-1])
     beat = np.full(len(n), -np.inf) if floor is None else floor.fill_null(LEAST).to_numpy().astype(np.float64)
-    return Block(ids.fill_null(NO_ID).to_numpy(), rows.to_numpy(), columns,
+    return Block(ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), rows.to_numpy(), columns,
                  np.vstack([rest, np.zeros(len(n))]), np.where(beat <= LEAST, -np.inf, beat))
 
 
@@ -109,7 +109,7 @@ def scan(q: Block, c: Block, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     keep = (q.rows[i] != c.rows[j]) & (pairs >= floor[i, 0])
     i, j, pairs = i[keep], j[keep], pairs[keep]
     scores = np.rint(pairs).astype(np.int64) if exact else _exact_scores(q, c, i, j)
-    order = np.lexsort((c.rows[j], c.ids[j], ~scores, i))
+    order = np.lexsort((c.rows[j], c.ids[j], c.null[j], ~scores, i))
     i, j, scores = i[order], j[order], scores[order]
     first = np.searchsorted(i, np.arange(len(q.ids)))
     keep = np.arange(len(i)) - first[i] < k
@@ -163,9 +163,8 @@ def _search(files: list[str], k: int, scale: int):
                 q = pickle.loads(read_bytes(uri))
                 i, j, score = scan(q, c, k)
                 if len(i):
-                    ids = c.ids[j]
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(q.rows[i]), pa.array(q.ids[i]), pa.array(ids, mask=ids == NO_ID),
+                        pa.array(q.rows[i]), pa.array(q.ids[i], mask=q.null[i]), pa.array(c.ids[j], mask=c.null[j]),
                         pa.array(c.rows[j]), pa.array(score)],
                         names=["query_row", "query_id", "vec_id", "row", "score"])
 

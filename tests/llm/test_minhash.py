@@ -1,7 +1,9 @@
 import random
 import re
 
-from scriptorium.llm.minhash_tensor import near_duplicates
+import pytest
+
+from scriptorium.llm.minhash_tensor import near_duplicates, remove_duplicates
 from tests.llm.helpers import frame, text, thue_morse
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -96,3 +98,23 @@ def test_word_hashes():
     folded = np.array(["É" not in x and "é" not in x for x in words])
     assert np.array_equal(a[folded], c[folded])
     assert not np.array_equal(a, np.split(word_hashes(w.data, w.start, w.end, fold_case=False), 3)[2])
+
+
+def test_rows_of_one_id_are_told_apart(spark):
+    rng = random.Random(14)
+    a, b, c, d, e = (text(rng, 40) for _ in range(5))
+    rows = [(1, a), (2, a), (2, b), (5, c), (5, d), (None, a), (None, e), (None, e.upper()), (7, None), (7, ""), (8, " ")]
+    docs = frame(spark, rows, "doc_id long, text string", ["row", "component_id", "kept"])
+    left = remove_duplicates(docs.repartition(3))
+    assert left.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in left.collect()), key=str)
+    texts = {t.lower() for i, t in got if t and i is None}
+    assert sorted((x for x in got if x[0] is not None), key=str) == sorted([(1, a), (2, b), (5, c), (5, d), (7, None), (7, ""), (8, " ")], key=str)
+    assert texts == {e.lower()} and len(got) == 8
+    assert remove_duplicates(docs.limit(0)).count() == 0
+
+
+def test_percent_has_a_lower_end(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        near_duplicates(docs, percent=60)

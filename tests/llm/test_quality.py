@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -48,3 +49,49 @@ def test_edges(spark):
     model = quality.train(docs, one)
     assert {r.expected_grade for r in quality.score(docs, model, 1).collect()} == {1.0}
     assert quality.score(docs.limit(0), model, 1).count() == 0
+
+
+def negative_log_likelihood(y, s, cut):
+    """Direct sums: the mean over all rows of -log(P(grade))."""
+    edges = [-math.inf, *cut, math.inf]
+    upto = lambda k, x: 0.0 if k == 0 else 1.0 if k == len(cut) + 1 else 1 / (1 + math.exp(-(edges[k] - x)))
+    return -sum(math.log(upto(g + 1, x) - upto(g, x)) for g, x in zip(y, s)) / len(y)
+
+
+def test_fit_is_a_minimum_of_the_direct_likelihood(monkeypatch):
+    """No small step of any weight or threshold lowers the sum."""
+    monkeypatch.setattr(quality, "STEPS", 4000)
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 2, (120, 3)).astype(float)
+    y = np.clip(np.rint(x @ [2.0, -1.0, 0.5] + rng.normal(0, 1, 120) + 1), 0, 3)
+    doc, feature = np.nonzero(x)
+    m = quality.fit(y, doc, feature, x[doc, feature])
+    w, cut = m.weights[:3], m.thresholds
+
+    def loss(w, cut):
+        return negative_log_likelihood(y.astype(int), x @ w, cut) + quality.DECAY / 2 * (w @ w)
+
+    here = loss(w, cut)
+    for i in range(3):
+        for d in (-0.02, 0.02):
+            assert loss(w + d * np.eye(3)[i], cut) > here and loss(w, cut + d * np.eye(3)[i]) > here
+    s = x @ w
+    direct = [sum(k * (1 / (1 + math.exp(-((list(cut) + [math.inf])[k] - v))) - (1 / (1 + math.exp(-(cut[k - 1] - v))) if k else 0))
+                  for k in range(4)) for v in s.tolist()]
+    assert np.allclose(m.expected(s), direct) and np.allclose(m.tail(s, 2), 1 - 1 / (1 + np.exp(-(cut[1] - s))))
+
+
+def test_many_grades_and_rows_of_one_id(spark, monkeypatch):
+    """A scale of more grades than any block holds, and a sample bounded in
+    rows, not in ids."""
+    monkeypatch.setattr(quality, "SAMPLE_DOCS", 200)
+    monkeypatch.setattr(quality, "CELLS", 100)
+    rows = [(i, "word " * (1 + i % 80) + "x", i % 80) for i in range(160)]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(0, f"copy {i}") for i in range(3000)], "doc_id long, text string")
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda grade, *a: seen.append(len(grade)) or fit(grade, *a))
+    model = quality.train(docs, spark.createDataFrame([(i, float(g)) for i, _, g in rows], "doc_id long, quality double"))
+    assert seen == [200]
+    out = quality.score(docs.limit(50), model, grade=5).collect()
+    assert len(out) == 50 and all(0 <= r.p_at_least <= 1 and 0 <= r.expected_grade <= 79 for r in out)

@@ -28,7 +28,7 @@ def cases(width):
     rows = [(i, [rng.choice([rng.gauss(0, 0.2), 0.25]) for _ in range(width)]) for i in range(150)]
     rows += [(150 + i, rows[20][1]) for i in range(40)]  # ties
     rows += [(300, None), (305, [None] + [0.0] * (width - 1)), (310, [float("nan")] * width), (315, [float("inf")] * width),
-             (320, []), (325, [0.5]), (20, rows[3][1]), (None, rows[20][1])]
+             (320, []), (325, [0.5]), (20, rows[3][1]), (None, rows[20][1]), (2 ** 63 - 1, rows[20][1]), (-2 ** 63, rows[20][1])]
     return [(i, v if v is None else [x if x is None else float.fromhex(float(x).hex()) for x in v]) for i, v in rows]
 
 

@@ -1,4 +1,6 @@
+import math
 import random
+import re
 
 import numpy as np
 
@@ -79,3 +81,76 @@ def test_marks_hold_whatever_is_restored():
         found = toxicity._SIGN.search(given) or any(toxicity._LETTER.search(m[0]) for m in toxicity._APART.finditer(given))
         if found:
             assert toxicity._suspicious(np.frombuffer(given.encode(), np.uint8)).any(), given
+
+
+def every_path(channel, steps, only=None):
+    """The cheapest reading of a lattice (or of those that give ``only``), all
+    paths tried one by one."""
+    from scriptorium.llm import toxicity as t
+
+    whole = "".join(steps)
+    plain = " " in whole or not re.search(t._S, whole.strip("@$!|+(<€£"))
+    repeated = t.REPEATED_ONCE if plain and not t._STRETCHED.search(whole.replace(" ", "")) else t.REPEATED
+    best = [(math.inf, "")]
+
+    def go(i, a, b, last, total, out):
+        if i == len(steps):
+            total += channel.cost[a][b][0] if b else 0
+            if total < best[0][0] and only in (None, out):
+                best[0] = (total, out)
+            return
+        c, row = steps[i], channel.cost[a][b]
+        if c.isspace():
+            if b:
+                go(i + 1, a, b, last, total + (t.JOINED_WIDE if len(c) > 1 else 0), out)
+                go(i + 1, b, 0, "", total + row[0] + (0 if len(c) > 1 else t.ENDED), out + " ")
+            else:
+                go(i + 1, a, b, last, total, out + " " if out else out)
+            return
+        for x, extra in [(c, 0)] if c.isalpha() else [(x, t.IMITATED) for x in t.IMITATES.get(c, "")]:
+            go(i + 1, b, t._symbol(x), x, total + row[t._symbol(x)] + extra, out + x)
+            if x == last:
+                go(i + 1, a, b, last, total + extra + repeated, out)
+        if not c.isalpha():
+            if not c.isdigit():
+                go(i + 1, a, b, last, total + (t.DROPPED_FIRM if c in t.FIRM else t.DROPPED), out)
+            go(i + 1, b, 0, "", total + row[0] + t.KEPT_SIGN, out + c)
+
+    go(0, 0, 0, "", 0.0, "")
+    return best[0]
+
+
+def test_viterbi_against_all_paths(spark):
+    docs = spark.createDataFrame([(0, (" ".join(BAD) + " silly goose idiot all see ") * 30)], "doc_id long, text string")
+    channel = toxicity.Channel(toxicity.character_model(docs))
+    rng = random.Random(11)
+    for _ in range(300):
+        steps = tuple(rng.choice(["a", "l", "l", "s", "e", "o", "1", "0", "$", "!", "+", " ", "  "]) for _ in range(rng.randrange(1, 8)))
+        found = channel._decode(steps)
+        assert math.isclose(every_path(channel, steps, found)[0], every_path(channel, steps)[0], abs_tol=1e-9), steps
+
+
+def test_logistic_fit_against_direct_sums(monkeypatch):
+    """At the fitted weights, the gradient of the weighted loss is nearly 0."""
+    monkeypatch.setattr(toxicity, "STEPS", 5000)
+    rng = np.random.default_rng(2)
+    x = rng.random((200, 4)) < 0.4
+    y = (x @ [2.0, -2.0, 1.0, 0.0] + rng.normal(0, 1, 200) > 0.8).astype(float)
+    doc, feature = np.nonzero(x)
+    w, b = toxicity.fit_logistic(y, doc, feature, 4)
+    odds = (y.sum() + 1) / (200 - y.sum() + 1)
+    weigh = [odds ** -0.25 if v else odds ** 0.25 for v in y]
+    error = [(1 / (1 + math.exp(-(sum(w[j] for j in range(4) if r[j]) + b))) - v) * g / sum(weigh) for r, v, g in zip(x, y, weigh)]
+    for j in range(4):
+        assert abs(sum(e for e, r in zip(error, x) if r[j]) + toxicity.DECAY * w[j]) < 2e-3
+    assert abs(sum(error)) < 2e-3
+
+
+def test_sample_is_bounded_in_rows(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_DOCS", 50)
+    seen = []
+    fit = toxicity.fit_logistic
+    monkeypatch.setattr(toxicity, "fit_logistic", lambda label, *a: seen.append(len(label)) or fit(label, *a))
+    docs = spark.createDataFrame([(i % 20, f"numbskull word{i}") for i in range(2000)], "doc_id long, text string")
+    toxicity.train(docs, spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int"))
+    assert seen == [50]
