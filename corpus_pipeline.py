@@ -6,7 +6,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from scriptorium.llm import length_buckets, minhash_tensor, quality, suffix_decontam, toxicity
 from scriptorium.llm.queries import LENGTH_BUCKETS, TOKEN_BUDGET, token_count, training_labels
@@ -33,16 +32,10 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest
-    id; rows with a null id stay, of rows with one id only one does."""
+    """One row of each group of near duplicates, that with the smallest id;
+    rows of one id with different texts are in the groups of their texts."""
     ship_package(spark)
-    found = minhash_tensor.near_duplicates(docs, words_per_shingle=WORDS_PER_SHINGLE, percent=PERCENT)
-    ids = materialize(
-        found.where("doc_id is not null").groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("n"))
-        .where("not kept or n > 1"), "dropped-ids")
-    rest = docs.join(ids, "doc_id", "left_anti")
-    repeated = docs.join(ids.where("kept"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return rest.unionByName(repeated).select(docs.columns)
+    return minhash_tensor.remove_duplicates(docs, words_per_shingle=WORDS_PER_SHINGLE, percent=PERCENT)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
