@@ -38,12 +38,49 @@ ENTRY = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("bytes", "<u8"), ("ids"
 # the dictionary is fitted on so many documents, in pieces of so many bytes, on as many pieces
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 1 << 15, 1 << 16
 FILE_BYTES = 64 << 20
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 # documents that are encoded together have about so many bytes
 SLICE_BYTES = 4 << 20
 WORD_BYTES = byte_class(b"\x20\x09\x0a\x0b\x0c\x0d")
 
 
+def _strings(spec) -> set[str]:
+    """All strings in a part of a tokenizer's description."""
+    if isinstance(spec, dict):
+        spec = list(spec.values())
+    return set().union(*map(_strings, spec)) if isinstance(spec, list) else {spec} if isinstance(spec, str) else set()
+
+
+_LETTER, _DIGIT, _SIGN, _OTHER = range(4)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[33:127] = _SIGN
+_KIND[48:58] = _DIGIT
+_KIND[65:91] = _KIND[97:123] = _LETTER
+
+
+def plain_pieces(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``words`` with each plain one (ASCII and Latin-1 letters, digits, signs;
+    no apostrophe, no ``<|``) in lower case and cut into runs of letters, single
+    digits and runs of signs; and the byte at which each piece starts."""
+    _, offsets, data = words.buffers()
+    off = np.frombuffer(offsets, np.int64)[:len(words) + 1]
+    held = np.frombuffer(data, np.uint8)[:off[-1]].copy()
+    kind, after = _KIND[held], np.append(held[1:], 0)
+    pair = np.flatnonzero((held == 0xC3) & (after >= 0x80) & (after != 0x97) & (after != 0xB7))
+    kind[pair] = kind[pair + 1] = _LETTER
+    odd = (kind == _OTHER) | (held == ord("'")) | ((held == ord("<")) & (after == ord("|")))
+    before = np.concatenate([[0], np.cumsum(odd)])
+    plain = np.repeat(before[off[1:]] == before[off[:-1]], np.diff(off))
+    upper = plain & (held >= 65) & (held <= 90)
+    upper[pair + 1] |= plain[pair] & (held[pair + 1] < 0x9F)
+    held[upper] += 32
+    starts = np.zeros(len(held), bool)
+    starts[1:] = plain[1:] & ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT))
+    starts[off[:-1]] = True
+    at = np.flatnonzero(starts)
+    return pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(held))), pa.py_buffer(held)]), at
+
+
 class WordEncoder:
     """A tokenizer that drops white space, applied to distinct words.
 
@@ -52,10 +89,15 @@ class WordEncoder:
     plain Latin letters, digits and punctuation are encoded many to a text and
     told apart by the ids that end a piece, as the pieces that the
     pre-tokenizer makes of each are known; any other word is encoded alone, and
-    so are all where the vocabulary does not mark ends. The table is emptied
-    when it holds ``CACHE_WORDS`` words.
+    so are all where the vocabulary does not mark ends. Under the pre-tokenizer
+    and lower case of ``_SPLIT``, plain words without an apostrophe are looked
+    up piece by piece. The table is emptied when it holds ``CACHE_WORDS``
+    words.
     """
 
+    # Fixed value: the pre-tokenizer's pattern.
+    _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
     _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
     _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\\[-`{-~]+")
     _TOGETHER = 256
@@ -65,7 +107,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        mark = json.loads(tokenizer_json)["model"].get("end_of_word_suffix")
+        spec = json.loads(tokenizer_json)
+        mark = spec["model"].get("end_of_word_suffix")
+        self.by_piece = self._SPLIT in _strings(spec["pre_tokenizer"]) and "Lowercase" in _strings(spec["normalizer"])
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         if mark:
@@ -123,7 +167,12 @@ class WordEncoder:
         if len(self.slot) > CACHE_WORDS:
             self._clear()
         w = split_words(buf, off, WORD_BYTES)
-        coded = word_array(w, fold_case=False).dictionary_encode()
+        units = word_array(w, fold_case=False)
+        first = w.first
+        if self.by_piece and len(units):
+            units, at = plain_pieces(units)
+            first = np.searchsorted(at, np.concatenate([[0], np.cumsum(w.end - w.start)])[w.first])
+        coded = units.dictionary_encode()
         words = coded.dictionary.to_pylist()
         new = [x for x in words if x not in self.slot]
         if new:
@@ -132,7 +181,7 @@ class WordEncoder:
         n = self.count[slots]
         upto = np.concatenate([[0], np.cumsum(n)])
         ids = self.ids[np.repeat(self.start[slots] - upto[:-1], n) + np.arange(upto[-1])]
-        return ids, np.diff(upto[w.first])
+        return ids, np.diff(upto[first])
 
 
 @functools.lru_cache(maxsize=1)

@@ -9,7 +9,7 @@ from scriptorium.llm.shared import read_bytes
 from tests.llm.helpers import frame
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
-TEXTS = ["Plain words, here.", None, "", "ÉCOLE déjà-vu ß İstanbul ﬁne", "日本語 テキスト mixed", "it's they'll I'VE 'S 2024 <|endoftext|> x<|y",
+TEXTS = ["Plain words, here.", "Ünïcode×÷ ÀÉÞßÿ-12.5%x<<|a|> DON'T \x1cq ½²³ ÐÑ\u0301 a1b22!!c", None, "", "ÉCOLE déjà-vu ß İstanbul ﬁne", "日本語 テキスト mixed", "it's they'll I'VE 'S 2024 <|endoftext|> x<|y",
          "a\u00a0b\u2003c\u200bd\ufeff", "tab\tnew\nline\r\n", "x" * 5000, "word " * 30_000, "e\u0301 combining \u0307", "😀😀 ok", "\x00\x1f\x7f ctrl"]
 
 
