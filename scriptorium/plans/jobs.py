@@ -77,8 +77,7 @@ def prepare_cpt(spark: SparkSession, corpus_dir: str, output_dir: str, params: C
     ship_package(spark)
     out = output_dir.rstrip("/")
     # Book order is sorted first path; packing orders by it directly.
-    scan_obs = Observation("files")
-    books, audit = CO.load_books(spark, corpus_dir, with_ord=False, observation=scan_obs)
+    books, audit = CO.load_books(spark, corpus_dir, with_ord=False)
     # Book counts are observed while the tokens are written, not recounted.
     obs = Observation("cleaned")
     cleaned = C.clean_corpus(books, "text", "clean", params.missing_start).observe(
@@ -89,10 +88,7 @@ def prepare_cpt(spark: SparkSession, corpus_dir: str, output_dir: str, params: C
     packed = sinks.read_packed(spark, packed_path)
     split = SP.train_eval_split(packed, "seq_id", params.eval_split, params.seed)
     sinks.write_split(split, f"{out}/split")
-    # The audit needs a second read of every file; skip it when the first
-    # pass saw no undecodable file.
-    scanned = scan_obs.get
-    (audit if scanned.get("undecodable", 1) else audit.limit(0)).write.mode("overwrite").json(f"{out}/rejected")
+    audit.write.mode("overwrite").json(f"{out}/rejected")
     counts = packed.agg(F.count(F.lit(1)).cast("bigint").alias("sequences"))
     by_split = spark.read.parquet(f"{out}/split").groupBy("split").count()
     counts = counts.select(
@@ -108,7 +104,7 @@ def prepare_cpt(spark: SparkSession, corpus_dir: str, output_dir: str, params: C
         "split": f"{out}/split",
         "manifest": f"{out}/manifest",
         "counts": {r["split"]: r["count"] for r in by_split.collect()},
-        "stats": {**obs.get, **scanned},
+        "stats": obs.get,
         "plan": plan.first().asDict(),
     }
     release_intermediates(spark)  # every output above is written or collected

@@ -16,6 +16,7 @@ from scriptorium.functions import text as T
 from scriptorium.functions import tokens as K
 from scriptorium.operators import clean as C
 from scriptorium.operators import chat as M
+from scriptorium.operators import long_books as LB
 from scriptorium.plans import fixtures
 from scriptorium.plans import oracle as O
 from scriptorium.plans.registry import query
@@ -29,10 +30,6 @@ from scriptorium.sources.tables import table
 LATIN1_SOURCE = "src0"
 
 
-def _fresh_dir(spark, name):
-    return scratch_path(spark, name)
-
-
 def _rel_col():
     """One file per document; every tenth document shares its name with
     another one in a folder of its own, so the duplicate-name rule has work."""
@@ -47,7 +44,7 @@ _REL_SQL = f"source || '/' || lang || '/' || CASE WHEN doc_id % 10 = 0 THEN doc_
 
 def write_corpus(spark, data_dir):
     """Write the corpus directory for ``documents``; returns its root."""
-    root = _fresh_dir(spark, "corpus")
+    root = scratch_path(spark, "corpus")
     d = table(spark, data_dir, "documents")
     rows = d.select(_rel_col().alias("relpath"), "text",
                     F.when(F.col("source") == LATIN1_SOURCE, "latin-1").otherwise("utf-8").alias("encoding")
@@ -74,21 +71,23 @@ ordered AS (SELECT (row_number() OVER (ORDER BY first_path) - 1)::BIGINT AS ord,
 @query("corpus_scan", f"WITH {_FILES} SELECT rel, n_bytes::BIGINT AS n_bytes FROM files")
 def corpus_scan(spark, data_dir):
     root = write_corpus(spark, data_dir)
-    f = CO.scan_corpus(spark, root)
-    return f.select(_rel(F.col("path"), root).alias("rel"), F.length("content").cast("bigint").alias("n_bytes"))
+    files, _ = CO.scan_corpus(spark, root)
+    return files.select(_rel(F.col("path"), root).alias("rel"), F.col("length").alias("n_bytes"))
 
 
 @query("corpus_decode_audit", f"WITH {_FILES} SELECT rel, 'invalid utf-8' AS reason FROM files WHERE NOT ok")
 def corpus_decode_audit(spark, data_dir):
     root = write_corpus(spark, data_dir)
-    _, audit = CO.decode_files(CO.scan_corpus(spark, root))
+    files, _ = CO.scan_corpus(spark, root)
+    _, audit = CO.decode_files(files)
     return audit.select(_rel(F.col("path"), root).alias("rel"), "reason")
 
 
 @query("corpus_names", f"WITH {_FILES} SELECT rel, name FROM files WHERE ok")
 def corpus_names(spark, data_dir):
     root = write_corpus(spark, data_dir)
-    good, _ = CO.decode_files(CO.scan_corpus(spark, root))
+    files, _ = CO.scan_corpus(spark, root)
+    good, _ = CO.decode_files(files)
     return good.select(_rel(F.col("path"), root).alias("rel"), CO.book_name(F.col("path")).alias("name"))
 
 
@@ -139,6 +138,44 @@ def normalize_newlines(spark, data_dir):
     return d.select("doc_id", F.md5(n).alias("text_md5"), F.length(n).cast("bigint").alias("n_chars"))
 
 
+def _books_sql(extra: str) -> str:
+    """Framed documents as files, by the path they have in the folder."""
+    return f"""
+WITH {_STREAM_FILES}, {O.marker_ctes()},
+cleaned AS (SELECT doc_id, text, {O.strip_ws(O.collapsed_body_sql())} AS clean FROM body)
+SELECT doc_id AS rel, length(clean)::BIGINT AS clean_chars, md5(clean) AS clean_md5{extra} FROM cleaned
+"""
+
+
+_STREAM_FILES = (
+    f"framed AS (SELECT {_REL_SQL} AS doc_id, text "
+    f"FROM ({fixtures.framed_sql('documents', 'source, lang')}))"
+)
+
+
+def write_framed_corpus(spark, data_dir, name):
+    """Write the framed documents as files; returns the folder."""
+    root = scratch_path(spark, name)
+    d = fixtures.framed_documents(table(spark, data_dir, "documents"), "source", "lang")
+    rows = d.select(_rel_col().alias("relpath"), "text")
+    sinks.write_text_files(rows, root).agg(F.count(F.lit(1))).collect()
+    return root
+
+
+@query("clean_long_books", _books_sql(
+    f", {O.splitlines_count('text')} AS lines_before, {O.splitlines_count('clean')} AS lines_after"))
+def clean_long_books(spark, data_dir):
+    """Files cleaned in ranges of 4 KB, most of them in several; the parts of a
+    file are put together only to compare them."""
+    root = write_framed_corpus(spark, data_dir, "long-books")
+    books = LB.clean_ranges(spark, root, piece_bytes=4096)
+    whole = books.parts.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("part", "text"))).alias("p")).select(
+        "path", F.array_join(F.transform("p", lambda x: x["text"]), "").alias("clean"))
+    return whole.join(LB.range_stats(books), "path").select(
+        _rel(F.col("path"), root).alias("rel"), F.col("chars_after").alias("clean_chars"), F.md5("clean").alias("clean_md5"),
+        "lines_before", "lines_after")
+
+
 # -- JSONL -------------------------------------------------------------------------------
 
 @query("jsonl_scan", """
@@ -152,7 +189,7 @@ def jsonl_scan(spark, data_dir):
     """Conversations written as JSONL (blank and whitespace-only lines between
     records, an extra key per record) and read back."""
     msgs = M.assemble_messages(table(spark, data_dir, "conversations"))
-    path = _fresh_dir(spark, "jsonl")
+    path = scratch_path(spark, "jsonl")
     lines = J.to_jsonl_lines(msgs, extra=(F.col("conv_id").alias("id"),))
     (lines.select(F.concat("value", F.lit("\n\n \t")).alias("value"))
      .orderBy(F.get_json_object("value", "$.id").cast("bigint")).write.text(path))
@@ -180,34 +217,21 @@ def dataset_manifest(spark, data_dir):
     ).select("books", "total_chars", F.col("total_chars").alias("total_tokens"),
              F.expr(f"total_chars div {SEQ_LEN}").alias("sequences"))
     man = sinks.dataset_manifest(counts, input="documents", max_seq_len=SEQ_LEN, tokenizer="codepoints")
-    sinks.write_manifest(man, _fresh_dir(spark, "manifest"))
+    sinks.write_manifest(man, scratch_path(spark, "manifest"))
     return man.select("input", F.col("max_seq_len").cast("bigint").alias("max_seq_len"), "tokenizer",
                       "books", "total_chars", "total_tokens", "sequences")
 
 
 # -- streaming ------------------------------------------------------------------------------
 
-_STREAM_FILES = (
-    f"framed AS (SELECT {_REL_SQL} AS doc_id, text "
-    f"FROM ({fixtures.framed_sql('documents', 'source, lang')}))"
-)
-
-
-@query("stream_clean_corpus", f"""
-WITH {_STREAM_FILES}, {O.marker_ctes()},
-cleaned AS (SELECT doc_id, {O.strip_ws(O.collapsed_body_sql())} AS clean FROM body)
-SELECT doc_id AS rel, length(clean)::BIGINT AS clean_chars, md5(clean) AS clean_md5 FROM cleaned
-""")
+@query("stream_clean_corpus", _books_sql(""))
 def stream_clean_corpus(spark, data_dir):
     """Framed documents land as ``.txt`` files; a Structured Streaming query
     (availableNow) cleans and tokenises them into Parquet, which is read back."""
     from scriptorium.streaming.corpus_stream import start_corpus_stream
-    root = _fresh_dir(spark, "stream-in")
-    d = fixtures.framed_documents(table(spark, data_dir, "documents"), "source", "lang")
-    rows = d.select(_rel_col().alias("relpath"), "text")
-    sinks.write_text_files(rows, root).agg(F.count(F.lit(1))).collect()
-    out = _fresh_dir(spark, "stream-out")
-    queries = start_corpus_stream(spark, root, out, checkpoint_location=_fresh_dir(spark, "stream-ckpt"))
+    root = write_framed_corpus(spark, data_dir, "stream-in")
+    out = scratch_path(spark, "stream-out")
+    queries = start_corpus_stream(spark, root, out, checkpoint_location=scratch_path(spark, "stream-ckpt"))
     for q in queries:
         q.awaitTermination()
     got = spark.read.parquet(f"{out}/cleaned")

@@ -8,10 +8,13 @@ own, a cluster session without it is an error.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
 import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,36 +78,58 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 _INTERMEDIATES: dict[str, list[str]] = {}
+_SCOPE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scriptorium_scope", default=None)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the checkpoint folder, released by
+    """A fresh folder name under the checkpoint folder, released at the end of
+    the :func:`intermediates` block it was handed out in, else by
     :func:`release_intermediates`."""
     app = spark.sparkContext.applicationId
     path = f"{checkpoint_root(spark).rstrip('/')}/{app}/{name}-{uuid.uuid4().hex}"
-    _INTERMEDIATES.setdefault(app, []).append(path)
+    held = _SCOPE.get()
+    (_INTERMEDIATES.setdefault(app, []) if held is None else held).append(path)
     return path
 
 
-def release_intermediates(spark: SparkSession) -> int:
-    """Delete the folders :func:`materialize` and :func:`scratch_path` handed
-    out in this application.
+@contextlib.contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Folders handed out inside the block are deleted at its end, whether it
+    fails or not; those of other jobs of the session stay. Frames built from
+    them must be written or collected inside the block."""
+    held: list[str] = []
+    token = _SCOPE.set(held)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        _delete(spark, held)
 
-    Call it once every DataFrame derived from them has been written or
-    collected (the jobs in :mod:`scriptorium.plans.jobs` do so at their end).
-    Returns the number of folders removed.
-    """
-    from pyarrow import fs as pafs
 
+def release_intermediates(spark: SparkSession) -> int:
+    """Delete the folders :func:`scratch_path` handed out in this application
+    outside of any :func:`intermediates` block; for a session whose frames are
+    all done with. Returns the number of folders."""
     paths = _INTERMEDIATES.pop(spark.sparkContext.applicationId, [])
-    for path in paths:
-        uri = path if "://" in path else "file://" + path
-        filesystem, local = pafs.FileSystem.from_uri(uri)
-        if filesystem.get_file_info(local).type != pafs.FileType.NotFound:
-            filesystem.delete_dir(local)
+    _delete(spark, paths)
     return len(paths)
 
 
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme that Spark would use for it: the one resolver
+    for paths that tasks open themselves."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    uri = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
 def spread(df: DataFrame, min_partitions: int | None = None, key: list[str] | None = None) -> DataFrame:
     """Spread ``df`` over the cluster when it arrives in fewer partitions
     than there are cores (a single large file, one row group).
@@ -170,7 +195,7 @@ def _ship(sc, spark: SparkSession, app: str) -> None:
     else:  # a shared folder the executors can fetch from
         from pyarrow import fs as pafs
 
-        target = f"{checkpoint_root(spark).rstrip('/')}/{app}/pyfiles/scriptorium.zip"
+        target = f"{qualified(spark, checkpoint_root(spark)).rstrip('/')}/{app}/pyfiles/scriptorium.zip"
         filesystem, path = pafs.FileSystem.from_uri(target)
         filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
         with filesystem.open_output_stream(path) as out:

@@ -8,15 +8,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.session import scratch_path
+from scriptorium.session import qualified, scratch_path
 
 PACKED_SCHEMA = "seq_id bigint, input_ids array<int>, labels array<int>"
 
 
-def _default_path(spark: SparkSession, name: str) -> str:
-    return scratch_path(spark, name)
-
-
 def write_packed(packed: DataFrame, path: str | None = None, mode: str = "overwrite",
                  ordered: bool = False) -> str:
     """Write packed sequences as Parquet, with the order key ``seq_id`` stored.
@@ -26,7 +22,7 @@ def write_packed(packed: DataFrame, path: str | None = None, mode: str = "overwr
     contiguous block (a full extra shuffle of the tokens, only worth it for
     readers that stream files in order).
     """
-    path = path or _default_path(packed.sparkSession, "packed")
+    path = path or scratch_path(packed.sparkSession, "packed")
     out = packed
     if ordered:
         n = max(1, packed.sparkSession.sparkContext.defaultParallelism)
@@ -69,12 +65,12 @@ def write_text_files(df: DataFrame, root: str, relpath_col: str = "relpath", tex
     (default UTF-8; unencodable characters become ``?``). Returns
     ``(relpath, bytes)`` per written file.
     """
-    root = root.rstrip("/")
+    root = qualified(df.sparkSession, root).rstrip("/")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs as pafs
 
-        filesystem, base = pafs.FileSystem.from_uri(root if "://" in root else "file://" + root)
+        filesystem, base = pafs.FileSystem.from_uri(root)
         made: set[str] = set()
         for pdf in batches:
             sizes = []
