@@ -14,14 +14,16 @@ Two families:
 
 from __future__ import annotations
 
+import hashlib
 import os
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,51 +94,77 @@ def default_tokenizer_file() -> str:
 
 @dataclass(frozen=True)
 class TokenizerSpec:
-    """Where the tokenizer lives and its special ids.
-
-    ``pad_id`` falls back to ``eos_id`` when the vocabulary has no pad token.
+    """A tokenizer as an artifact of a job: its special ids and the digest of
+    its file, which was shipped to the workers under that name and is checked
+    there before use. ``pad_id`` falls back to ``eos_id`` when the vocabulary
+    has no pad token.
     """
 
-    path: str
+    sha256: str
     eos_id: int | None = None
     pad_id: int | None = None
 
+    @property
+    def file_name(self) -> str:
+        return f"tokenizer-{self.sha256}.json"
+
     @property
     def effective_pad_id(self) -> int | None:
         return self.pad_id if self.pad_id is not None else self.eos_id
 
 
-def bpe_spec(path: str | None = None, eos_token: str = "<|endoftext|>", pad_token: str = "<pad>") -> TokenizerSpec:
-    path = path or default_tokenizer_file()
-    tok = _load(path)
-    return TokenizerSpec(path=path, eos_id=tok.token_to_id(eos_token), pad_id=tok.token_to_id(pad_token))
-
+# code points as a tokenizer without a file: a line feed ends a text, nothing pads
+CODEPOINTS = TokenizerSpec(sha256="", eos_id=10)
 
 _CACHE: dict[str, object] = {}
+_SHIPPED: set[tuple[str, str]] = set()
+
 
+def bpe_spec(path: str | None = None, eos_token: str = "<|endoftext|>", pad_token: str = "<pad>",
+             spark: SparkSession | None = None) -> TokenizerSpec:
+    """Read a tokenizer file on the driver and ship it with ``addFile``."""
+    from tokenizers import Tokenizer
 
-def _load(path: str):
-    tok = _CACHE.get(path)
+    with open(path or default_tokenizer_file(), "rb") as f:
+        raw = f.read()
+    tok = Tokenizer.from_str(raw.decode())
+    spec = TokenizerSpec(hashlib.sha256(raw).hexdigest(), tok.token_to_id(eos_token), tok.token_to_id(pad_token))
+    sc = (spark or SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()).sparkContext
+    if (sc.applicationId, spec.sha256) not in _SHIPPED:
+        target = os.path.join(tempfile.mkdtemp(prefix="scriptorium-tokenizer-"), spec.file_name)
+        with open(target, "wb") as f:
+            f.write(raw)
+        sc.addFile(target)
+        _SHIPPED.add((sc.applicationId, spec.sha256))
+    return spec
+
+
+def _spec(tokenizer: str | TokenizerSpec | None) -> TokenizerSpec:
+    return tokenizer if isinstance(tokenizer, TokenizerSpec) else bpe_spec(tokenizer)
+
+
+def _load(spec: TokenizerSpec):
+    """The shipped tokenizer, in a worker; a file with another digest raises."""
+    tok = _CACHE.get(spec.sha256)
     if tok is None:
+        from pyspark import SparkFiles
         from tokenizers import Tokenizer
 
-        local = path
-        if not os.path.exists(local):
-            from pyspark import SparkFiles
-
-            local = SparkFiles.get(os.path.basename(path))
-        tok = Tokenizer.from_file(local)
-        _CACHE[path] = tok
+        with open(SparkFiles.get(spec.file_name), "rb") as f:
+            raw = f.read()
+        if hashlib.sha256(raw).hexdigest() != spec.sha256:
+            raise ValueError(f"{spec.file_name} is not the tokenizer that was shipped")
+        tok = _CACHE[spec.sha256] = Tokenizer.from_str(raw.decode())
     return tok
 
 
-def bpe_encoder(path: str | None = None):
+def bpe_encoder(tokenizer: str | TokenizerSpec | None = None):
     """A column function ``text -> array<int>`` backed by ``encode_batch``."""
-    path = path or default_tokenizer_file()
+    spec = _spec(tokenizer)
 
     @F.pandas_udf(IDS)
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tok = _load(path)
+        tok = _load(spec)
         for s in batches:
             mask = s.isna()
             enc = tok.encode_batch(s.fillna("").tolist(), add_special_tokens=False)
@@ -148,14 +176,14 @@ def bpe_encoder(path: str | None = None):
     return encode
 
 
-def bpe_pair_encoder(path: str | None = None):
+def bpe_pair_encoder(tokenizer: str | TokenizerSpec | None = None):
     """Encode two text columns in one Arrow pass: ``struct<a: ids, b: ids>``."""
-    path = path or default_tokenizer_file()
+    spec = _spec(tokenizer)
     schema = T.StructType([T.StructField("a", IDS), T.StructField("b", IDS)])
 
     @F.pandas_udf(schema)
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tok = _load(path)
+        tok = _load(spec)
         for df in batches:
             a = tok.encode_batch(df.iloc[:, 0].fillna("").tolist(), add_special_tokens=False)
             b = tok.encode_batch(df.iloc[:, 1].fillna("").tolist(), add_special_tokens=False)
@@ -167,15 +195,15 @@ def bpe_pair_encoder(path: str | None = None):
     return lambda x, y: encode(F.struct(x, y))
 
 
-def bpe_decoder(path: str | None = None, skip_special_tokens: bool = True):
+def bpe_decoder(tokenizer: str | TokenizerSpec | None = None, skip_special_tokens: bool = True):
     """A column function ``array<int> -> text`` backed by ``decode_batch``."""
-    path = path or default_tokenizer_file()
+    spec = _spec(tokenizer)
 
     @F.pandas_udf(T.StringType())
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tok = _load(path)
+        tok = _load(spec)
         for s in batches:
-            ids = [[] if v is None else [int(x) for x in v] for v in s]
+            ids = [[] if v is None else np.asarray(v).tolist() for v in s]
             yield pd.Series(tok.decode_batch(ids, skip_special_tokens=skip_special_tokens), index=s.index)
 
     return decode

@@ -10,6 +10,11 @@ length-based: the last message is the target whatever its role.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,14 +31,53 @@ def assemble_messages(turns: DataFrame, conv_col: str = "conv_id", turn_col: str
     """Turn rows to ``(conv_col, messages)`` in turn order.
 
     One output row is one conversation, the unit a chat dataset stores per
-    line; the group is that record, no larger. Partial aggregation runs
-    map-side before the shuffle on ``conv_col``.
+    line. Turns are sorted inside the partitions of ``conv_col`` (a sort that
+    spills) and streamed out as records through Arrow; no aggregation buffer
+    holds a conversation, and a worker holds one batch and the record that is
+    still open.
     """
-    packed = F.array_sort(F.collect_list(F.struct(F.col(turn_col).alias("t"), F.col(role_col).alias("role"),
-                                                  F.col(text_col).alias("content"))))
-    return turns.groupBy(conv_col).agg(packed.alias("_m")).select(
-        conv_col, F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
-        .alias("messages"))
+    order = [conv_col, turn_col, role_col, text_col]
+    kind = turns.schema[conv_col].dataType.simpleString()
+    return turns.select(*order).repartition(conv_col).sortWithinPartitions(*order).mapInArrow(
+        _stream_records, f"`{conv_col}` {kind}, messages {CH.MESSAGES}")
+
+
+def _records(batch: pa.RecordBatch, bounds: np.ndarray, names: tuple[str, str]) -> pa.RecordBatch:
+    """The rows between ``bounds`` as one record each."""
+    messages = pa.StructArray.from_arrays([batch.column(2).cast(pa.string()), batch.column(3).cast(pa.string())], names=["role", "content"])
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0).take(pa.array(bounds[:-1])), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), messages)], names=list(names))
+
+
+def _stream_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of sorted turns; the last conversation of a batch stays open
+    until another key comes."""
+    held: list[pa.RecordBatch] = []
+
+    def closed() -> pa.RecordBatch:
+        whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        return _records(whole, np.array([0, whole.num_rows]), names)
+
+    names = ("", "messages")
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = (batch.schema.names[0], "messages")
+        codes = pc.dictionary_encode(batch.column(0), null_encoding="encode").indices.to_numpy()
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(codes)) + 1])
+        if held and held[-1].column(0)[-1].as_py() == batch.column(0)[0].as_py():
+            first = starts[1] if len(starts) > 1 else batch.num_rows
+            held.append(batch.slice(0, first))
+            starts = starts[1:]
+            if not len(starts):
+                continue
+        if held:
+            yield closed()
+        if len(starts) > 1:
+            yield _records(batch.slice(starts[0], starts[-1] - starts[0]), starts - starts[0], names)
+        held = [batch.slice(starts[-1])]
+    if held:
+        yield closed()
 
 
 def split_rejects(df: DataFrame, messages_col: str = "messages",
@@ -73,18 +117,22 @@ def mask_prompt(ids: Column, prompt_len: Column) -> Column:
     return F.transform(ids, lambda x, i: F.when(i < prompt_len, F.lit(IGNORE)).otherwise(x))
 
 
-def sft_examples(df: DataFrame, max_seq_len: int = 1024, tokenizer: str = "codepoints",
+def sft_examples(df: DataFrame, max_seq_len: int = 1024, tokenizer: str | K.TokenizerSpec = "codepoints",
                  template: CH.ChatTemplate = CH.CHATML, default_prompt: str = DEFAULT_SYSTEM_PROMPT,
                  messages_col: str = "messages", keep: tuple[str, ...] = ()) -> DataFrame:
     """``input_ids, attention_mask, labels, prompt_len`` per conversation.
 
-    ``tokenizer`` is ``"codepoints"`` or a BPE tokenizer file (both texts go
-    through one Arrow pass).
+    ``tokenizer`` is ``"codepoints"``, or a BPE tokenizer file or spec (both
+    texts go through one Arrow pass). Conversations that
+    :func:`split_rejects` rejects (no messages, a null role or content) have no
+    example: dropping one message alone would train on another conversation.
     """
-    r = render_texts(ensure_system(df, default_prompt, messages_col), template, messages_col)
+    good, _ = split_rejects(df, messages_col)
+    r = render_texts(ensure_system(good, default_prompt, messages_col), template, messages_col)
     if tokenizer == "codepoints":
-        # One id per code point: the prompt length is its character count.
-        r = r.withColumn("_full", K.codepoint_ids(F.col("full_text"))).withColumn(
+        # One id per code point: the prompt length is its character count, and
+        # only the characters that stay are encoded.
+        r = r.withColumn("_full", K.codepoint_ids(F.substring("full_text", 1, int(max_seq_len)))).withColumn(
             "_prompt_len", F.length("prompt_text"))
     else:
         pair = K.bpe_pair_encoder(tokenizer)(F.col("full_text"), F.col("prompt_text"))
@@ -142,8 +190,11 @@ def sft_examples_from_turns(turns: DataFrame, max_seq_len: int = 1024, template:
     L = int(max_seq_len)
     t = turns.select(F.col(conv_col).alias("_c"), F.lit(1).alias("_src"), F.col(turn_col).alias("_t"),
                      F.col(role_col).alias("role"), F.col(text_col).alias("content"))
+    # a conversation with a null role or content has no example
     info = t.groupBy("_c").agg(F.max("_t").alias("_last"),
-                               F.max((F.col("role") == "system").cast("int")).alias("_has_sys"))
+                               F.max((F.col("role") == "system").cast("int")).alias("_has_sys"),
+                               F.count_if(F.col("role").isNull() | F.col("content").isNull()).alias("_nulls")
+                               ).where("_nulls = 0").drop("_nulls")
     injected = info.where(F.col("_has_sys") == 0).select(
         "_c", F.lit(0).alias("_src"), F.lit(0).cast(t.schema["_t"].dataType).alias("_t"),
         F.lit("system").alias("role"), F.lit(default_prompt).alias("content"))

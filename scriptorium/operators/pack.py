@@ -136,13 +136,46 @@ def preview_chunk(packed: DataFrame, decode, seed: int = 42) -> DataFrame:
     return picked.select("seq_id", decode(F.col("input_ids")).alias("text"))
 
 
+def preview_window(tokens: DataFrame, decode, max_seq_len: int = 2048, seed: int = 42, order_col: str = "ord",
+                   ids_col: str = "input_ids") -> DataFrame:
+    """:func:`preview_chunk` of the packed ``tokens`` without packing them.
+
+    The number of windows follows from the lengths, so the window is picked
+    first; only the documents whose interval overlaps it give a slice. Each of
+    them holds one of its ids or more, so they are at most ``max_seq_len``.
+    """
+    L = int(max_seq_len)
+    src = materialize(tokens.select(order_col, ids_col, F.size(ids_col).cast("bigint").alias("_n")), "tokens")
+    offsets, total, _ = token_offsets(src, order_col, ids_col, len_col="_n")
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")))
+    picked = tokens.sparkSession.range(total // L).orderBy(key, "id").head(1)
+    seq = picked[0]["id"] if picked else -1
+    lo, hi = seq * L, (seq + 1) * L
+    start, end = F.col("start"), F.col("start") + F.col("n")
+    inside = offsets.where((F.col("n") > 0) & (start < hi) & (end > lo)).select(order_col, "n", "start")
+    begin = F.greatest(start, F.lit(lo))
+    piece = F.struct("start", F.slice(F.col(ids_col), (begin - start + 1).cast("int"),
+                                      (F.least(end, F.lit(hi)) - begin).cast("int")).alias("piece"))
+    window = src.join(F.broadcast(inside), order_col).agg(F.array_sort(F.collect_list(piece)).alias("ps"))
+    ids = F.flatten(F.transform("ps", lambda p: p["piece"]))
+    return window.where(F.size("ps") > 0).select(F.lit(seq).cast("bigint").alias("seq_id"), decode(ids).alias("text"))
+
+
 def training_plan(packed: DataFrame, batch_size: int = 2, grad_accum: int = 4, num_epochs: int = 3,
                   steps_per_second: float = 0.25) -> DataFrame:
-    """Steps per epoch, total steps and duration estimate (one row)."""
+    """:func:`plan_of_count` of a packed dataset."""
+    n = packed.agg(F.count(F.lit(1)).cast("bigint").alias("sequences"))
+    return plan_of_count(n, batch_size, grad_accum, num_epochs, steps_per_second)
+
+
+def plan_of_count(n: DataFrame, batch_size: int = 2, grad_accum: int = 4, num_epochs: int = 3,
+                  steps_per_second: float = 0.25) -> DataFrame:
+    """Steps per epoch, total steps and duration estimate (one row) for a
+    one-row table of ``sequences``, such as :func:`pack_stats` gives without
+    packing."""
     if batch_size <= 0 or grad_accum <= 0 or num_epochs <= 0 or steps_per_second <= 0:
         raise ValueError("batch_size, grad_accum, num_epochs and steps_per_second must be positive")
     eff = batch_size * grad_accum
-    n = packed.agg(F.count(F.lit(1)).cast("bigint").alias("sequences"))
     spe = F.greatest(F.lit(1), F.ceil(F.col("sequences") / F.lit(eff))).cast("bigint")
     total = spe * num_epochs
     secs = total / F.lit(float(steps_per_second))

@@ -14,7 +14,8 @@ from scriptorium.sources import sinks
 from scriptorium.sources.tables import table
 
 SEQ_LEN = 2048
-PAD_ID = 10  # code-point tokenizer: "\n" stands in for eos = pad
+# the code-point tokenizer has no pad token, so its eos pads, and is masked in packed text
+PAD_ID = K.CODEPOINTS.effective_pad_id
 
 
 def ids_md5(c):
@@ -129,8 +130,7 @@ SELECT seq_id::BIGINT AS seq_id, md5(array_to_string(list_transform(ids, lambda
 FROM seqs ORDER BY md5('42:' || seq_id::VARCHAR), seq_id LIMIT 1
 """)
 def preview_chunk(spark, data_dir):
-    packed = P.pack_sequences(_doc_tokens(spark, data_dir), SEQ_LEN)
-    p = P.preview_chunk(packed, K.codepoint_text, seed=42)
+    p = P.preview_window(_doc_tokens(spark, data_dir), K.codepoint_text, SEQ_LEN, seed=42)
     return p.select(F.col("seq_id").cast("bigint").alias("seq_id"), F.md5("text").alias("text_md5"))
 
 
@@ -147,8 +147,8 @@ SELECT sequences, 8::BIGINT AS effective_batch, spe AS steps_per_epoch, (spe * 3
 FROM p
 """)
 def training_plan(spark, data_dir):
-    packed = P.pack_sequences(_doc_tokens(spark, data_dir), SEQ_LEN)
-    return P.training_plan(packed, batch_size=2, grad_accum=4, num_epochs=3, steps_per_second=0.25)
+    stats = P.pack_stats(_doc_tokens(spark, data_dir), SEQ_LEN)
+    return P.plan_of_count(stats, batch_size=2, grad_accum=4, num_epochs=3, steps_per_second=0.25)
 
 
 @query("clm_labels", pack_sql(_DOC_SRC) + f"""

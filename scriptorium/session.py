@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import contextlib
 import contextvars
+import hashlib
 import os
 import tempfile
 import threading
@@ -130,6 +131,13 @@ def qualified(spark: SparkSession, path: str) -> str:
     return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
 
 
+def stream_location(spark: SparkSession, kind: str, source: str, target: str) -> str:
+    """The checkpoint folder of the stream from ``source`` to ``target``: the
+    same for a restart, another for any other stream."""
+    name = hashlib.sha256(f"{qualified(spark, source)}\0{qualified(spark, target)}".encode()).hexdigest()[:16]
+    return f"{checkpoint_root(spark).rstrip('/')}/streams/{kind}-{name}"
+
+
 def spread(df: DataFrame, min_partitions: int | None = None, key: list[str] | None = None) -> DataFrame:
     """Spread ``df`` over the cluster when it arrives in fewer partitions
     than there are cores (a single large file, one row group).

@@ -3,8 +3,7 @@
 Lines are stripped (Unicode whitespace) and blank ones skipped; each other
 line must parse, carry ``messages``, and every message a ``role``;
 otherwise the load fails (the check runs in the tasks, nothing is
-collected). Extra keys are ignored. File order is kept through the
-``(file, block, position)`` key. ``strict`` also rejects trailing data
+collected). Extra keys are ignored. Records are numbered in file order. ``strict`` also rejects trailing data
 after the object, which Spark's JSON reader tolerates; that check parses
 each line once more with Python's ``json`` in Arrow batches.
 """
@@ -21,7 +20,8 @@ from pyspark.sql import types as TY
 
 from scriptorium.functions import chat as CH
 from scriptorium.functions import text as T
-from scriptorium.operators.ordering import global_row_index
+from scriptorium.operators.ordering import exclusive_running_sum
+from scriptorium.session import materialize
 
 SCHEMA = TY.StructType([TY.StructField("messages", TY.ArrayType(TY.StructType([
     TY.StructField("role", TY.StringType()), TY.StructField("content", TY.StringType())])))])
@@ -67,16 +67,25 @@ def parse_chat_lines(lines: DataFrame, strict: bool = True, extra: TY.StructType
 
 def read_chat_jsonl(spark: SparkSession, path: str, strict: bool = True,
                     extra: TY.StructType | None = None) -> DataFrame:
-    """``example_id, messages`` (``example_id`` = position in file order)."""
+    """``example_id, messages`` (``example_id`` = position in file order).
+
+    The scan delivers the lines of a block in order, so records are numbered
+    where they are read and written once: a prefix sum over one row per (file,
+    block) gives the first number of each block. No record is shuffled while
+    Spark can broadcast that table.
+    """
     lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_pos"),
-    )
-    checked = parse_chat_lines(lines, strict, extra)
-    indexed = global_row_index(checked, ["_file", "_block", "_pos"], "example_id")
-    return indexed.select("example_id", "messages", *[f.name for f in (extra.fields if extra else [])])
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    checked = materialize(
+        parse_chat_lines(lines, strict, extra).withColumn("_pos", F.monotonically_increasing_id()), "jsonl")
+    blocks = checked.groupBy("_file", "_block").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    blocks = materialize(blocks, "jsonl-blocks")
+    before, _, _ = exclusive_running_sum(blocks, ["_file", "_block"], "_n", "_before")
+    first = materialize(
+        blocks.join(before, ["_file", "_block"]).select("_file", "_block", (F.col("_before") - F.col("_first")).alias("_shift")),
+        "jsonl-offsets")
+    return checked.join(first, ["_file", "_block"]).select(
+        (F.col("_pos") + F.col("_shift")).alias("example_id"), "messages", *[f.name for f in (extra.fields if extra else [])])
 
 
 def to_jsonl_lines(df: DataFrame, messages_col: str = "messages", extra: tuple[str, ...] = ()) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from scriptorium.functions import chat as CH
 from scriptorium.operators import chat as M
-from scriptorium.session import checkpoint_root, ship_package
+from scriptorium.session import ship_package, stream_location as default_location
 from scriptorium.sources.jsonl import parse_chat_lines
 
 
@@ -43,7 +43,7 @@ def start_sft_stream(spark: SparkSession, jsonl_dir: str, output_dir: str, check
                      max_seq_len: int = 1024, tokenizer: str = "codepoints", available_now: bool = True,
                      extra: TY.StructType | None = None) -> tuple[StreamingQuery, StreamingQuery]:
     ship_package(spark)
-    ckpt = (checkpoint_location or f"{checkpoint_root(spark).rstrip('/')}/sft-streams").rstrip("/")
+    ckpt = (checkpoint_location or default_location(spark, "sft", jsonl_dir, output_dir)).rstrip("/")
     ex, rejects = sft_stream(read_jsonl_stream(spark, jsonl_dir, extra=extra), max_seq_len, tokenizer)
 
     def start(df: DataFrame, sub: str) -> StreamingQuery:

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from scriptorium.functions import text as T
 from scriptorium.functions import tokens as K
 from scriptorium.operators import clean as C
-from scriptorium.session import checkpoint_root, ship_package
+from scriptorium.session import ship_package, stream_location as default_location
 from scriptorium.sources.corpus import book_name
 
 
@@ -56,11 +56,12 @@ def start_corpus_stream(spark: SparkSession, corpus_dir: str, output_dir: str,
                         available_now: bool = True) -> tuple[StreamingQuery, StreamingQuery]:
     """Start the cleaned-output and audit streams; returns both handles.
 
-    ``checkpoint_location`` defaults to a folder under ``spark.checkpoint.dir``.
+    ``checkpoint_location`` defaults to a folder under ``spark.checkpoint.dir``
+    that belongs to these two folders.
     With ``available_now`` the streams process what is there and stop.
     """
     ship_package(spark)
-    ckpt = (checkpoint_location or f"{checkpoint_root(spark).rstrip('/')}/streams").rstrip("/")
+    ckpt = (checkpoint_location or default_location(spark, "corpus", corpus_dir, output_dir)).rstrip("/")
     files = read_corpus_stream(spark, corpus_dir)
 
     def start(df: DataFrame, sub: str) -> StreamingQuery:
