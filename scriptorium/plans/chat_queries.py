@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from scriptorium.functions import chat as CH
 from scriptorium.functions import tokens as K
 from scriptorium.operators import batches as B
 from scriptorium.operators import chat as M
+from scriptorium.operators import dictionary_tokens as D
 from scriptorium.operators import split as SP
 from scriptorium.plans import sql as S
 from scriptorium.plans.registry import query
 from scriptorium.plans.token_queries import PAD_ID, ids_md5
+from scriptorium.session import materialize
 from scriptorium.sources.tables import table
 
 SFT_LEN = 4096  # truncation, full masking and ordinary rows all occur at sf0.01
@@ -158,6 +161,40 @@ def sft_examples_bpe(spark, data_dir):
     return _ex_out(e.withColumnRenamed("conv_id", "example_id"))
 
 
+# Words with an id of their own in the small vocabulary; any other pre-token
+# is its code points.
+TINY_WORDS = ["system", "user", "assistant", "im", "start", "end", "the", "of", "de", "la"]
+TINY_PATTERN = "[A-Za-z]+|[0-9]|[^A-Za-z0-9]"
+_TINY_IDS = "CASE w " + " ".join(f"WHEN {S.lit(w)} THEN [{D.FIRST_WORD_ID + i}]" for i, w in enumerate(TINY_WORDS)) + \
+    " ELSE list_transform(regexp_extract_all(w, '(?s).'), lambda c: unicode(c)) END"
+
+
+def _tiny_sql(text: str) -> str:
+    return f"flatten(list_transform(regexp_extract_all({text}, '(?s){TINY_PATTERN}'), lambda w: {_TINY_IDS}))"
+
+
+@query("sft_examples_dictionary", f"""
+WITH {_MSG_CTES},
+enc AS (SELECT conv_id AS example_id, {_tiny_sql('full_text')} AS full_ids, len({_tiny_sql('prompt_text')})::BIGINT AS prompt_len FROM rendered),
+ex AS (SELECT example_id, full_ids[1:{SFT_LEN}] AS ids, prompt_len FROM enc),
+exl AS (SELECT *, list_transform(ids, lambda x, i: CASE WHEN i <= prompt_len THEN -100 ELSE x END) AS labels FROM ex)
+{_EX_SELECT}
+""")
+def sft_examples_dictionary(spark, data_dir):
+    """Full text and prompt tokenised through one dictionary of their
+    different pre-tokens."""
+    e = D.sft_examples_dictionary(_messages(spark, data_dir), "conv_id", D.word_ids(TINY_WORDS), TINY_PATTERN, SFT_LEN)
+    return _ex_out(e.withColumnRenamed("conv_id", "example_id"))
+
+
+@query("sft_examples_dictionary_bpe")
+def sft_examples_dictionary_bpe(spark, data_dir):
+    """The same with byte-level BPE."""
+    spec = K.bpe_spec(spark=spark)
+    e = D.sft_examples_dictionary(_messages(spark, data_dir), "conv_id", D.bpe_ids(spec), D.BYTE_BPE_PATTERN, 1024)
+    return _ex_out(e.withColumnRenamed("conv_id", "example_id"))
+
+
 # -- M11-M14 -------------------------------------------------------------------------------
 
 @query("train_eval_split", f"WITH {_EX_CTES} SELECT example_id, split FROM spl")
@@ -175,17 +212,19 @@ UNION ALL SELECT 'train', count(*)::BIGINT FROM spl WHERE split = 'train'
 UNION ALL SELECT 'eval', count(*)::BIGINT FROM spl WHERE split = 'eval'
 """)
 def sft_stage_counts(spark, data_dir):
-    raw = _messages(spark, data_dir)
-    norm = M.ensure_system(raw)
-    ex = M.sft_examples(raw, SFT_LEN, keep=("conv_id",))
-    split = SP.train_eval_split(ex.select("conv_id"), "conv_id", EVAL_FRACTION, SEED)
-
-    def count(df, stage):
-        return df.agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(F.lit(stage).alias("stage"), "n")
-
+    """Counts observed in the one pass that writes the examples; the split is
+    counted on the keys it wrote."""
+    raw, norm, tokenized = Observation("raw"), Observation("normalized"), Observation("tokenized")
+    count = F.count(F.lit(1)).alias("n")
+    messages = M.ensure_system(_messages(spark, data_dir).observe(raw, count)).observe(norm, count)
+    # tokenised means that there are ids
+    examples = M.sft_examples(messages, SFT_LEN, keep=("conv_id",)).observe(tokenized, F.count("input_ids").alias("n"))
+    written = materialize(examples.select("conv_id", "input_ids"), "stage-examples")
+    split = SP.train_eval_split(written.select("conv_id"), "conv_id", EVAL_FRACTION, SEED)
+    stages = [("raw", raw), ("normalized", norm), ("tokenized", tokenized)]
+    counts = spark.createDataFrame([(s, o.get["n"]) for s, o in stages], "stage string, n bigint")
     by_split = split.groupBy(F.col("split").alias("stage")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-    return count(raw, "raw").unionByName(count(norm, "normalized")).unionByName(
-        count(ex, "tokenized")).unionByName(by_split)
+    return counts.unionByName(by_split)
 
 
 def _train_batches(spark, data_dir):

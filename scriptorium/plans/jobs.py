@@ -6,6 +6,7 @@ sequences (Parquet) -> train/eval split -> manifest.
 rendering, tokenising, masking -> train/eval (Parquet, ``split=`` folders)
 -> manifest.
 Each returns a dict of output paths and the counts the jobs computed.
+``sinks.open_run`` finds the data of the last complete run.
 """
 
 from __future__ import annotations
@@ -20,13 +21,16 @@ from scriptorium.functions import tokens as K
 from scriptorium.operators import chat as M
 from scriptorium.operators import clean as C
 from scriptorium.operators import pack as P
+from scriptorium.operators.batches import effective_batch
 from scriptorium.operators import split as SP
 from scriptorium.sources import corpus as CO
 from scriptorium.sources import jsonl as J
-from scriptorium.session import release_intermediates, ship_package
+from scriptorium.session import intermediates, ship_package
 from scriptorium.sources import sinks
 
 
+# Parameter names and defaults of both jobs (tokenizer,
+# missing_start, strict_jsonl and require_assistant_last are our own).
 @dataclass(frozen=True)
 class CPTParams:
     max_seq_len: int = 2048
@@ -74,40 +78,50 @@ def _encoder(tokenizer: str):
 
 
 def prepare_cpt(spark: SparkSession, corpus_dir: str, output_dir: str, params: CPTParams = CPTParams()) -> dict:
+    """Outputs go to a folder of this run; the manifest is written last and
+    names it, so a job that ends early leaves nothing that :func:`open_run`
+    finds. Intermediate folders of this job alone are deleted at its end."""
     ship_package(spark)
-    out = output_dir.rstrip("/")
-    # Book order is sorted first path; packing orders by it directly.
-    books, audit = CO.load_books(spark, corpus_dir, with_ord=False)
-    # Book counts are observed while the tokens are written, not recounted.
-    obs = Observation("cleaned")
-    cleaned = C.clean_corpus(books, "text", "clean", params.missing_start).observe(
-        obs, F.count(F.lit(1)).alias("books"), F.coalesce(F.sum(F.length("clean")), F.lit(0)).alias("clean_chars"))
-    tokens = cleaned.select("first_path", _encoder(params.tokenizer)(F.col("clean")).alias("input_ids"))
-    packed = P.pack_sequences(tokens, params.max_seq_len, order_col="first_path")
-    packed_path = sinks.write_packed(packed, f"{out}/packed")
+    with intermediates(spark):
+        return _prepare_cpt(spark, corpus_dir, output_dir.rstrip("/"), params)
+
+
+def _prepare_cpt(spark: SparkSession, corpus_dir: str, out: str, params: CPTParams) -> dict:
+    run = sinks.staged_folder(out)
+    # Book order is sorted first path; packing orders by it directly. All
+    # counts are observed in the passes that do the work.
+    scanned, cleaned_obs, packed_obs = Observation("files"), Observation("cleaned"), Observation("packed")
+    books, audit = CO.load_books(spark, corpus_dir, with_ord=False, observation=scanned)
+    cleaned = C.clean_corpus(books, "text", "clean", params.missing_start)
+    tokens = cleaned.select("first_path", "text", "clean", _encoder(params.tokenizer)(F.col("clean")).alias("input_ids")).observe(
+        cleaned_obs, F.count(F.lit(1)).alias("books"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("raw_chars"),
+        F.coalesce(F.sum(F.length("clean")), F.lit(0)).alias("clean_chars"),
+        F.coalesce(F.sum(F.size("input_ids")), F.lit(0)).alias("total_tokens"))
+    packed = P.pack_sequences(tokens.select("first_path", "input_ids"), params.max_seq_len, order_col="first_path")
+    packed = packed.observe(packed_obs, F.count(F.lit(1)).alias("sequences"))
+    packed_path = sinks.write_packed(packed, f"{run}/packed")
     packed = sinks.read_packed(spark, packed_path)
     split = SP.train_eval_split(packed, "seq_id", params.eval_split, params.seed)
-    sinks.write_split(split, f"{out}/split")
+    sinks.write_split(split, f"{run}/split")
     audit.write.mode("overwrite").json(f"{out}/rejected")
-    counts = packed.agg(F.count(F.lit(1)).cast("bigint").alias("sequences"))
-    by_split = spark.read.parquet(f"{out}/split").groupBy("split").count()
-    counts = counts.select(
-        "sequences",
-        (F.col("sequences") * params.max_seq_len).cast("bigint").alias("tokens"),
-    )
-    plan = P.training_plan(packed, params.batch_size, params.grad_accum, params.num_epochs,
-                           P.steps_per_second_for(params.use_ddp))
-    man = sinks.dataset_manifest(counts, corpus_dir=corpus_dir, method="cpt", **_flat(params))
-    sinks.write_manifest(man, f"{out}/manifest")
+    n = packed_obs.get["sequences"]
+    stats = {**cleaned_obs.get, **scanned.get}
+    counts = spark.createDataFrame([{
+        "sequences": n, "tokens": n * params.max_seq_len, "discarded_tokens": stats["total_tokens"] - n * params.max_seq_len,
+        **stats}], "sequences long, tokens long, discarded_tokens long, books long, raw_chars long, clean_chars long, "
+                   "total_tokens long, files long, undecodable long")
+    plan = P.plan_of_count(counts, params.batch_size, params.grad_accum, params.num_epochs, P.steps_per_second_for(params.use_ddp))
+    by_split = spark.read.parquet(f"{run}/split").groupBy("split").count()
     result = {
         "packed": packed_path,
-        "split": f"{out}/split",
-        "manifest": f"{out}/manifest",
+        "split": f"{run}/split",
         "counts": {r["split"]: r["count"] for r in by_split.collect()},
-        "stats": obs.get,
+        "stats": stats,
         "plan": plan.first().asDict(),
     }
-    release_intermediates(spark)  # every output above is written or collected
+    batch = effective_batch(params.num_gpus, params.batch_size, params.grad_accum, params.use_ddp)
+    man = sinks.dataset_manifest(counts, corpus_dir=corpus_dir, method="cpt", effective_batch=batch, **_flat(params))
+    result["manifest"] = sinks.commit_manifest(man, out, run)
     return result
 
 
@@ -126,23 +140,27 @@ def build_sft(messages: DataFrame, params: SFTParams = SFTParams(), template: CH
 
 
 def prepare_sft(spark: SparkSession, jsonl_path: str, output_dir: str, params: SFTParams = SFTParams()) -> dict:
+    """As :func:`prepare_cpt`: staged outputs, the manifest last."""
     ship_package(spark)
-    out = output_dir.rstrip("/")
+    with intermediates(spark):
+        return _prepare_sft(spark, jsonl_path, output_dir.rstrip("/"), params)
+
+
+def _prepare_sft(spark: SparkSession, jsonl_path: str, out: str, params: SFTParams) -> dict:
+    run = sinks.staged_folder(out)
     msgs = J.read_chat_jsonl(spark, jsonl_path, strict=params.strict_jsonl)
     ex, rejects = build_sft(msgs, params)
-    sinks.write_split(ex, f"{out}/examples")
+    written = Observation("examples")
+    is_eval = F.col("split") == "eval"
+    ex = ex.observe(written, F.count(F.lit(1)).alias("tokenized"), F.count_if(~is_eval).alias("train"), F.count_if(is_eval).alias("eval"))
+    sinks.write_split(ex, f"{run}/examples")
     rejects.write.mode("overwrite").json(f"{out}/rejected")
-    written = spark.read.parquet(f"{out}/examples")
-    counts = written.agg(
-        F.count(F.lit(1)).cast("bigint").alias("tokenized"),
-        F.sum(F.when(F.col("split") == "train", 1).otherwise(0)).cast("bigint").alias("train"),
-        F.sum(F.when(F.col("split") == "eval", 1).otherwise(0)).cast("bigint").alias("eval"),
-    )
-    man = sinks.dataset_manifest(counts, dataset=jsonl_path, method="sft", **_flat(params))
-    sinks.write_manifest(man, f"{out}/manifest")
-    result = {"examples": f"{out}/examples", "manifest": f"{out}/manifest", "counts": counts.first().asDict()}
-    release_intermediates(spark)
-    return result
+    found = written.get
+    counts = spark.createDataFrame([found], "tokenized long, train long, eval long")
+    # this trainer runs on one GPU process
+    batch = effective_batch(1, params.batch_size, params.grad_accum, use_ddp=False)
+    man = sinks.dataset_manifest(counts, dataset=jsonl_path, method="sft", effective_batch=batch, **_flat(params))
+    return {"examples": f"{run}/examples", "counts": found, "manifest": sinks.commit_manifest(man, out, run)}
 
 
 def _flat(params) -> dict:

@@ -217,8 +217,14 @@ def dataset_manifest(spark, data_dir):
     ).select("books", "total_chars", F.col("total_chars").alias("total_tokens"),
              F.expr(f"total_chars div {SEQ_LEN}").alias("sequences"))
     man = sinks.dataset_manifest(counts, input="documents", max_seq_len=SEQ_LEN, tokenizer="codepoints")
-    sinks.write_manifest(man, scratch_path(spark, "manifest"))
-    return man.select("input", F.col("max_seq_len").cast("bigint").alias("max_seq_len"), "tokenizer",
+    # committed with the data it counts, and read back through the manifest
+    out = scratch_path(spark, "manifest")
+    run = sinks.staged_folder(out)
+    c.write.parquet(f"{run}/cleaned")
+    sinks.commit_manifest(man, out, run)
+    _, data = sinks.open_run(spark, out)
+    held = spark.read.parquet(f"{data}/cleaned").agg(F.count(F.lit(1)).alias("held"))
+    return spark.read.json(f"{out}/manifest").join(held, F.col("books") == F.col("held")).select("input", F.col("max_seq_len").cast("bigint").alias("max_seq_len"), "tokenizer",
                       "books", "total_chars", "total_tokens", "sequences")
 
 

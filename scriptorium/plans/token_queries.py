@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from scriptorium.functions import tokens as K
@@ -198,6 +200,15 @@ def packed_roundtrip(spark, data_dir):
     return _packed_out(back)
 
 
+@query("packed_ranks", pack_sql(_DOC_SRC) + _PACKED_SELECT)
+def packed_ranks(spark, data_dir):
+    """The shards of four trainers, each read through the index and checked
+    against it, make up the packed table."""
+    path = sinks.write_indexed(P.pack_sequences(_doc_tokens(spark, data_dir), SEQ_LEN), files=7)
+    ranks = [sinks.read_rank(spark, path, r, 4, verify=True) for r in range(4)]
+    return _packed_out(functools.reduce(lambda a, b: a.unionByName(b), ranks))
+
+
 @query("bpe_roundtrip", """
 SELECT doc_id, md5(text) AS decoded_md5, length(text)::BIGINT AS decoded_chars FROM documents
 """)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.session import qualified, scratch_path
@@ -35,6 +37,51 @@ def read_packed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PACKED_SCHEMA).parquet(path)
 
 
+INDEX = "file string, first_seq bigint, last_seq bigint, sequences bigint, digest bigint"
+
+
+def _row_digest() -> Column:
+    return F.xxhash64("seq_id", "input_ids", "labels")
+
+
+def write_indexed(packed: DataFrame, path: str | None = None, files: int | None = None) -> str:
+    """Packed sequences in files of contiguous ``seq_id`` with an index beside
+    them (``path`` + ``.index``): a file's name, first and last sequence, rows
+    and an order-free digest of its rows, taken from what was written."""
+    spark = packed.sparkSession
+    path = path or scratch_path(spark, "packed-indexed")
+    n = files or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    packed.repartitionByRange(n, "seq_id").sortWithinPartitions("seq_id").write.mode("overwrite").parquet(path)
+    rows = read_packed(spark, path).select("*", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"))
+    rows.groupBy("file").agg(
+        F.min("seq_id").alias("first_seq"), F.max("seq_id").alias("last_seq"), F.count(F.lit(1)).alias("sequences"),
+        F.bit_xor(_row_digest()).alias("digest")).coalesce(1).write.mode("overwrite").parquet(f"{path}.index")
+    return path
+
+
+def read_rank(spark: SparkSession, path: str, rank: int, world: int, verify: bool = False) -> DataFrame:
+    """The sequences of trainer ``rank`` of ``world``: its files alone are
+    opened, in order of their first sequence every ``world``-th of them. With
+    ``verify`` a file whose rows differ from the index raises ``ValueError``.
+
+    The index has a row per file; the driver reads it to name the files.
+    """
+    if not 0 <= rank < world:
+        raise ValueError("rank must be from 0 to world - 1")
+    index = spark.read.schema(INDEX).parquet(f"{path}.index").orderBy("first_seq").collect()[rank::world]
+    if not index:
+        return spark.createDataFrame([], PACKED_SCHEMA)
+    own = spark.read.schema(PACKED_SCHEMA).parquet(*[f"{path}/{r['file']}" for r in index])
+    if verify:
+        found = own.agg(F.count(F.lit(1)), F.bit_xor(_row_digest())).first()
+        want = 0
+        for r in index:
+            want ^= r["digest"]
+        if tuple(found) != (sum(r["sequences"] for r in index), want):
+            raise ValueError(f"files of rank {rank} under {path} differ from their index")
+    return own
+
+
 def write_split(examples: DataFrame, path: str, split_col: str = "split", mode: str = "overwrite") -> str:
     """Write examples partitioned by split (``split=train`` / ``split=eval``)."""
     examples.write.mode(mode).partitionBy(split_col).parquet(path)
@@ -54,6 +101,32 @@ def write_manifest(manifest: DataFrame, path: str, mode: str = "overwrite") -> s
     return path
 
 
+def staged_folder(out: str) -> str:
+    """A folder of its own for the outputs of one run under ``out``; they count
+    only once :func:`commit_manifest` has named it."""
+    return f"{out.rstrip('/')}/run-{uuid.uuid4().hex}"
+
+
+def commit_manifest(manifest: DataFrame, out: str, staged: str) -> str:
+    """Write the manifest of the run in ``staged``, the last output of a job:
+    Spark's commit shows it whole or not at all, and readers find the data
+    through it."""
+    named = manifest.withColumn("data", F.lit(staged.rsplit("/", 1)[-1]))
+    return write_manifest(named, f"{out.rstrip('/')}/manifest")
+
+
+def open_run(spark: SparkSession, out: str) -> tuple[Row, str]:
+    """The manifest of the last complete run under ``out`` and the folder of
+    its data; ``FileNotFoundError`` if no run was completed."""
+    try:
+        rows = spark.read.json(f"{out.rstrip('/')}/manifest").head(1)
+    except AnalysisException as exc:
+        raise FileNotFoundError(f"no complete run under {out}") from exc
+    if not rows:
+        raise FileNotFoundError(f"no complete run under {out}")
+    return rows[0], f"{out.rstrip('/')}/{rows[0]['data']}"
+
+
 def write_text_files(df: DataFrame, root: str, relpath_col: str = "relpath", text_col: str = "text",
                      encoding_col: str | None = None) -> DataFrame:
     """Write each row's text to ``root/<relpath>`` (one file per row).

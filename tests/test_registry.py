@@ -18,7 +18,7 @@ def con():
 
 def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only == {"tokenize_bpe", "cpt_packed_bpe", "sft_examples_bpe"}
+    assert rows_only == {"tokenize_bpe", "cpt_packed_bpe", "sft_examples_bpe", "sft_examples_dictionary_bpe"}
     assert set(ORACLE) <= set(QUERIES)
     assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
