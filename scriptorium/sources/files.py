@@ -11,6 +11,8 @@ Names that start with ``.`` are left out, as a glob does.
 
 from __future__ import annotations
 
+import functools
+import re
 import time
 from collections.abc import Callable, Iterator
 
@@ -29,10 +31,19 @@ BATCH_CHARS, CHUNK = 4 << 20, 1 << 16
 MISSING, CHANGED, NOT_UTF8 = "missing", "changed after it was listed", "invalid utf-8"
 
 
-def _store(uri: str):
+@functools.lru_cache(maxsize=16)
+def _file_system(base: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(base)
+
+
+def open_store(path: str):
+    """The file system of a qualified path, and the path in it. Only scheme
+    and authority are parsed: a name may hold any character."""
+    scheme, authority, place = re.fullmatch(r"([^:/]+)://([^/]*)(/.*)", path, re.S).groups()
+    store, base = _file_system(f"{scheme}://{authority}/")
+    return store, base.rstrip("/") + place
 
 
 def _reason(exc: Exception) -> str:
@@ -62,7 +73,7 @@ def _list_folders(suffix: str):
         for batch in batches:
             rows = []
             for folder in batch.column(0).to_pylist():
-                store, place = _store(folder)
+                store, place = open_store(folder)
                 found, reason = _tried(lambda: store.get_file_info(fs.FileSelector(place)))
                 if reason:
                     rows.append((folder, None, False, reason))
@@ -85,7 +96,7 @@ def list_files(spark: SparkSession, root: str, suffix: str) -> tuple[DataFrame,
     from pyarrow import fs
 
     uri = qualified(spark, root.rstrip("/") or "/")
-    store, place = _store(uri)
+    store, place = open_store(uri)
     info = store.get_file_info(place)
     if info.type == fs.FileType.NotFound:
         raise FileNotFoundError(f"{root} does not exist")
@@ -124,7 +135,7 @@ def _line_begin(f, at: int, length: int) -> int:
 def _read_lines(uri: str, start: int, end: int, length: int) -> tuple[bytes, bool]:
     """The lines that start in ``start:end``, and whether the file ends with
     them."""
-    store, place = _store(uri)
+    store, place = open_store(uri)
     with store.open_input_file(place) as f:
         if f.size() != length:
             raise ValueError(CHANGED)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.session import qualified, scratch_path
+from scriptorium.sources.files import open_store
 
 PACKED_SCHEMA = "seq_id bigint, input_ids array<int>, labels array<int>"
 
@@ -141,9 +142,7 @@ def write_text_files(df: DataFrame, root: str, relpath_col: str = "relpath", tex
     root = qualified(df.sparkSession, root).rstrip("/")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs as pafs
-
-        filesystem, base = pafs.FileSystem.from_uri(root)
+        filesystem, base = open_store(root)
         made: set[str] = set()
         for pdf in batches:
             sizes = []

@@ -25,11 +25,12 @@ def _tree(files):
 
 
 def test_listing_is_that_of_a_glob(spark):
-    root = _tree({f"{d}/{n}": b"x" * i for d in ("a", "a/b/c", "_d", ".h", "e") for i, n in enumerate(("1.txt", "_2.txt", ".3.txt", "4.TXT", "5.md"))})
+    root = _tree({f"{d}/{n}": b"x" * i for d in ("a", "a/b/c", "_d", ".h", "e") for i, n in enumerate(("1.txt", "_2 %20#?.txt", ".3.txt", "4.TXT", "5.md"))})
     files, lost = FI.list_files(spark, root, ".txt")
-    want = {f"{d}/{n}": i for d in ("a", "a/b/c", "_d", "e") for i, n in enumerate(("1.txt", "_2.txt"))}
+    want = {f"{d}/{n}": i for d in ("a", "a/b/c", "_d", "e") for i, n in enumerate(("1.txt", "_2 %20#?.txt"))}
     assert {os.path.relpath(r.path.removeprefix("file://"), root): r.length for r in files.collect()} == want
     assert lost.count() == 0
+    assert {r.reason for r in FI.read_files(files).collect()} == {None}
     one, _ = FI.list_files(spark, root + "/a/1.txt", ".txt")
     assert one.count() == 1
 
