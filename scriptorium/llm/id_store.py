@@ -13,7 +13,6 @@ All little-endian.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import itertools
 import json
@@ -28,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptorium.llm.shared import Writer, _open, freeing, qualified, read_bytes, write_bytes
+from scriptorium.llm.shared import Writer, _open, freeing, qualified, read_bytes, sole, write_bytes
 from scriptorium.llm.textbytes import byte_class, slices, split_words, utf8, word_array
 from scriptorium.session import materialize, scratch_path
 
@@ -39,8 +38,6 @@ ENTRY = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("bytes", "<u8"), ("ids"
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 1 << 15, 1 << 16
 FILE_BYTES = 64 << 20
 CACHE_WORDS = 300_000
-# documents that are encoded together have about so many bytes
-SLICE_BYTES = 4 << 20
 WORD_BYTES = byte_class(b"\x20\x09\x0a\x0b\x0c\x0d")
 
 
@@ -184,11 +181,14 @@ class WordEncoder:
         return ids, np.diff(upto[first])
 
 
-@functools.lru_cache(maxsize=1)
-def _encoder(uri: str) -> WordEncoder:
+def _load_encoder(uri: str) -> WordEncoder:
     return WordEncoder(read_bytes(uri).decode())
 
 
+def _encoder(uri: str) -> WordEncoder:
+    return sole(_load_encoder, uri)
+
+
 def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict:
     return zstandard.ZstdCompressionDict(raw)
 
@@ -197,7 +197,7 @@ def _ids_of(batch: pa.RecordBatch, encoder: WordEncoder, end_id: int, dtype) ->
     """By slices of documents: the first one's row, the ids of all with the
     end id behind each, and how many each has."""
     buf, off = utf8(batch.column(1))
-    for lo, hi in slices(off, SLICE_BYTES):
+    for lo, hi in slices(off):
         ids, counts = encoder.encode(buf, off[lo:hi + 1])
         yield lo, np.insert(ids, np.cumsum(counts), end_id).astype(dtype), counts + 1
 

@@ -5,19 +5,14 @@ from __future__ import annotations
 import ctypes
 import functools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import SparkSession
 
+from scriptorium.session import qualified
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """``path`` with the scheme that Spark would use for it."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    uri = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
-    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
+__all__ = ["Writer", "freeing", "qualified", "read_bytes", "sole", "write_bytes"]
 
 
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
@@ -58,6 +53,19 @@ def write_bytes(uri: str, data: bytes) -> str:
     return out.close()
 
 
+_SOLE: dict[tuple, object] = {}
+
+
+def sole(load: Callable, uri: str):
+    """``load(uri)``, held in the worker until another large object is: a
+    worker lives on through the stages of a job and keeps one of them."""
+    key = load.__module__, load.__qualname__, uri
+    if key not in _SOLE:
+        _SOLE.clear()
+        _SOLE[key] = load(uri)
+    return _SOLE[key]
+
+
 @functools.lru_cache(maxsize=1)
 def _trim():
     """glibc's ``malloc_trim``; other C libraries have none."""

@@ -16,7 +16,6 @@ one block at a time.
 
 from __future__ import annotations
 
-import functools
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,12 +27,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.shared import freeing, qualified, read_bytes, write_bytes
+from scriptorium.llm.shared import freeing, qualified, read_bytes, sole, write_bytes
 from scriptorium.llm.textbytes import Words, byte_class, slices, split_words, utf8, word_array
 from scriptorium.session import materialize, scratch_path
 
 WORD_BYTES = byte_class(bytes(b for b in range(128) if not chr(b).isalnum()))
-# a shard has about so many bytes; so many shards meet a block together
+# a shard has about so many bytes; so many shards meet a block together if there are several
 SHARD_BYTES, SHARDS = 2 << 20, 4
 BLOCK_BYTES = 16 << 20
 REPORT = ("doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>, "
@@ -240,11 +239,14 @@ def _runs(group: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.nda
     return group[starts].tolist(), np.split(values, cut) if len(group) else []
 
 
-@functools.lru_cache(maxsize=1)
-def _block(uri: str) -> Block:
+def _load_block(uri: str) -> Block:
     return pickle.loads(read_bytes(uri))
 
 
+def _block(uri: str) -> Block:
+    return sole(_load_block, uri)
+
+
 class Shard:
     """Words of some documents and what the blocks so far have found there."""
 
@@ -282,7 +284,7 @@ def _reports(column: pa.Array, uris: list[str]) -> Iterator[tuple]:
     """:meth:`Shard.reports` of all documents; some shards meet a block before
     the next block is read."""
     buf, off = utf8(column)
-    for some in batched(slices(off, SHARD_BYTES), SHARDS):
+    for some in batched(slices(off, SHARD_BYTES), SHARDS if len(uris) > 1 else 1):
         shards = [Shard(buf, off[lo:hi + 1]) for lo, hi in some]
         for uri in uris:
             for shard in shards:

@@ -16,7 +16,6 @@ weights fitted on a bounded sample of the labelled texts.
 
 from __future__ import annotations
 
-import functools
 import pickle
 import re
 from collections.abc import Iterator
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.llm.features import prefix_buckets, sigmoid
-from scriptorium.llm.shared import freeing, qualified, read_bytes, write_bytes
+from scriptorium.llm.shared import freeing, qualified, read_bytes, sole, write_bytes
 from scriptorium.llm.textbytes import Words, byte_class, slices, split_words, utf8
 from scriptorium.session import materialize, scratch_path
 
@@ -274,17 +273,23 @@ class Model:
     intercept: float
 
 
-@functools.lru_cache(maxsize=2)
-def _channel(uri: str) -> Channel:
+def _load_channel(uri: str) -> Channel:
     return Channel(pickle.loads(read_bytes(uri)))
 
 
-@functools.lru_cache(maxsize=2)
-def _model(uri: str) -> tuple[Model, Channel]:
+def _channel(uri: str) -> Channel:
+    return sole(_load_channel, uri)
+
+
+def _load_model(uri: str) -> tuple[Model, Channel]:
     model = pickle.loads(read_bytes(uri))
     return model, Channel(model.trigrams)
 
 
+def _model(uri: str) -> tuple[Model, Channel]:
+    return sole(_load_model, uri)
+
+
 def _count_features(trigrams: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((2, BUCKETS + 1), np.int64)

@@ -79,7 +79,6 @@ def test_long_words_that_hash_alike(spark):
 
 def test_many_blocks_and_shards(spark, monkeypatch):
     monkeypatch.setattr(suffix_decontam, "BLOCK_BYTES", 200)
-    monkeypatch.setattr(suffix_decontam, "_block", suffix_decontam._block.__wrapped__)
     docs, bench = cases()
     d, b = spark.createDataFrame(docs, DOC), spark.createDataFrame(bench + bench[:5], ITEM)
     assert len(suffix_decontam._store_blocks(b, 10, "item_id", "text")) > 3
