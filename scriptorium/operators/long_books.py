@@ -34,10 +34,12 @@ PIECE_BYTES = 8 << 20
 @dataclass
 class Books:
     """``parts``: ``path, part, text``, the cleaned book in order of ``part``;
-    a book cleaned to nothing is one empty part. ``audit``: ``path, reason``.
-    ``probe``: slim facts of each range as read."""
+    a book cleaned to nothing is one empty part. ``paths``: ``path`` of every
+    book. ``audit``: ``path, reason``. ``probe``: slim facts of each range as
+    read."""
 
     parts: DataFrame
+    paths: DataFrame
     audit: DataFrame
     probe: DataFrame
 
@@ -59,7 +61,7 @@ def clean_ranges(spark: SparkSession, corpus_dir: str, piece_bytes: int = PIECE_
     pieces = materialize(ranges(files, piece_bytes), "book-ranges")
     read = C.with_lines(read_ranges(pieces))
     probe = materialize(read.select(
-        "path", "piece", "reason", F.regexp_count("text", F.lit(T.SPLITLINES_RE)).cast("bigint").alias("seps"),
+        "path", "piece", "reason", F.length("text").cast("bigint").alias("chars"), F.regexp_count("text", F.lit(T.SPLITLINES_RE)).cast("bigint").alias("seps"),
         F.when(F.col("last"), (F.col("text") != "") & ~F.col("text").rlike(f"(?:{T.SPLITLINES_RE})\\z")).alias("open_end"),
         F.when(F.col("_s") > 0, F.struct("piece", F.col("_s").alias("line"))).alias("s"),
         F.when(F.col("_e") > 0, F.struct("piece", F.col("_e").alias("line"))).alias("e")), "book-probe")
@@ -108,7 +110,7 @@ def clean_ranges(spark: SparkSession, corpus_dir: str, piece_bytes: int = PIECE_
     empty = good.select("path").join(counted.where("not blank").select("path").distinct(), "path", "left_anti").select(
         "path", F.lit(0).cast("bigint").alias("part"), F.lit("").alias("text"))
     audit = marks.where("reason is not null").select("path", "reason").unionByName(lost)
-    return Books(parts.unionByName(empty), audit, probe)
+    return Books(parts.unionByName(empty), good.select("path"), audit, probe)
 
 
 def range_stats(books: Books) -> DataFrame:

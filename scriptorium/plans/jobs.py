@@ -20,12 +20,13 @@ from scriptorium.functions import chat as CH
 from scriptorium.functions import tokens as K
 from scriptorium.operators import chat as M
 from scriptorium.operators import clean as C
+from scriptorium.operators import long_books as LB
 from scriptorium.operators import pack as P
 from scriptorium.operators.batches import effective_batch
 from scriptorium.operators import split as SP
 from scriptorium.sources import corpus as CO
 from scriptorium.sources import jsonl as J
-from scriptorium.session import intermediates, ship_package
+from scriptorium.session import intermediates, materialize, ship_package
 from scriptorium.sources import sinks
 
 
@@ -43,6 +44,7 @@ class CPTParams:
     seed: int = 42
     tokenizer: str = "bpe"          # "bpe" (default tokenizer file), "codepoints" or a file path
     missing_start: str = "empty"    # "keep" treats a text without START as all body
+    piece_bytes: int = 0            # above 0, books are read and cleaned in ranges of this size
 
     def __post_init__(self):
         if self.max_seq_len <= 0 or self.batch_size <= 0 or self.grad_accum <= 0 or self.num_epochs <= 0:
@@ -91,13 +93,16 @@ def _prepare_cpt(spark: SparkSession, corpus_dir: str, out: str, params: CPTPara
     # Book order is sorted first path; packing orders by it directly. All
     # counts are observed in the passes that do the work.
     scanned, cleaned_obs, packed_obs = Observation("files"), Observation("cleaned"), Observation("packed")
-    books, audit = CO.load_books(spark, corpus_dir, with_ord=False, observation=scanned)
-    cleaned = C.clean_corpus(books, "text", "clean", params.missing_start)
-    tokens = cleaned.select("first_path", "text", "clean", _encoder(params.tokenizer)(F.col("clean")).alias("input_ids")).observe(
+    if params.piece_bytes:
+        cleaned, audit, found = _books_in_ranges(spark, corpus_dir, params)
+    else:
+        books, audit = CO.load_books(spark, corpus_dir, with_ord=False, observation=scanned)
+        cleaned = C.clean_corpus(books, "text", "clean", params.missing_start).withColumnRenamed("first_path", "at")
+    tokens = cleaned.select("at", "text", "clean", _encoder(params.tokenizer)(F.col("clean")).alias("input_ids")).observe(
         cleaned_obs, F.count(F.lit(1)).alias("books"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("raw_chars"),
         F.coalesce(F.sum(F.length("clean")), F.lit(0)).alias("clean_chars"),
         F.coalesce(F.sum(F.size("input_ids")), F.lit(0)).alias("total_tokens"))
-    packed = P.pack_sequences(tokens.select("first_path", "input_ids"), params.max_seq_len, order_col="first_path")
+    packed = P.pack_sequences(tokens.select("at", "input_ids"), params.max_seq_len, order_col="at")
     packed = packed.observe(packed_obs, F.count(F.lit(1)).alias("sequences"))
     packed_path = sinks.write_packed(packed, f"{run}/packed")
     packed = sinks.read_packed(spark, packed_path)
@@ -105,7 +110,7 @@ def _prepare_cpt(spark: SparkSession, corpus_dir: str, out: str, params: CPTPara
     sinks.write_split(split, f"{run}/split")
     audit.write.mode("overwrite").json(f"{out}/rejected")
     n = packed_obs.get["sequences"]
-    stats = {**cleaned_obs.get, **scanned.get}
+    stats = {**cleaned_obs.get, **(found if params.piece_bytes else scanned.get)}
     counts = spark.createDataFrame([{
         "sequences": n, "tokens": n * params.max_seq_len, "discarded_tokens": stats["total_tokens"] - n * params.max_seq_len,
         **stats}], "sequences long, tokens long, discarded_tokens long, books long, raw_chars long, clean_chars long, "
@@ -125,6 +130,22 @@ def _prepare_cpt(spark: SparkSession, corpus_dir: str, out: str, params: CPTPara
     return result
 
 
+def _books_in_ranges(spark: SparkSession, corpus_dir: str, params: CPTParams) -> tuple[DataFrame, DataFrame, dict]:
+    """``at, text, clean`` of the parts of all books, ``at`` sorting by book and
+    part; the audit; and the counts that parts do not show. Only the text of
+    the file that a name keeps goes on."""
+    books = LB.clean_ranges(spark, corpus_dir, params.piece_bytes, params.missing_start)
+    names = materialize(CO.resolve_names(books.paths), "range-names")
+    if books.paths.isEmpty() and books.audit.isEmpty():
+        raise FileNotFoundError(f"No .txt files found under {corpus_dir}")
+    raw = books.probe.join(names, "path").agg(F.coalesce(F.sum("chars"), F.lit(0))).first()[0]
+    # a part's text stands for its cleaned form; raw characters come from the probe
+    at = F.concat(F.col("first_path"), F.lit("\0"), F.lpad(F.col("part").cast("string"), 19, "0"))
+    parts = books.parts.join(names, "path").select(at.alias("at"), F.lit("").alias("text"), F.col("text").alias("clean"))
+    bad = books.audit.count()
+    return parts, books.audit, {"books": names.count(), "raw_chars": raw, "files": books.paths.count() + bad, "undecodable": bad}
+
+
 def build_sft(messages: DataFrame, params: SFTParams = SFTParams(), template: CH.ChatTemplate = CH.CHATML,
               key_col: str = "example_id") -> tuple[DataFrame, DataFrame]:
     """(examples with ``split``, rejects) from ``key_col, messages`` rows."""

@@ -88,3 +88,18 @@ def test_shards_of_all_ranks_make_up_the_table(spark):
         os.unlink(crc)
     with pytest.raises(ValueError, match="differ from their index"):
         sinks.read_rank(spark, path, 4, 10, verify=True)
+
+
+def test_books_in_ranges_give_the_same_run(spark):
+    import dataclasses
+
+    bodies = {"x/a": "alpha  beta\n\n\n\n" * 30, "b": "beta\n" * 40, "c": "gamma", "y/a": "other\n\nend " * 9, "d": ""}
+    root = _tree({f"{k}.txt": BOOK.format(n="n", body=v).encode() for k, v in bodies.items()} | {"bad.txt": b"\xff"})
+    runs = []
+    for piece in (0, 7, 100):
+        out = tempfile.mkdtemp(prefix="scriptorium-out-")
+        jobs.prepare_cpt(spark, root, out, dataclasses.replace(PARAMS, piece_bytes=piece))
+        m, data = sinks.open_run(spark, out)
+        rows = sinks.read_packed(spark, f"{data}/packed").orderBy("seq_id").collect()
+        runs.append((rows, {k: m[k] for k in ("books", "files", "undecodable", "raw_chars", "clean_chars", "total_tokens", "sequences")}))
+    assert runs[0] == runs[1] == runs[2] and runs[0][1]["books"] == 4
