@@ -60,19 +60,7 @@ def _marker(word: str) -> str:
 # Case-insensitive with Unicode folding ("ſ" matches "S"), as Python's IGNORECASE.
 START_RE = "(?iu)" + _marker("START")
 END_RE = "(?iu)" + _marker("END")
-# Same patterns without the inline flag, for RE2 with the 'i' option.
-START_RE_PLAIN = _marker("START")
-END_RE_PLAIN = _marker("END")
-
-ROMAN_LINE_RE = f"^{WS}*[IVXLCDM]+\\.?{WS}*\\z"
-PAGE_NUMBER_RE = f"^{WS}*-?{WS}*\\p{{Nd}}+{WS}*-?{WS}*\\z"
-BRACED_NUMBER_RE = f"^{WS}*\\{{{WS}*\\p{{Nd}}+{WS}*\\}}{WS}*\\z"
-# One pass for the three drop rules above.
-NUMBERING_LINE_RE = (
-    f"^{WS}*(?:[IVXLCDM]+\\.?|-?{WS}*\\p{{Nd}}+{WS}*-?|\\{{{WS}*\\p{{Nd}}+{WS}*\\}})"
-    f"{WS}*\\z"
-)
-# The same rules on a stripped line, where no two blank runs can meet: linear.
+# The line drops on a stripped line, where no two blank runs can meet: linear.
 _ROMAN, _NUMBER, _BRACED = "[IVXLCDM]++\\.?", f"-?{WS}*+\\p{{Nd}}++{WS}*+-?", f"\\{{{WS}*+\\p{{Nd}}++{WS}*+\\}}"
 STRIPPED_ROMAN_RE = f"^{_ROMAN}\\z"
 STRIPPED_NUMBER_RE = f"^(?:{_NUMBER}|{_BRACED})\\z"

@@ -92,21 +92,21 @@ def _rule_query(fn):
     return run
 
 
-_NORM = (f"regexp_replace(replace(translate(x, {S.lit(T.PUNCT_FROM)}, {S.lit(T.PUNCT_TO)}), "
-         f"{S.lit(T.EM_DASH)}, '--'), '---?', '--', 'g')")
+_NORM = (f"regexp_replace(replace(translate(x, {S.lit(O.PUNCT_FROM)}, {S.lit(O.PUNCT_TO)}), "
+         f"{S.lit(O.EM_DASH)}, '--'), '---?', '--', 'g')")
 
 query("drop_roman_lines", _rule_sql(
-    f"list_filter(body, lambda x: NOT regexp_matches(x, {S.regex(T.ROMAN_LINE_RE)}))"))(
+    f"list_filter(body, lambda x: NOT regexp_matches(x, {S.regex(O.ROMAN_LINE_RE)}))"))(
     _rule_query(C.drop_roman_lines))
 
 query("drop_page_numbers", _rule_sql(
-    f"list_filter(body, lambda x: NOT (regexp_matches(x, {S.regex(T.PAGE_NUMBER_RE)}) "
-    f"OR regexp_matches(x, {S.regex(T.BRACED_NUMBER_RE)})))"))(
+    f"list_filter(body, lambda x: NOT (regexp_matches(x, {S.regex(O.PAGE_NUMBER_RE)}) "
+    f"OR regexp_matches(x, {S.regex(O.BRACED_NUMBER_RE)})))"))(
     _rule_query(C.drop_page_numbers))
 
 query("normalize_punctuation", _rule_sql(
-    f"list_transform(body, lambda x: replace(translate(x, {S.lit(T.PUNCT_FROM)}, {S.lit(T.PUNCT_TO)}), "
-    f"{S.lit(T.EM_DASH)}, '--'))"))(
+    f"list_transform(body, lambda x: replace(translate(x, {S.lit(O.PUNCT_FROM)}, {S.lit(O.PUNCT_TO)}), "
+    f"{S.lit(O.EM_DASH)}, '--'))"))(
     _rule_query(lambda lines: F.transform(lines, T.normalize_punctuation)))
 
 query("collapse_hyphens", _rule_sql(
@@ -115,7 +115,7 @@ query("collapse_hyphens", _rule_sql(
 
 query("drop_decoration", _rule_sql(
     f"list_filter(list_transform(body, lambda x: {_NORM}), "
-    f"lambda x: NOT regexp_matches(x, {S.regex(T.DECORATION_LINE_RE)}))"))(
+    f"lambda x: NOT regexp_matches(x, {S.regex(O.DECORATION_LINE_RE)}))"))(
     _rule_query(lambda lines: C.drop_decoration(
         F.transform(lines, lambda l: T.collapse_hyphens(T.normalize_punctuation(l))))))
 
