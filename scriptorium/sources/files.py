@@ -192,11 +192,10 @@ def read_ranges(pieces: DataFrame) -> DataFrame:
     that the ranges of a long file are read side by side.
     """
     spark = pieces.sparkSession
-    slim = materialize(pieces, "ranges")
-    size = slim.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
+    size = pieces.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
     parts = max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
-    rest = [c for c in slim.columns if c not in ("path", "length", "start", "end")]
-    slim = slim.select("path", "length", "start", "end", *rest)
+    rest = [c for c in pieces.columns if c not in ("path", "length", "start", "end")]
+    slim = pieces.select("path", "length", "start", "end", *rest)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema) + ", " + READ
     return slim.repartition(parts, "path", "start").mapInArrow(_read, schema)
 

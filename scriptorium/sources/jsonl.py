@@ -14,13 +14,12 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as TY
 
 from scriptorium.functions import chat as CH
 from scriptorium.functions import text as T
-from scriptorium.operators.ordering import exclusive_running_sum
 from scriptorium.session import materialize
 
 SCHEMA = TY.StructType([TY.StructField("messages", TY.ArrayType(TY.StructType([
@@ -79,11 +78,10 @@ def read_chat_jsonl(spark: SparkSession, path: str, strict: bool = True,
     checked = materialize(
         parse_chat_lines(lines, strict, extra).withColumn("_pos", F.monotonically_increasing_id()), "jsonl")
     blocks = checked.groupBy("_file", "_block").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    blocks = materialize(blocks, "jsonl-blocks")
-    before, _, _ = exclusive_running_sum(blocks, ["_file", "_block"], "_n", "_before")
-    first = materialize(
-        blocks.join(before, ["_file", "_block"]).select("_file", "_block", (F.col("_before") - F.col("_first")).alias("_shift")),
-        "jsonl-offsets")
+    # one row for each block that a scan task reads
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+    first = materialize(blocks.select("_file", "_block", shift.alias("_shift")), "jsonl-offsets")
     return checked.join(first, ["_file", "_block"]).select(
         (F.col("_pos") + F.col("_shift")).alias("example_id"), "messages", *[f.name for f in (extra.fields if extra else [])])
 
