@@ -41,8 +41,9 @@ COARSE = 8
 LEAST_PERCENT = 70
 # a cell of step 3 holds about this many documents and shingles of each side
 CELL_ROWS, CELL_SHINGLES = 512, 1 << 19
-# ids are looked up in a bitmap of fixed size before their texts are read again
-BITMAP_BITS = 1 << 25
+# ids are looked up in a bitmap of fixed size before their texts are read again;
+# their upper bits move them to other places, as numbers of rows differ there by partition
+BITMAP_BITS, UPPER, SPREAD = 1 << 25, 33, 2_654_435_761
 
 _rng = np.random.default_rng(4)
 _FACTOR = _rng.integers(1, 1 << 63, 2 * HALVES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -101,7 +102,8 @@ def _sets(words_per_shingle: int, bitmap):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.frombuffer(bitmap.value, np.uint8)
         for batch in freeing(batches):
-            bit = batch.column(0).to_numpy(zero_copy_only=False) % BITMAP_BITS
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            bit = (ids ^ (ids >> UPPER) * SPREAD) % BITMAP_BITS
             rows = np.flatnonzero(wanted[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
             if not len(rows):
                 continue
@@ -116,8 +118,9 @@ def _sets(words_per_shingle: int, bitmap):
 
 
 def _bitmap(ids: DataFrame) -> bytes:
-    """Bits of ``doc_id`` modulo ``BITMAP_BITS``: 4 MB, whatever the data."""
-    place = F.pmod("doc_id", F.lit(BITMAP_BITS)) + 1
+    """Bits of ``doc_id`` in ``BITMAP_BITS`` places: 4 MB, whatever the data."""
+    upper = F.shiftright("doc_id", UPPER) * F.lit(SPREAD).cast("long")
+    place = F.pmod(F.col("doc_id").bitwiseXOR(upper), F.lit(BITMAP_BITS)) + 1
     rows = (
         ids.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
         .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()

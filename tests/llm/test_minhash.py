@@ -118,3 +118,14 @@ def test_percent_has_a_lower_end(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     with pytest.raises(ValueError):
         near_duplicates(docs, percent=60)
+
+
+def test_ids_of_all_sizes(spark):
+    """Ids whose upper bits differ, as those of numbered rows do."""
+    rng = random.Random(15)
+    ids = [p << 33 | i for p in (0, 1, 5, 2 ** 29) for i in range(6)] + [-1, -2 ** 63, 2 ** 63 - 1, -(7 << 33)]
+    texts = [text(rng, 30) for _ in range(7)]
+    docs = [(i, rng.choice(texts)) for i in ids]
+    docs += [(100 + i, t + " end") for i, t in enumerate(texts)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute(docs, 5, 80)
