@@ -368,6 +368,7 @@ def remove_duplicates(
     found = near_duplicates(rows, row, text_col, words_per_shingle, percent).select(F.col("doc_id").alias(row), "component_id")
     of_id = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(row).alias("at"))
     grouped = materialize(rows.select(row, id_col).join(found, row).withColumn("of", of_id), "grouped-rows")
-    kept = grouped.groupBy("component_id").agg(F.min("of").alias("kept"))
-    dropped = materialize(grouped.join(kept, "component_id").where(F.col("of.at") != F.col("kept.at")).select(row), "dropped-rows")
+    # joined by the row, so that no large component meets in one task
+    kept = grouped.groupBy("component_id").agg(F.min("of").alias("kept")).select(F.col("kept.at").alias(row))
+    dropped = materialize(grouped.select(row).join(kept, row, "left_anti"), "dropped-rows")
     return rows.join(dropped, row, "left_anti").select(docs.columns)
