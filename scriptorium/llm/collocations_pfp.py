@@ -3,7 +3,8 @@
 Every window of ``OVERLAP`` words whose hash is a multiple of ``PERIOD`` is a
 trigger: a chunk of a text starts with one and ends with the next, so that
 chunks overlap by those words, and passages that texts share fall into the
-same chunks wherever they stand. The different chunks and how often each
+same chunks wherever they stand. Where no trigger comes for ``MOST_WORDS``
+words, a chunk ends all the same. The different chunks and how often each
 occurs are the parse's dictionary; phrases are counted inside the dictionary
 alone, weighted. A phrase belongs to the chunk in which it starts before the
 closing overlap, and is at most ``OVERLAP + 1`` words long, so it is counted
@@ -32,6 +33,8 @@ from scriptorium.session import materialize
 
 LONGEST = 4
 OVERLAP, PERIOD = LONGEST - 1, 32
+# without a trigger, a chunk ends after so many words
+MOST_WORDS = 4096
 BREAKS, GAPS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 TEXT_WORD, CHUNK_WORD = byte_class(BREAKS + GAPS), byte_class(b" \n")
 _IS_BREAK = ~byte_class(BREAKS)
@@ -61,6 +64,11 @@ def parse_text(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, list[bytes
     opens = trigger.copy()
     opens[w.first[:-1][np.diff(w.first) > 0]] = True
     start = np.flatnonzero(opens)
+    more = (np.append(start[1:], n) - start - 1) // MOST_WORDS
+    if more.any():
+        step = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
+        extra = np.repeat(start, more) + MOST_WORDS * step
+        start = np.sort(np.concatenate([start, extra[extra + OVERLAP <= w.first[doc[extra] + 1]]]))
     last = np.append(doc[start[1:]] != doc[start[:-1]], True)
     end = np.where(last, w.first[doc[start] + 1], np.append(start[1:], 0) + OVERLAP)
     # all words with one separator behind each
@@ -230,8 +238,7 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, percent: int
     (descending) and phrase (ascending bytes).
 
     Null texts have no phrases; a null language is ``und``; repeated rows
-    count each; other columns are ignored; an empty table gives no rows. The
-    longest row of the dictionary is a whole text, where no trigger is in it.
+    count each; other columns are ignored; an empty table gives no rows.
     """
     chunks = materialize(dictionary(docs, lang_col, text_col), "phrase-dictionary")
     counts = materialize(phrase_counts(chunks, least).withColumn("words", F.split("phrase", " ")), "phrases")

@@ -73,10 +73,11 @@ def corpus(seed=4, n=60):
     return rows + [rows[5]] * 40
 
 
-@pytest.mark.parametrize("period", [1, 5, 32])
-def test_every_phrase_is_in_one_chunk(period, monkeypatch):
+@pytest.mark.parametrize("period,most", [(1, 4096), (5, 4096), (32, 4096), (32, 1), (5, 3), (10 ** 6, 7)])
+def test_every_phrase_is_in_one_chunk(period, most, monkeypatch):
     """Weighted counts inside the chunks are those of the texts."""
     monkeypatch.setattr(C, "PERIOD", period)
+    monkeypatch.setattr(C, "MOST_WORDS", most)
     docs = [(i, t, "xx") for i, t, _ in corpus()]
     buf, off = utf8(pa.array([t for _, t, _ in docs]))
     doc, chunks, last = parse_text(buf, off)
@@ -89,6 +90,7 @@ def test_every_phrase_is_in_one_chunk(period, monkeypatch):
         got.update({("xx", r["phrase"]): r["n"] for r in grams.counts(m).to_pylist()})
     got["xx", ""] = grams.totals()["n"][0].as_py()
     assert got == +counted(docs)
+    assert max(len(c.split()) for c in chunks) <= most + 2 * C.OVERLAP
 
 
 def test_shared_passages_share_chunks():
