@@ -63,3 +63,46 @@ def test_codepoint_round_trip_edges(spark):
     assert [r.a for r in rows] == texts
     assert [r.j for r in rows if r.i is not None] == [t for t in texts if t is not None]
     assert rows[0].i == [97, 233, 119070, 10] and rows[2].i is None
+
+
+def test_long_batches_are_taken_in_slices():
+    import pyarrow as pa
+
+    texts = pa.array(["a b " * 500, None, "", "\u00e9\U0001f600" * 50_000, "b"] * 200)
+    parts = list(K._slices(texts))
+    assert pa.concat_arrays(parts).equals(texts)
+    assert all(len(p) == 1 or sum(len((x or "").encode()) for x in p.to_pylist()) <= K.SLICE for p in parts)
+    ids = list(K._codepoints_arrow.func(iter([texts])))
+    assert len(ids) == len(parts) and max(len(x.values) for x in ids) <= K.SLICE
+    whole = pa.concat_arrays(ids)
+    back = list(K._codepoint_text_arrow.func(iter([whole])))
+    assert len(back) > 10 and pa.concat_arrays(back).equals(texts)
+    assert [list(map(ord, x)) if x is not None else None for x in texts.to_pylist()] == whole.to_pylist()
+
+
+def test_bpe_encodes_and_decodes_slices(spark, monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    spec = K.bpe_spec(spark=spark)
+    tok = Tokenizer.from_file(K.default_tokenizer_file())
+    sizes = []
+
+    class Seen:
+        def encode_batch(self, texts, **kw):
+            sizes.append(sum(map(len, texts)))
+            return tok.encode_batch(texts, **kw)
+
+        def decode_batch(self, ids, **kw):
+            sizes.append(sum(map(len, ids)))
+            return tok.decode_batch(ids, **kw)
+
+    monkeypatch.setattr(K, "_load", lambda _: Seen())
+    texts = [f"word {i} " * 2000 if i % 9 else None for i in range(100)]
+    ids = pa.concat_arrays(list(K.bpe_encoder(spec).func(iter([pa.array(texts)]))))
+    assert ids.to_pylist() == [x and tok.encode(x, add_special_tokens=False).ids for x in texts]
+    pairs = pa.concat_arrays(list(K.bpe_pair_encoder(spec).func(iter([(pa.array(texts), pa.array(texts[::-1]))]))))
+    assert pairs.field("b").to_pylist() == [x or [] for x in ids.to_pylist()[::-1]]
+    text = pa.concat_arrays(list(K.bpe_decoder(spec, False).func(iter([ids]))))
+    assert text.to_pylist() == [x or "" for x in texts]
+    assert max(sizes) <= K.SLICE and len(sizes) > 10
