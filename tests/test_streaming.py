@@ -36,6 +36,22 @@ def test_stream_matches_batch_and_is_incremental(spark):
     assert ids == [ord(c) for c in expect]
 
 
+def test_corpus_stream_source_holds_listings_not_books(spark):
+    src, out, ckpt = (tempfile.mkdtemp(prefix=f"scriptorium-many-{n}-") for n in ("in", "out", "ckpt"))
+    for i in range(60):
+        _write(src, f"d{i % 7}/book-{i}.txt", BOOK.replace("Body", f"Body {i}").encode())
+    _write(src, "_hidden/book-x.txt", BOOK.encode())
+    for _ in range(2):  # a restart finds nothing new
+        for q in start_corpus_stream(spark, src, out, ckpt):
+            q.awaitTermination()
+    got = spark.read.parquet(f"{out}/cleaned")
+    assert sorted(r.name for r in got.collect()) == sorted(f"book-{i}" for i in range(60))
+    assert got.first().path.startswith(f"file:{src}/")
+    log = "".join(open(os.path.join(d, f), errors="replace").read() for sub in ("cleaned", "rejected")
+                  for d, _, names in os.walk(f"{ckpt}/{sub}/sources") for f in names if not f.startswith("."))
+    assert "/files/part-" in log and "book-" not in log
+
+
 def test_sft_stream_routes_rejects_and_is_incremental(spark):
     import json
 
