@@ -54,7 +54,15 @@ def _pieces(df: DataFrame, ids_col: str, L: int, n_seqs: int) -> DataFrame:
 
 def pack_sequences(tokens: DataFrame, max_seq_len: int = 2048, order_col: str = "ord",
                    ids_col: str = "input_ids", n_buckets: int | None = None, materialize_input: bool = True) -> DataFrame:
-    """``seq_id, input_ids, labels``; every row exactly ``max_seq_len`` long.
+    """``seq_id, input_ids, labels``; every row exactly ``max_seq_len`` long,
+    as :func:`pack_counted` builds them."""
+    return pack_counted(tokens, max_seq_len, order_col, ids_col, n_buckets, materialize_input)[0]
+
+
+def pack_counted(tokens: DataFrame, max_seq_len: int = 2048, order_col: str = "ord",
+                 ids_col: str = "input_ids", n_buckets: int | None = None, materialize_input: bool = True) -> tuple[DataFrame, int]:
+    """``seq_id, input_ids, labels``, every row exactly ``max_seq_len`` long, and
+    the number of rows, which is known before any is built.
 
     The input is written once (``order, n, ids``) to the checkpoint folder:
     lengths and slices both read it, a Python tokenizer upstream runs once,
@@ -76,7 +84,7 @@ def pack_sequences(tokens: DataFrame, max_seq_len: int = 2048, order_col: str =
     n_seqs = total // L
     spark = tokens.sparkSession
     if n_seqs == 0:
-        return spark.createDataFrame([], "seq_id bigint, input_ids array<int>, labels array<int>")
+        return spark.createDataFrame([], "seq_id bigint, input_ids array<int>, labels array<int>"), 0
     offsets = offsets.select(order_col, "n", "start")
     joined = src.select(order_col, ids_col).join(offsets, order_col)
     grouped = (
@@ -86,7 +94,7 @@ def pack_sequences(tokens: DataFrame, max_seq_len: int = 2048, order_col: str =
     )
     ids = F.flatten(F.transform("ps", lambda p: p["piece"]))
     # labels reference the computed ids (Catalyst keeps the flatten single).
-    return grouped.select("seq_id", ids.alias("input_ids")).withColumn("labels", F.col("input_ids"))
+    return grouped.select("seq_id", ids.alias("input_ids")).withColumn("labels", F.col("input_ids")), n_seqs
 
 
 def pack_stats(tokens: DataFrame, max_seq_len: int = 2048, ids_col: str = "input_ids") -> DataFrame:

@@ -204,7 +204,8 @@ def packed_roundtrip(spark, data_dir):
 def packed_ranks(spark, data_dir):
     """The shards of four trainers, each read through the index and checked
     against it, make up the packed table."""
-    path = sinks.write_indexed(P.pack_sequences(_doc_tokens(spark, data_dir), SEQ_LEN), files=7)
+    packed, sequences = P.pack_counted(_doc_tokens(spark, data_dir), SEQ_LEN)
+    path = sinks.write_indexed(packed, files=7, n_ids=sequences * SEQ_LEN)
     ranks = [sinks.read_rank(spark, path, r, 4, verify=True) for r in range(4)]
     return _packed_out(functools.reduce(lambda a, b: a.unionByName(b), ranks))
 

@@ -90,6 +90,15 @@ def test_shards_of_all_ranks_make_up_the_table(spark):
         sinks.read_rank(spark, path, 4, 10, verify=True)
 
 
+def test_more_ids_make_more_shards(spark, monkeypatch):
+    packed = spark.createDataFrame([(i, [i, i + 1], [i, i + 1]) for i in range(1000)], sinks.PACKED_SCHEMA)
+    monkeypatch.setattr(sinks, "FILE_IDS", 100)
+    path = sinks.write_indexed(packed, tempfile.mkdtemp(prefix="scriptorium-shards-") + "/packed", files=7, n_ids=2000)
+    index = spark.read.parquet(f"{path}.index").collect()
+    assert len(index) >= 15 and max(r.sequences for r in index) <= 100
+    assert sorted(x.seq_id for r in range(4) for x in sinks.read_rank(spark, path, r, 4, verify=True).collect()) == list(range(1000))
+
+
 def test_books_in_ranges_give_the_same_run(spark):
     import dataclasses
 

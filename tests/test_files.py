@@ -131,3 +131,16 @@ def test_a_long_book_is_cleaned_by_many_tasks(spark):
     got = "".join(r.text for r in books.parts.orderBy("part").toLocalIterator())
     (want,) = C.clean_corpus(spark.createDataFrame([(text,)], "text string")).select("clean").collect()
     assert got == want.clean
+
+
+def test_texts_are_written_a_row_at_a_time(spark):
+    from scriptorium.sources import sinks
+
+    root = tempfile.mkdtemp(prefix="scriptorium-texts-")
+    rows = [("a/x.txt", "é" * 10, "latin-1"), ("b.txt", None, None), ("c.txt", "日é", "latin-1"), ("d.txt", "日", None)]
+    df = spark.createDataFrame(rows, "relpath string, text string, encoding string")
+    out = sinks.write_text_files(df, root, encoding_col="encoding")
+    assert "MapInArrow" in out._jdf.queryExecution().toString()
+    assert dict(map(tuple, out.collect())) == {"a/x.txt": 10, "b.txt": 0, "c.txt": 2, "d.txt": 3}
+    with open(f"{root}/c.txt", "rb") as f:
+        assert f.read() == b"?\xe9"
