@@ -2,9 +2,10 @@
 
 A tokenizer that cuts text into pre-tokens first gives each of them the same
 ids wherever it stands. Spark finds the pre-tokens, aggregates the different
-ones, has each encoded once, and joins the ids back by position: the local
-tokenizer sees the dictionary, not the corpus. Full texts and prompts share
-one dictionary.
+ones, has each encoded once, and joins the ids back to the different pre-tokens
+of each text, which is then put together from its own small dictionary: the
+local tokenizer sees the dictionary, not the corpus, and no join sees a
+pre-token of a text twice. Full texts and prompts share one dictionary.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from scriptorium.session import materialize
 BYTE_BPE_PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # ids of whole words come behind all code points
 FIRST_WORD_ID = 0x110000
-# pre-tokens that are put in order at a time
-BLOCK = 512
+# characters whose pre-tokens a task takes apart
+TASK_CHARS = 8 << 20
 
 Encoder = Callable[[list[str]], list]
 
@@ -57,14 +58,16 @@ def encode_words(words: DataFrame, encode: Encoder) -> DataFrame:
     return materialize(words.select("word").distinct().mapInArrow(run, "word string, ids array<int>"), "token-dictionary")
 
 
-def in_order(placed: DataFrame, key: str) -> DataFrame:
-    """``key, ids``: the ids of each key's rows (``key, pos, ids``), joined by
-    position, a block of positions at a time."""
-    blocks = placed.groupBy(key, F.expr(f"pos div {BLOCK}").alias("block")).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("p"))
-    blocks = blocks.select(key, "block", F.flatten(F.transform("p", lambda x: x["ids"])).alias("ids"))
-    return blocks.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("block", "ids"))).alias("p")).select(
-        key, F.flatten(F.transform("p", lambda x: x["ids"])).alias("ids"))
+@F.arrow_udf(K.IDS)
+def _looked_up(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """The ids of a text's pre-tokens, from the text's own words and their ids."""
+    for batch in batches:
+        for part in K._slices(*batch):
+            found = []
+            for text, words, ids in zip(*(column.to_pylist() for column in part)):
+                known = dict(zip(words, ids))
+                found.append(np.fromiter((i for w in text for i in known[w]), np.int32))
+            yield pa.array(found, pa.list_(pa.int32()))
 
 
 def sft_examples_dictionary(
@@ -75,18 +78,27 @@ def sft_examples_dictionary(
     :func:`scriptorium.operators.chat.sft_examples` builds them.
 
     ``key`` must be unique. Only the first ``max_seq_len`` pre-tokens of a full
-    text can give an id that stays, so no more of them are joined; of a prompt,
-    which may be long, only the counts of its different pre-tokens are.
+    text can give an id that stays, so no more of them are joined, each
+    different one once; of a prompt, which may be long, only the counts of its
+    different pre-tokens are. Tasks take about ``TASK_CHARS`` of text.
     """
     L = int(max_seq_len)
     good, _ = M.split_rejects(df)
     rendered = materialize(M.render_texts(M.ensure_system(good, default_prompt), template).select(key, "full_text", "prompt_text"), "rendered")
-    full = rendered.select(key, F.posexplode(F.slice(pre_tokens("full_text", pattern), 1, L)).alias("pos", "word"))
-    prompt = rendered.select(key, F.explode(pre_tokens("prompt_text", pattern)).alias("word")).groupBy(key, "word").agg(F.count("*").alias("n"))
-    words = encode_words(full.select("word").unionByName(prompt.select("word")), encode)
-    lengths = prompt.join(words.select("word", F.size("ids").alias("size")), "word").groupBy(key).agg(
-        F.sum(F.col("n") * F.col("size")).cast("bigint").alias("prompt_len"))
-    ids = in_order(full.join(words, "word"), key).select(key, F.slice("ids", 1, L).alias("input_ids"))
-    return ids.join(lengths, key).select(
+    chars = rendered.agg(F.sum(F.length("full_text"))).first()[0] or 0
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // TASK_CHARS))
+    rendered = rendered.repartition(parts, key)
+    head = F.slice(pre_tokens("full_text", pattern), 1, L)
+    words = F.concat(
+        F.transform(F.array_distinct(head), lambda w: F.struct(w.alias("word"), F.lit(True).alias("stays"), F.lit(0).alias("n"))),
+        F.transform(pre_tokens("prompt_text", pattern), lambda w: F.struct(w.alias("word"), F.lit(False).alias("stays"), F.lit(1).alias("n"))))
+    # stays: the head of the full text holds the word; n: how often the prompt does
+    pairs = materialize(rendered.select(key, F.explode(words).alias("w")).groupBy(key, F.col("w.word").alias("word")).agg(
+        F.max("w.stays").alias("stays"), F.sum("w.n").alias("n")), "token-pairs")
+    found = pairs.join(encode_words(pairs, encode), "word").repartition(parts, key).groupBy(key).agg(
+        F.sum(F.col("n") * F.size("ids")).cast("bigint").alias("prompt_len"),
+        F.collect_list(F.when(F.col("stays"), F.struct("word", "ids"))).alias("known"))
+    ids = _looked_up(F.col("head"), F.col("known.word"), F.col("known.ids"))
+    return rendered.select(key, head.alias("head")).join(found, key).select(key, F.slice(ids, 1, L).alias("input_ids"), "prompt_len").select(
         key, "input_ids", F.array_repeat(F.lit(1), F.size("input_ids")).alias("attention_mask"),
         M.mask_prompt(F.col("input_ids"), F.col("prompt_len")).alias("labels"), "prompt_len")

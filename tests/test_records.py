@@ -145,3 +145,20 @@ def test_dictionary_tokens_equal_those_of_whole_texts(spark):
         a = M.sft_examples(df, length, spec, keep=("conv_id",)).collect()
         b = D.sft_examples_dictionary(df, "conv_id", D.bpe_ids(spec), D.BYTE_BPE_PATTERN, length).collect()
         assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) == len(texts)
+
+
+def test_dictionary_joins_each_different_token_of_a_text_once(spark, monkeypatch):
+    seen = {}
+
+    def materialize(df, name):
+        seen[name] = D_materialize(df, name)
+        return seen[name]
+
+    D_materialize = D.materialize
+    monkeypatch.setattr(D, "materialize", materialize)
+    rows = [(i, [("user", "the " * 3000), ("assistant", f"of {i}")]) for i in range(3)]
+    df = spark.createDataFrame(rows, "conv_id long, messages array<struct<role:string,content:string>>")
+    words = D.word_ids(["the", "of"])
+    got = D.sft_examples_dictionary(df, "conv_id", words, "[A-Za-z]+|[0-9]|[^A-Za-z0-9]", 100_000).collect()
+    assert len(got) == 3 and all(len(r.input_ids) > 6000 and r.prompt_len > 6000 for r in got)
+    assert seen["token-pairs"].count() < 100
