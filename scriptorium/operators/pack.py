@@ -14,11 +14,15 @@ result does not depend on the number or layout of input partitions.
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.operators import pack_ranges
 from scriptorium.operators.ordering import exclusive_running_sum
-from scriptorium.session import materialize
+from scriptorium.session import materialize, small_batches
 
 
 def token_offsets(tokens: DataFrame, order_col: str = "ord", ids_col: str = "input_ids",
@@ -60,7 +64,8 @@ def pack_sequences(tokens: DataFrame, max_seq_len: int = 2048, order_col: str =
 
 
 def pack_counted(tokens: DataFrame, max_seq_len: int = 2048, order_col: str = "ord",
-                 ids_col: str = "input_ids", n_buckets: int | None = None, materialize_input: bool = True) -> tuple[DataFrame, int]:
+                 ids_col: str = "input_ids", n_buckets: int | None = None, materialize_input: bool = True,
+                 ranges: Callable[[int], int] | None = None) -> tuple[DataFrame, int]:
     """``seq_id, input_ids, labels``, every row exactly ``max_seq_len`` long, and
     the number of rows, which is known before any is built.
 
@@ -69,13 +74,22 @@ def pack_counted(tokens: DataFrame, max_seq_len: int = 2048, order_col: str = "o
     and the lineage is cut before the two shuffles. Lengths are then read
     from their own column without touching the ids. A repeated or null
     ``order_col`` raises ``ValueError``.
+
+    ``ranges`` lays the rows out for files: given the number of ids packed it
+    says how many partitions, each a contiguous range of ``seq_id`` in order
+    (see :mod:`pack_ranges`: ids are kept compressed and shuffled once).
     """
     L = int(max_seq_len)
     if L <= 0:
         raise ValueError("max_seq_len must be positive")
-    src = tokens.select(order_col, ids_col, F.size(ids_col).cast("bigint").alias("_n"))
+    compact = ranges is not None and pack_ranges.applies(tokens, order_col, ids_col)
+    if compact:
+        src = pack_ranges.stored(tokens, order_col, ids_col)
+    else:
+        src = tokens.select(order_col, ids_col, F.size(ids_col).cast("bigint").alias("_n"))
     if materialize_input:
-        src = materialize(src, "tokens")
+        with small_batches(tokens.sparkSession) if compact else contextlib.nullcontext():
+            src = materialize(src, "tokens")
     # slim keys only; a repeated or null key would not join its own ids
     bad = src.groupBy(order_col).count().where((F.col("count") > 1) | F.col(order_col).isNull()).head(1)
     if bad:
@@ -86,6 +100,9 @@ def pack_counted(tokens: DataFrame, max_seq_len: int = 2048, order_col: str = "o
     if n_seqs == 0:
         return spark.createDataFrame([], "seq_id bigint, input_ids array<int>, labels array<int>"), 0
     offsets = offsets.select(order_col, "n", "start")
+    if compact:
+        packed = pack_ranges.packed_ranges(src, offsets, order_col, L, n_seqs, ranges(n_seqs * L))
+        return packed.withColumn("labels", F.col("input_ids")), n_seqs
     joined = src.select(order_col, ids_col).join(offsets, order_col)
     grouped = (
         _pieces(joined, ids_col, L, n_seqs)
@@ -94,7 +111,10 @@ def pack_counted(tokens: DataFrame, max_seq_len: int = 2048, order_col: str = "o
     )
     ids = F.flatten(F.transform("ps", lambda p: p["piece"]))
     # labels reference the computed ids (Catalyst keeps the flatten single).
-    return grouped.select("seq_id", ids.alias("input_ids")).withColumn("labels", F.col("input_ids")), n_seqs
+    packed = grouped.select("seq_id", ids.alias("input_ids")).withColumn("labels", F.col("input_ids"))
+    if ranges is not None:
+        packed = packed.repartitionByRange(ranges(n_seqs * L), "seq_id").sortWithinPartitions("seq_id")
+    return packed, n_seqs
 
 
 def pack_stats(tokens: DataFrame, max_seq_len: int = 2048, ids_col: str = "input_ids") -> DataFrame:

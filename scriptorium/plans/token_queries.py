@@ -12,6 +12,7 @@ from scriptorium.operators import pack as P
 from scriptorium.plans import fixtures
 from scriptorium.plans import oracle as O
 from scriptorium.plans.registry import query
+from scriptorium.session import intermediates, scratch_path
 from scriptorium.sources import sinks
 from scriptorium.sources.tables import table
 
@@ -21,7 +22,7 @@ PAD_ID = K.CODEPOINTS.effective_pad_id
 
 
 def ids_md5(c):
-    return F.md5(F.array_join(F.transform(c, lambda x: x.cast("string")), ","))
+    return F.md5(F.array_join(c.cast("array<string>"), ","))
 
 
 def _doc_tokens(spark, data_dir):
@@ -204,8 +205,10 @@ def packed_roundtrip(spark, data_dir):
 def packed_ranks(spark, data_dir):
     """The shards of four trainers, each read through the index and checked
     against it, make up the packed table."""
-    packed, sequences = P.pack_counted(_doc_tokens(spark, data_dir), SEQ_LEN)
-    path = sinks.write_indexed(packed, files=7, n_ids=sequences * SEQ_LEN)
+    path = scratch_path(spark, "packed-indexed")
+    with intermediates(spark):  # the tokens go when the shards are written
+        packed, _ = P.pack_counted(_doc_tokens(spark, data_dir), SEQ_LEN, ranges=functools.partial(sinks.file_count, 7))
+        sinks.write_indexed(packed, path, ranged=True)
     ranks = [sinks.read_rank(spark, path, r, 4, verify=True) for r in range(4)]
     return _packed_out(functools.reduce(lambda a, b: a.unionByName(b), ranks))
 
